@@ -44,7 +44,7 @@ def _snap(spark: SparkSession, data_dir: str):
 def delta_all_snapshots(spark: SparkSession, data_dir: str) -> DataFrame:
     """C2 over every snapshot in one pass (SNP1-2, WN1, AG1, JN1)."""
     _, _, snap, idx = _snap(spark, data_dir)
-    return snapshot_delta(snap, D.KEYS, D.MEASURES, index=idx, period_col="month")
+    return snapshot_delta(snap, D.KEYS, D.MEASURES, index=idx, period_col="month", trim_keys=False)
 
 
 @register("delta_latest_pair")
@@ -65,7 +65,7 @@ def delta_latest_pair(spark: SparkSession, data_dir: str) -> DataFrame:
 def delta_month_reset(spark: SparkSession, data_dir: str) -> DataFrame:
     """SNP2: on the first snapshot of each month the increment equals the snapshot."""
     _, _, snap, idx = _snap(spark, data_dir)
-    delta = snapshot_delta(snap, D.KEYS, D.MEASURES, index=idx, period_col="month")
+    delta = snapshot_delta(snap, D.KEYS, D.MEASURES, index=idx, period_col="month", trim_keys=False)
     firsts = idx.where(F.col("prev_date").isNull()).select("snapshot_date")
     d = delta.join(firsts, "snapshot_date", "left_semi").groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("keys_on_first_day"), F.sum("TOTAL").alias("delta_total")
@@ -85,7 +85,8 @@ def delta_dup_keys_compat(spark: SparkSession, data_dir: str) -> DataFrame:
     """JN2: key (office, vehicle_type) repeats per maker; each row carries the group increment."""
     _, _, snap, idx = _snap(spark, data_dir)
     return snapshot_delta(
-        snap, ["office", "vehicle_type"], D.MEASURES, attributes=["maker"], index=idx, period_col="month", fan_out=True
+        snap, ["office", "vehicle_type"], D.MEASURES, attributes=["maker"], index=idx, period_col="month", fan_out=True,
+        trim_keys=False,
     ).select("snapshot_date", *D.KEYS, *D.MEASURES)
 
 

@@ -89,27 +89,34 @@ def mtd_snapshots(t: Tables, days: DataFrame | None = None, daily: DataFrame | N
     """Month-to-date snapshots: ``snapshot_date, month, office, vehicle_type, maker, <measures>``.
 
     A key appears on every snapshot day of a month from its first active day
-    in that month on. Plan: daily counts are partitioned once by (key, month);
-    the first day per key/month, the zero rows of the grid (key/month firsts
-    against the broadcast calendar), the per-day sum and the running-sum
-    window all reuse that partitioning, and so does the delta after it.
-    Each (key, month) group holds at most 31 rows, whatever the skew of keys.
+    in that month on. Plan: daily counts are hash-partitioned once by
+    (key, month); one window gives the running sums and the key's next active
+    day; a broadcast join against the (size-checked) calendar then repeats
+    each running sum on the snapshot days up to the key's next active day.
+    Window and broadcast join keep the (key, month) partitioning, so the delta
+    that follows needs no shuffle. A (key, month) group holds at most 31 rows
+    whatever the skew of keys in the raw data.
     """
     days = days if days is not None else checked_calendar(t)
     daily = daily if daily is not None else daily_counts(t)
     daily = daily.withColumn("month", F.trunc("day", "month")).repartition(*KEYS, "month")
-    firsts = daily.groupBy(*KEYS, "month").agg(F.min("day").alias("first_day"))
-    grid = firsts.join(days, (firsts.month == days.month) & (days.day >= firsts.first_day)).select(
-        days.day, *[firsts[k] for k in KEYS], firsts.month, *[F.lit(0).cast("bigint").alias(m) for m in MEASURES]
-    )
-    rows = grid.unionByName(daily.select("day", *KEYS, "month", *MEASURES))
-    per_day = rows.groupBy(*KEYS, "month", "day").agg(*[F.sum(F.col(f"`{m}`")).alias(m) for m in MEASURES])
-    w = Window.partitionBy(*KEYS, "month").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_day.select(
-        F.col("day").alias("snapshot_date"),
+    w = Window.partitionBy(*KEYS, "month").orderBy("day")
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = daily.select(
+        "day",
         "month",
         *KEYS,
-        *[F.sum(F.col(f"`{m}`")).over(w).alias(m) for m in MEASURES],
+        *[F.sum(F.col(f"`{m}`")).over(running).alias(m) for m in MEASURES],
+        F.lead("day").over(w).alias("next_day"),
+    )
+    cal = days.select(F.col("day").alias("cal_day"), F.col("month").alias("cal_month"))
+    covers = (
+        (cum.month == cal.cal_month)
+        & (cal.cal_day >= cum.day)
+        & (cum.next_day.isNull() | (cal.cal_day < cum.next_day))
+    )
+    return cum.join(cal, covers).select(
+        F.col("cal_day").alias("snapshot_date"), "month", *KEYS, *[F.col(f"`{m}`") for m in MEASURES]
     )
 
 
