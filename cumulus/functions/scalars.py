@@ -23,6 +23,8 @@ TITLE_PREFIX_PATTERN = r"(?i)^maker\s+wise\s+fuel\s+data\s+of\s+"
 FILE_NAME_PATTERN = r"^(.+?)\s*-\s*([A-Z]+[0-9]+)"
 # Office code anywhere in a text: two capitals then digits.
 OFFICE_CODE_PATTERN = r"([A-Z]{2}[0-9]+)"
+# Text accepted as a number: sign, digits with optional fraction, optional exponent.
+NUMBER_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 # Date layouts accepted on read, in the order they are tried (day first).
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd", "d/M/yyyy")
 # -----------------------------------------------------------------------------
@@ -42,9 +44,13 @@ def blank_to_null(c: Column) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    """Lenient number parse: bad text (``'1,234'``, ``'abc'``, NaN, inf) -> NULL, as a double."""
-    d = c.try_cast("double")
-    return F.when(F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(None)).otherwise(d)
+    """Lenient number parse: bad text (``'1,234'``, ``'abc'``, ``'nan'``, blank) -> NULL, as a double.
+
+    The text is checked against :data:`NUMBER_PATTERN` first, so only plain
+    decimal notation parses (no hex, no type suffixes, no NaN/Infinity words).
+    """
+    text = c.cast("string")
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def to_count(c: Column) -> Column:
@@ -52,10 +58,15 @@ def to_count(c: Column) -> Column:
     return F.coalesce(to_number(c), F.lit(0.0)).try_cast("bigint")
 
 
+def to_count_or_null(c: Column) -> Column:
+    """Lenient parse truncated toward zero to BIGINT; unparsable stays NULL."""
+    return to_number(c).try_cast("bigint")
+
+
 def parse_day_first(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """Lenient date parse over several layouts; unparsable -> NULL."""
     text = strip_ws(c.cast("string"))
-    return F.coalesce(*[F.try_to_date(text, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
 
 
 def parse_day_first_strict(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
