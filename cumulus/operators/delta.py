@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import strip_ws, to_number
-from ..functions.schema import measure_columns
+from ..functions.schema import DELTA_ID_COLUMNS, measure_columns
 from .joins import join_null_safe
 from .snapshots import RESET_MONTH, attach_index
 
@@ -70,7 +70,7 @@ def snapshot_delta(
     keys = list(keys)
     attributes = [a for a in attributes if a not in keys]
     if measures is None:
-        measures = measure_columns(snapshots, exclude=[date_col, *keys, *attributes])
+        measures = measure_columns(snapshots, exclude=[*DELTA_ID_COLUMNS, date_col, *keys, *attributes])
     measures = list(measures)
     base = snapshots
     if trim_keys:
@@ -141,7 +141,7 @@ def delta_pair(
     keys = list(keys)
     attributes = [a for a in attributes if a not in keys]
     if measures is None:
-        measures = measure_columns(new, exclude=[*keys, *attributes])
+        measures = measure_columns(new, exclude=[*DELTA_ID_COLUMNS, *keys, *attributes])
     measures = list(measures)
     if trim_keys:
         new = new.withColumns({k: strip_ws(F.col(f"`{k}`")) for k in keys})
