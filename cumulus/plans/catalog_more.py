@@ -420,3 +420,30 @@ def drop_blank_rows(spark: SparkSession, data_dir: str) -> DataFrame:
 
 # Keep the imports used only by some queries referenced (for linters).
 _ = (bounded_broadcast, groups_dim)
+
+
+# --- report ingest (C1, SRC1-SRC3) --------------------------------------------------------------
+
+
+def _ingest(spark: SparkSession, data_dir: str):
+    from ..sources.reports import consolidate_reports
+    from .report_export import reports_fixture
+
+    t = Tables(spark, data_dir)
+    cells = reports_fixture(spark, data_dir)
+    makers = spark.createDataFrame([(m,) for m in X.MAKER_WHITELIST_T], "maker string")
+    return consolidate_reports(cells, None, X.district_dim(t), makers, fuels=[*D.FUELS, "TOTAL"])
+
+
+@register("ingest_reports")
+def ingest_reports(spark: SparkSession, data_dir: str) -> DataFrame:
+    """C1: month-end report matrices -> one wide snapshot row per run date, office, vehicle type, maker."""
+    wide, _ = _ingest(spark, data_dir)
+    return wide
+
+
+@register("ingest_quarantine")
+def ingest_quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC3: report files set aside (unparsable name or body), with the reason."""
+    _, bad = _ingest(spark, data_dir)
+    return bad.select(F.regexp_extract("path", r"([^/]*/[^/]*)$", 1).alias("file_name"), "error")

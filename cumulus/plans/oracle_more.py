@@ -389,3 +389,32 @@ WHERE label IS NOT NULL AND label NOT IN ('Maker', 'TOTAL', '')
 """
 
 _ = _IDX
+
+# --- report ingest ----------------------------------------------------------------------------
+
+from ..functions.scalars import STATE_BY_CODE_PREFIX  # noqa: E402
+
+_LATEST = f"""{D.SNAPSHOT_SQL},
+last AS (SELECT d FROM (SELECT day AS d, LEAD(day) OVER (PARTITION BY month ORDER BY day) AS nxt FROM days) WHERE nxt IS NULL),
+od AS ({D.OFFICE_DIM_SQL}),
+dist AS ({X.DISTRICT_SQL})"""
+
+ORACLE["ingest_reports"] = f"""
+WITH {_LATEST}
+SELECT strftime(l.d + 1, '%d-%m-%Y') AS scrape_timestamp, strftime(l.d, '%d-%m-%Y') AS timestamp,
+       CASE upper(substr(od.office_code, 1, 2)) {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATE_BY_CODE_PREFIX.items())}
+            ELSE 'Unknown' END AS state,
+       replace(s.office, '_', ' ') AS rto, od.office_code AS rto_number, s.vehicle_type,
+       COALESCE(dist.district, 'Unknown') AS district, s.maker AS Maker, {", ".join(f"CAST(s.{_q(m)} AS BIGINT) AS {_q(m)}" for m in M)}
+FROM snap s JOIN last l ON s.snapshot_date = l.d JOIN od ON od.office = s.office
+LEFT JOIN dist ON dist.office_key = upper(replace(s.office, '_', ' '))
+WHERE od.state <> 'MIDDLE EAST' AND s.maker IN ({", ".join(repr(m) for m in X.MAKER_WHITELIST_T)})
+"""
+
+ORACLE["ingest_quarantine"] = f"""
+WITH {_LATEST}
+SELECT DISTINCT strftime(l.d + 1, '%Y-%m-%d') || '_RTO_Files/' || replace(s.office, '_', ' ') || '_' || s.vehicle_type || '.csv'
+       AS file_name, 'file name does not parse' AS error
+FROM snap s JOIN last l ON s.snapshot_date = l.d JOIN od ON od.office = s.office
+WHERE od.state = 'MIDDLE EAST'
+"""
