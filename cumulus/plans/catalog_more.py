@@ -447,3 +447,28 @@ def ingest_quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
     """SRC3: report files set aside (unparsable name or body), with the reason."""
     _, bad = _ingest(spark, data_dir)
     return bad.select(F.regexp_extract("path", r"([^/]*/[^/]*)$", 1).alias("file_name"), "error")
+
+
+# --- X1: incremental (Structured Streaming) ----------------------------------------------------
+
+
+@register("incremental_ingest")
+def incremental_ingest(spark: SparkSession, data_dir: str) -> DataFrame:
+    """X1: snapshots land in two waves (the 10th of each month arrives late); the stream's
+    month-by-month recompute must equal the one-pass batch result."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..streaming.incremental import run_incremental
+
+    t = Tables(spark, data_dir)
+    snap = D.mtd_snapshots(t)
+    root = scratch_path(spark, f"incremental-{uuid.uuid4().hex}")
+    landing, master, ckpt = f"{root}/landing", f"{root}/master", f"{root}/_checkpoint"
+    late = F.dayofmonth("snapshot_date") == 10
+    snap.where(~late).repartition("month").write.partitionBy("month").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    run_incremental(spark, landing, master, ckpt, schema, D.KEYS, D.MEASURES)
+    snap.where(late).repartition("month").write.mode("append").partitionBy("month").parquet(landing)
+    run_incremental(spark, landing, master, ckpt, schema, D.KEYS, D.MEASURES)
+    return spark.read.parquet(master).select("snapshot_date", *D.KEYS, *[F.col(f"`{m}`") for m in D.MEASURES])

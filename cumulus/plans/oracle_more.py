@@ -418,3 +418,6 @@ SELECT DISTINCT strftime(l.d + 1, '%Y-%m-%d') || '_RTO_Files/' || replace(s.offi
 FROM snap s JOIN last l ON s.snapshot_date = l.d JOIN od ON od.office = s.office
 WHERE od.state = 'MIDDLE EAST'
 """
+
+# X1 replayed incrementally must equal the one-pass batch result.
+ORACLE["incremental_ingest"] = ORACLE["delta_all_snapshots"]
