@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.schema import numeric_column_flags
-from ..operators.dims import groups_dim, keep_listed, lookup, map_dim, unmapped
-from ..operators.joins import bounded_broadcast
+from ..operators.dims import keep_listed, lookup, map_dim, unmapped
 from ..operators.mart import audit_totals, build_mart, month_to_date
 from ..operators.master import replace_and_append
 from ..operators.quality import (
@@ -21,7 +20,7 @@ from ..operators.quality import (
     targets_per_state,
     with_identity,
 )
-from ..operators.reconcile import apply_corrections, filler_rows, monthly_summary, reconcile
+from ..operators.reconcile import filler_rows, monthly_summary, reconcile
 from ..operators.reshape import union_aligned
 from ..sources.tables import Tables
 from . import domain as D
@@ -62,9 +61,8 @@ def dim_unmapped(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def _mart(spark: SparkSession, data_dir: str) -> DataFrame:
-    t = Tables(spark, data_dir)
-    m = X.master_facts(spark, data_dir)
-    return build_mart(spark, m, X.geo_dim(t), X.FUEL_GROUPS_T, X.MAKER_SHORT_T, X.ZONE_T)
+    p = X.Pipeline(spark, data_dir)
+    return build_mart(spark, p.master(), X.geo_dim(p.t), X.FUEL_GROUPS_T, X.MAKER_SHORT_T, X.ZONE_T)
 
 
 @register("fuel_group_mart")
@@ -91,25 +89,17 @@ def mart_audit(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register("month_to_date")
 def month_to_date_q(spark: SparkSession, data_dir: str) -> DataFrame:
-    """C6: mart rows from the 1st of the latest month to the latest date."""
-    return month_to_date(_mart(spark, data_dir))
+    """C6: mart rows from the 1st of the latest month to the latest date.
 
+    The mart is written once to the shared checkpoint folder (the stored mart
+    table), so the latest-date subquery scans it instead of rebuilding it.
+    """
+    from ..session import materialize
 
-# --- reconciliation (C7, C8, C9) ------------------------------------------------------
+    return month_to_date(materialize(_mart(spark, data_dir)))
 
 
-def _cumulative_month_end(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The last snapshot of every month, in the wide layout (the portal's month-to-date figure)."""
-    t = Tables(spark, data_dir)
-    days = D.checked_calendar(t)
-    snap = D.mtd_snapshots(t, days=days)
-    idx = F.broadcast(D.snapshot_index_for(days))
-    last = snap.join(idx.where(F.col("next_date").isNull()).select("snapshot_date"), "snapshot_date", "left_semi")
-    rows = X.with_office_attrs(t, last)
-    return rows.select(
-        F.col("snapshot_date").alias("timestamp"), "state", F.col("office").alias("RTO"), "rto_number", "vehicle_type",
-        "district", F.col("maker").alias("Maker"), *[F.col(f"`{m}`") for m in D.MEASURES],
-    )
+# --- reconciliation (C7, C8, C9) ------------------------------------------------------
 
 
 @register("monthly_summary")
@@ -122,42 +112,51 @@ def monthly_summary_q(spark: SparkSession, data_dir: str) -> DataFrame:
     return monthly_summary(m, measures=D.MEASURES)
 
 
-def _reconciled(spark: SparkSession, data_dir: str) -> DataFrame:
-    cum = monthly_summary(_cumulative_month_end(spark, data_dir), measures=D.MEASURES, by_month=True)
-    facts = monthly_summary(X.master_facts(spark, data_dir, missed_run=True), measures=D.MEASURES, by_month=True)
-    return reconcile(cum, facts, D.MEASURES, keys=("month", "RTO", "Maker"))
+def _summaries(p: X.Pipeline) -> tuple[DataFrame, DataFrame]:
+    """(cumulative month-end summary, facts summary with the missed run), per month and key."""
+    cum_s = monthly_summary(p.cumulative_month_end(), measures=D.MEASURES, by_month=True)
+    facts_s = monthly_summary(p.master(missed_run=True), measures=D.MEASURES, by_month=True)
+    return cum_s, facts_s
 
 
-@register("reconcile_full_outer")
-def reconcile_full_outer(spark: SparkSession, data_dir: str) -> DataFrame:
-    """C8: per month and key, cumulative month-end figure minus the sum of increments (missed run)."""
-    return _reconciled(spark, data_dir)
+def _reconciled(p: X.Pipeline, sums: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Per month and key: cumulative month-end figure minus the sum of increments (with a missed run)."""
+    cum_s, facts_s = sums or _summaries(p)
+    return reconcile(cum_s, facts_s, D.MEASURES, keys=("month", "RTO", "Maker"))
 
 
-def _fillers(spark: SparkSession, data_dir: str) -> DataFrame:
-    t = Tables(spark, data_dir)
-    idx = F.broadcast(D.snapshot_index_for(D.checked_calendar(t)))
-    month_end = idx.where(F.col("next_date").isNull()).select(
-        F.trunc("snapshot_date", "month").alias("month"), F.col("snapshot_date").alias("last_day")
-    )
-    diff = _reconciled(spark, data_dir).join(month_end, "month")
+def _fillers(p: X.Pipeline, sums: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    diff = _reconciled(p, sums).join(F.broadcast(p.month_end()), "month")  # one row per month
     return filler_rows(diff, X.MASTER_LAYOUT, F.date_add("last_day", 1), types={m: "bigint" for m in D.MEASURES})
 
 
+@register("reconcile_full_outer")
+def reconcile_full_outer(spark: SparkSession, data_dir: str) -> DataFrame:
+    """C8: per month and key, cumulative month-end figure minus the sum of increments (missed run)."""
+    return _reconciled(X.Pipeline(spark, data_dir))
+
+
 @register("filler_rows")
 def filler_rows_q(spark: SparkSession, data_dir: str) -> DataFrame:
     """C8 output: correction rows in the fixed wide layout, stamped with each month's run date."""
-    return _fillers(spark, data_dir)
+    return _fillers(X.Pipeline(spark, data_dir))
 
 
 @register("corrected_master")
 def corrected_master(spark: SparkSession, data_dir: str) -> DataFrame:
-    """C9: facts + correction rows; per month their sums equal the cumulative figures."""
-    facts = X.master_facts(spark, data_dir, missed_run=True)
-    fixed = apply_corrections(facts, _fillers(spark, data_dir))
-    corrected = monthly_summary(fixed, measures=D.MEASURES, by_month=True)
-    cum = monthly_summary(_cumulative_month_end(spark, data_dir), measures=D.MEASURES, by_month=True)
-    check = reconcile(cum, corrected, ["TOTAL"], keys=("month", "RTO", "Maker"))
+    """C9: facts + correction rows; per month their sums equal the cumulative figures.
+
+    The corrected table is ``apply_corrections(facts, fillers)``. Its monthly
+    check uses that sums are additive: the facts are summarised once (the
+    same summary feeds the correction rows), and the correction rows are
+    added to that summary instead of re-aggregating every fact row.
+    """
+    p = X.Pipeline(spark, data_dir)
+    cum_s, facts_s = sums = _summaries(p)
+    fillers_s = monthly_summary(_fillers(p, sums), measures=D.MEASURES, by_month=True)
+    keys = ["month", "RTO", "Maker", "state", "rto_number", "district"]
+    corrected = facts_s.unionByName(fillers_s).groupBy(*keys).agg(*[F.sum(F.col(f"`{m}`")).alias(m) for m in D.MEASURES])
+    check = reconcile(cum_s, corrected, ["TOTAL"], keys=("month", "RTO", "Maker"))
     per_month = check.groupBy("month").agg(
         F.count(F.lit(1)).alias("keys"), F.count_if(F.col("TOTAL") != 0).alias("keys_unbalanced")
     )
@@ -387,17 +386,17 @@ def latest_snapshot(spark: SparkSession, data_dir: str) -> DataFrame:
     )
     files = dated.unionByName(undated)
     has_date = F.col("name_ts").isNotNull()
+    # SNP3: dated names win; the newest by date, by mtime only when no name is dated.
     dated_first = files.orderBy(has_date.desc(), F.coalesce("name_ts", "mtime").desc(), F.col("name").desc()).limit(1)
-    mixed = files.orderBy(F.coalesce(F.col("name_ts"), F.col("mtime").cast("timestamp")).desc(), F.col("name").desc()).limit(2)
-    a = dated_first.select(F.lit("dated_first").alias("rule"), F.lit(1).alias("rank"), "name")
-    from pyspark.sql import Window
-
-    b = mixed.select(
-        F.lit("mixed").alias("rule"),
-        F.row_number().over(Window.orderBy(F.coalesce(F.col("name_ts"), F.col("mtime")).desc(), F.col("name").desc())).alias("rank"),
-        "name",
+    # SNP1: one ordering mixing name dates and mtimes; the newest two, ranked without a global window.
+    mixed_key = F.coalesce(F.col("name_ts"), F.col("mtime"))
+    newest = files.orderBy(mixed_key.desc(), F.col("name").desc()).limit(1)
+    second = files.join(newest.select("name"), "name", "left_anti").orderBy(mixed_key.desc(), F.col("name").desc()).limit(1)
+    return (
+        dated_first.select(F.lit("dated_first").alias("rule"), F.lit(1).alias("rank"), "name")
+        .unionByName(newest.select(F.lit("mixed").alias("rule"), F.lit(1).alias("rank"), "name"))
+        .unionByName(second.select(F.lit("mixed").alias("rule"), F.lit(2).alias("rank"), "name"))
     )
-    return a.unionByName(b)
 
 
 @register("maker_whitelist")
@@ -418,9 +417,6 @@ def drop_blank_rows(spark: SparkSession, data_dir: str) -> DataFrame:
     return docs.where(F.col("label").isNotNull() & ~F.col("label").isin("Maker", "TOTAL", ""))
 
 
-# Keep the imports used only by some queries referenced (for linters).
-_ = (bounded_broadcast, groups_dim)
-
 
 # --- report ingest (C1, SRC1-SRC3) --------------------------------------------------------------
 

@@ -94,31 +94,65 @@ def with_office_attrs(t: Tables, df: DataFrame, office_col: str = "office") -> D
     return lookup(out, district_dim(t), [(office_col, "office_key")], ["district"], default={"district": "Unknown"}, upper_key=True)
 
 
-def master_facts(spark: SparkSession, data_dir: str, missed_run: bool = False) -> DataFrame:
-    """Daily increments in the wide master layout; dates as ``dd-MM-yyyy`` text.
+class Pipeline:
+    """The derived snapshot -> increment pipeline of one query, built once.
 
-    ``missed_run`` leaves out the increments of vehicle type ``P`` on the 15th
-    of each month, as if that day's files for one vehicle type never arrived.
+    Every branch of a query that needs the snapshots, the index or the
+    increments uses these same DataFrames, so the plan holds one copy of each
+    subtree and the shuffles under them are computed once and reused.
     """
-    t = Tables(spark, data_dir)
-    days = D.checked_calendar(t)
-    snap = D.mtd_snapshots(t, days=days)
-    idx = F.broadcast(D.snapshot_index_for(days))
-    delta = snapshot_delta(snap, D.KEYS, D.MEASURES, index=idx, period_col="month", trim_keys=False)
-    if missed_run:
-        delta = delta.where(~((F.dayofmonth("snapshot_date") == 15) & (F.col("vehicle_type") == "P")))
-    rows = with_office_attrs(t, delta)
-    return rows.select(
-        fmt_day_first(F.date_add("snapshot_date", 1)).alias("scrape_timestamp"),
-        fmt_day_first(F.col("snapshot_date")).alias("timestamp"),
-        "state",
-        F.col("office").alias("RTO"),
-        "rto_number",
-        "vehicle_type",
-        "district",
-        F.col("maker").alias("Maker"),
-        *[F.col(f"`{m}`") for m in D.MEASURES],
-    )
+
+    def __init__(self, spark: SparkSession, data_dir: str):
+        self.spark = spark
+        self.t = Tables(spark, data_dir)
+        self.days = D.checked_calendar(self.t)
+        self.snap = D.mtd_snapshots(self.t, days=self.days)
+        # One row per calendar day: its bound is the checked calendar's.
+        self.idx = F.broadcast(D.snapshot_index_for(self.days))
+        self.delta = snapshot_delta(self.snap, D.KEYS, D.MEASURES, index=self.idx, period_col="month", trim_keys=False)
+
+    def month_end(self) -> DataFrame:
+        """``(month, last_day)``: the last snapshot day of every month (one row per month)."""
+        return self.idx.where(F.col("next_date").isNull()).select(
+            F.trunc("snapshot_date", "month").alias("month"), F.col("snapshot_date").alias("last_day")
+        )
+
+    def master(self, missed_run: bool = False) -> DataFrame:
+        """Daily increments in the wide master layout; dates as ``dd-MM-yyyy`` text.
+
+        ``missed_run`` leaves out the increments of vehicle type ``P`` on the
+        15th of each month, as if that day's files for one vehicle type never arrived.
+        """
+        delta = self.delta
+        if missed_run:
+            delta = delta.where(~((F.dayofmonth("snapshot_date") == 15) & (F.col("vehicle_type") == "P")))
+        rows = with_office_attrs(self.t, delta)
+        return rows.select(
+            fmt_day_first(F.date_add("snapshot_date", 1)).alias("scrape_timestamp"),
+            fmt_day_first(F.col("snapshot_date")).alias("timestamp"),
+            "state",
+            F.col("office").alias("RTO"),
+            "rto_number",
+            "vehicle_type",
+            "district",
+            F.col("maker").alias("Maker"),
+            *[F.col(f"`{m}`") for m in D.MEASURES],
+        )
+
+    def cumulative_month_end(self) -> DataFrame:
+        """The last snapshot of every month in the wide layout (the portal's month-to-date figure)."""
+        ends = F.broadcast(self.month_end().select(F.col("last_day").alias("snapshot_date")))
+        last = self.snap.join(ends, "snapshot_date", "left_semi")
+        rows = with_office_attrs(self.t, last)
+        return rows.select(
+            F.col("snapshot_date").alias("timestamp"), "state", F.col("office").alias("RTO"), "rto_number", "vehicle_type",
+            "district", F.col("maker").alias("Maker"), *[F.col(f"`{m}`") for m in D.MEASURES],
+        )
+
+
+def master_facts(spark: SparkSession, data_dir: str, missed_run: bool = False) -> DataFrame:
+    """Daily increments in the wide master layout (see :meth:`Pipeline.master`)."""
+    return Pipeline(spark, data_dir).master(missed_run)
 
 
 def _delta_sql_body() -> str:

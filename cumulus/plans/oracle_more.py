@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import domain as D
 from . import fixtures as X
-from .oracle import _IDX, ORACLE
+from .oracle import ORACLE
 
 M = D.MEASURES
 FUELS = D.FUELS
@@ -388,7 +388,6 @@ SELECT doc_id, label FROM (SELECT doc_id, {_strip('split_part(text, chr(10), 1)'
 WHERE label IS NOT NULL AND label NOT IN ('Maker', 'TOTAL', '')
 """
 
-_ = _IDX
 
 # --- report ingest ----------------------------------------------------------------------------
 

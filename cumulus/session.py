@@ -70,3 +70,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, name: str | None = None):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    The table lives in the cluster's ``spark.checkpoint.dir`` (never a
+    machine-local folder, never ``localCheckpoint``), so losing an executor
+    later does not force recomputing the lineage, and a frame used by several
+    branches of a plan is computed once. Parquet keeps the re-read columnar:
+    later projections and filters prune and push down into it. Each call
+    writes a fresh folder, so concurrent queries never share one.
+    """
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"{name or 'stage'}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
