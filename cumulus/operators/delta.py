@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import strip_ws, to_number
-from ..functions.schema import DELTA_ID_COLUMNS, measure_columns
+from ..functions.schema import DELTA_ID_COLUMNS, measure_columns, require_columns
 from .joins import join_null_safe
 from .snapshots import RESET_MONTH, attach_index
 
@@ -68,6 +68,7 @@ def snapshot_delta(
     the shuffle entirely.
     """
     keys = list(keys)
+    require_columns(snapshots, [date_col, *keys])  # PRJ9
     attributes = [a for a in attributes if a not in keys]
     if measures is None:
         measures = measure_columns(snapshots, exclude=[*DELTA_ID_COLUMNS, date_col, *keys, *attributes])
@@ -139,6 +140,9 @@ def delta_pair(
     unioned with a sign and grouped by key.
     """
     keys = list(keys)
+    require_columns(new, keys)  # PRJ9: keys on both sides
+    if old is not None:
+        require_columns(old, keys)
     attributes = [a for a in attributes if a not in keys]
     if measures is None:
         measures = measure_columns(new, exclude=[*DELTA_ID_COLUMNS, *keys, *attributes])

@@ -78,11 +78,23 @@ def restrict_to_latest_pair(snapshots: DataFrame, date_col: str = "snapshot_date
 
 
 def latest_by(df: DataFrame, order_cols: list, partition_cols: list | None = None) -> DataFrame:
-    """Keep the last row per partition under a total order (``row_number() == 1``)."""
-    w = Window.partitionBy(*(partition_cols or [])).orderBy(*order_cols)
+    """Keep the first row per group under a total order (``row_number() == 1``).
+
+    Without groups this is a top-1 (``orderBy().limit(1)``, a TakeOrdered),
+    never a window over one global partition.
+    """
+    if not partition_cols:
+        return df.orderBy(*order_cols).limit(1)
+    w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def require_snapshots(snapshots: DataFrame, date_col: str = "snapshot_date") -> None:
+    """SNP4: fail when there is no snapshot at all (a one-row probe, not a count)."""
+    if not snapshots.where(F.col(date_col).isNotNull()).select(date_col).limit(1).collect():
+        raise FileNotFoundError("no snapshot found")
+
+
 def attach_index(snapshots: DataFrame, date_col: str = "snapshot_date", reset: str | None = RESET_MONTH) -> DataFrame:
     """Snapshot rows with their ``prev_date``/``next_date`` (index broadcast after a size check)."""
     idx = bounded_broadcast(snapshot_index(snapshots, date_col, reset).select(date_col, "next_date"))

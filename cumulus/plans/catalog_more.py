@@ -104,11 +104,15 @@ def month_to_date_q(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register("monthly_summary")
 def monthly_summary_q(spark: SparkSession, data_dir: str) -> DataFrame:
-    """C7: month totals per (RTO, Maker, state, rto_number, district) for the latest month of the facts."""
-    m = X.master_facts(spark, data_dir)
-    d = S.parse_day_first(F.col("timestamp"))
-    latest = m.select(F.max(d)).scalar()
-    m = m.where(d >= F.trunc(latest, "month"))
+    """C7: month totals per (RTO, Maker, state, rto_number, district) for the month of the latest run.
+
+    The month comes from the run calendar (one date column scanned, a scalar
+    subquery), as the source takes the current month; the facts are read once.
+    """
+    p = X.Pipeline(spark, data_dir)
+    latest = D.run_calendar(p.t).select(F.max("day")).scalar()
+    m = p.master()
+    m = m.where(S.parse_day_first(F.col("timestamp")) >= F.trunc(latest, "month"))
     return monthly_summary(m, measures=D.MEASURES)
 
 

@@ -166,7 +166,7 @@ ORACLE["monthly_summary"] = f"""
 WITH {X.master_sql()},
 p AS (SELECT *, {_date('timestamp')} AS d FROM master)
 SELECT RTO, Maker, state, rto_number, district, {_SUMS}
-FROM p WHERE d >= CAST(date_trunc('month', (SELECT max(d) FROM p)) AS DATE)
+FROM p WHERE d >= CAST(date_trunc('month', (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS DATE)
 GROUP BY ALL
 """
 

@@ -83,3 +83,25 @@ def test_csv_export_per_month(spark, tmp_path):
     write_csv_export(df.where(F.col("month") == "2026-05").withColumn("k", F.lit("c")), out, ["month"])
     back = spark.read.option("header", True).csv(out).select("month", "k")
     assert rows(back) == [("2026-04", "a"), ("2026-05", "c")]
+
+
+def test_observed_counts_and_sorted_write(spark, tmp_path):
+    from cumulus.sources.files import observed, write_table
+
+    df = spark.createDataFrame([(3, "b"), (1, "a"), (2, "a")], "v int, k string")
+    df2, obs = observed(df, "out")
+    write_table(df2, str(tmp_path / "t"), partition_by=["k"], sort_by=["v"])
+    assert obs.get["rows"] == 3
+    assert rows(spark.read.parquet(str(tmp_path / "t")), "k", "v") == [("a", 1), ("a", 2), ("b", 3)]
+
+
+def test_no_snapshot_is_an_error(spark):
+    import pytest
+
+    from cumulus.operators.snapshots import latest_by, require_snapshots
+
+    empty = spark.createDataFrame([], "snapshot_date date, k string")
+    with pytest.raises(FileNotFoundError):
+        require_snapshots(empty)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string")
+    assert rows(latest_by(df, [F.col("v").desc()]), "v") == [(2,)]
