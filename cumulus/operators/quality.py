@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (
@@ -70,10 +70,14 @@ def rescrape_targets(missing: DataFrame, states: Mapping[str, str] = STATE_BY_CO
     """DD1: one target per (code, vehicle type), first in manifest order; unknown state skipped."""
     m = missing.where((F.col("office_code") != "") & F.col("vehicle_type").isin(*KNOWN_VEHICLE_TYPES))
     m = m.withColumn("state", state_from_code(F.col("office_code"), states, default=None)).where(F.col("state").isNotNull())
-    w = Window.partitionBy(F.upper("office_code"), "vehicle_type").orderBy("pos")
-    first = m.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
+    # First per (code, vehicle type) as an aggregate: combined map-side, so a code
+    # listed many times never piles up in one task (a window would).
+    first = m.groupBy(F.upper("office_code").alias("rto_code"), "vehicle_type").agg(
+        F.min_by(F.struct("state", "name", "pos"), "pos").alias("first")
+    )
     return first.select(
-        F.upper("office_code").alias("rto_code"), "vehicle_type", "state", F.col("name").alias("expected_filename"), "pos"
+        "rto_code", "vehicle_type", F.col("first.state").alias("state"), F.col("first.name").alias("expected_filename"),
+        F.col("first.pos").alias("pos"),
     )
 
 
@@ -129,10 +133,6 @@ def keep_last_per_target(audit: DataFrame) -> DataFrame:
     Target = proposed new path for a mismatch, the file's own path otherwise.
     """
     target = F.coalesce(F.col("new_path"), F.col("path"))
-    w = Window.partitionBy("target").orderBy(F.col("path").desc())
-    return (
-        audit.withColumn("target", target)
-        .withColumn("__rn", F.row_number().over(w))
-        .where("__rn = 1")
-        .select("target", F.col("path").alias("winner"), "status")
-    )
+    # An aggregate, not a window: many files aimed at one name are combined map-side.
+    last = audit.groupBy(target.alias("target")).agg(F.max_by(F.struct("path", "status"), "path").alias("w"))
+    return last.select("target", F.col("w.path").alias("winner"), F.col("w.status").alias("status"))

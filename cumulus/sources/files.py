@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import data_date, parse_day_first
-from ..functions.schema import normalize_headers
+from ..functions.schema import normalize_headers, null_tokens_to_null
 
 DATED_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
-def read_snapshot_csv(spark: SparkSession, path: str | Sequence[str], date_col: str = "snapshot_date") -> DataFrame:
+def read_snapshot_csv(spark: SparkSession, path: str | Sequence[str], date_col: str = "snapshot_date",
+                      null_tokens: bool = True) -> DataFrame:
     """SRC4 + SNP1: a folder of daily snapshot CSVs as one table.
 
     Every column is read as text (no schema inference pass over the data;
@@ -22,11 +23,14 @@ def read_snapshot_csv(spark: SparkSession, path: str | Sequence[str], date_col:
     (day-first) when present and parsable, else the run date in a
     ``YYYY-MM-DD`` file name minus one day, else the file's modification day.
     Files of one folder share one layout (the CSV reader maps by header of
-    the first file).
+    the first file). With ``null_tokens`` the usual missing-value spellings
+    (``NA``, ``None``, ``nan``, ...) become NULL, as in the source's reader.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
     raw = raw.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.file_modification_time").alias("__mtime"))
     df = normalize_headers(raw)
+    if null_tokens:
+        df = null_tokens_to_null(df, [c for c in df.columns if c not in ("__file", "__mtime")])
     run = F.try_to_date(F.regexp_extract(F.col("__file"), DATED_NAME, 1), "yyyy-MM-dd")
     from_ts = parse_day_first(F.col("timestamp")) if "timestamp" in df.columns else F.lit(None).cast("date")
     d = F.coalesce(from_ts, data_date(run), data_date(F.to_date("__mtime")))

@@ -142,3 +142,32 @@ def test_snapshot_index_and_latest_pair(spark):
     assert rows(latest_pair(s)) == [(d("2026-05-03"), d("2026-05-01"))]
     no_reset = {r.snapshot_date.isoformat(): r.prev_date for r in snapshot_index(s, reset=None).collect()}
     assert no_reset["2026-05-01"] == d("2026-04-30")
+
+
+def test_office_code_as_key_separates_same_named_offices(spark):
+    df = spark.createDataFrame(
+        [(d("2026-05-02"), "STATE TRANSPORT AUTHORITY", "KA99", "car", "M", 1),
+         (d("2026-05-02"), "STATE TRANSPORT AUTHORITY", "TN999", "car", "M", 5),
+         (d("2026-05-03"), "STATE TRANSPORT AUTHORITY", "KA99", "car", "M", 2),
+         (d("2026-05-03"), "STATE TRANSPORT AUTHORITY", "TN999", "car", "M", 5)],
+        "snapshot_date date, RTO string, rto_number string, vehicle_type string, Maker string, PETROL bigint",
+    )
+    by_code = snapshot_delta(df, ["RTO", "rto_number", "vehicle_type", "Maker"]).where(F.col("snapshot_date") == d("2026-05-03"))
+    assert rows(by_code, "rto_number", "PETROL") == [("KA99", 1), ("TN999", 0)]
+    merged = snapshot_delta(df, KEYS, measures=["PETROL"]).where(F.col("snapshot_date") == d("2026-05-03"))
+    assert rows(merged, "PETROL") == [(1,)]
+
+
+def test_reporting_month_and_data_date(spark):
+    from cumulus.functions.scalars import data_date, reporting_month
+
+    df = spark.createDataFrame([(d("2026-01-01"),), (d("2026-05-02"),)], "run date")
+    got = rows(df.select("run", data_date(F.col("run")).alias("dd"), reporting_month(F.col("run")).alias("m")))
+    assert got == [(d("2026-01-01"), d("2025-12-31"), d("2025-12-01")), (d("2026-05-02"), d("2026-05-01"), d("2026-05-01"))]
+
+
+def test_csv_null_tokens(spark):
+    from cumulus.functions.schema import null_tokens_to_null
+
+    df = spark.createDataFrame([("None", "NA", "x", " ")], "a string, b string, c string, e string")
+    assert rows(null_tokens_to_null(df)) == [(None, None, "x", " ")]
