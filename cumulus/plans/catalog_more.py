@@ -20,7 +20,7 @@ from ..operators.quality import (
     targets_per_state,
     with_identity,
 )
-from ..operators.reconcile import filler_rows, monthly_summary, reconcile
+from ..operators.reconcile import apply_corrections, filler_rows, monthly_summary, reconcile
 from ..operators.reshape import union_aligned
 from ..sources.tables import Tables
 from . import domain as D
@@ -168,6 +168,14 @@ def corrected_master(spark: SparkSession, data_dir: str) -> DataFrame:
     return per_month.join(totals, "month").select("month", "keys", "keys_unbalanced", "corrected_total")
 
 
+@register("corrected_master_rows")
+def corrected_master_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """C9 output: the fact table with the correction rows appended (master's column order first)."""
+    p = X.Pipeline(spark, data_dir)
+    sums = _summaries(p)
+    return apply_corrections(p.master(missed_run=True), _fillers(p, sums))
+
+
 # --- master append (C3, UN1/UN2) --------------------------------------------------------
 
 

@@ -162,6 +162,15 @@ tot AS (SELECT month, CAST(SUM("TOTAL") AS BIGINT) AS corrected_total FROM corr_
 SELECT pm.month, pm.keys, pm.keys_unbalanced, tot.corrected_total FROM pm JOIN tot ON tot.month = pm.month
 """
 
+ORACLE["corrected_master_rows"] = f"""
+WITH {_RECON}, {_FILLERS}
+SELECT scrape_timestamp, timestamp, state, RTO, rto_number, vehicle_type, district, Maker, {", ".join(_q(m) for m in M)},
+       CAST(NULL AS VARCHAR) AS row_source
+FROM master
+UNION ALL
+SELECT * FROM fillers
+"""
+
 ORACLE["monthly_summary"] = f"""
 WITH {X.master_sql()},
 p AS (SELECT *, {_date('timestamp')} AS d FROM master)
