@@ -38,11 +38,6 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def blank_to_null(c: Column) -> Column:
-    """Empty or all-whitespace text -> NULL."""
-    return F.when(strip_ws(c) == "", F.lit(None)).otherwise(c)
-
-
 def to_number(c: Column) -> Column:
     """Lenient number parse: bad text (``'1,234'``, ``'abc'``, ``'nan'``, blank) -> NULL, as a double.
 
@@ -58,11 +53,6 @@ def to_count(c: Column) -> Column:
     return F.coalesce(to_number(c), F.lit(0.0)).try_cast("bigint")
 
 
-def to_count_or_null(c: Column) -> Column:
-    """Lenient parse truncated toward zero to BIGINT; unparsable stays NULL."""
-    return to_number(c).try_cast("bigint")
-
-
 def parse_day_first(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """Lenient date parse over several layouts; unparsable -> NULL."""
     text = strip_ws(c.cast("string"))

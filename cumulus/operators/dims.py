@@ -1,8 +1,10 @@
 """Dimension tables and lookups (JN4, JN5, JN7, SRC5-SRC8).
 
 Dimensions are small tables: literal maps become DataFrames whose size is
-known in the driver (broadcast is safe); dimensions read from files or tables
-are broadcast only after a row-count check.
+known in the driver (broadcast is safe); dimension files are broadcast only
+after a row-count check (:func:`read_json_map`); dimension tables are left to
+the planner, which broadcasts them by its size estimate (or AQE by the real
+size) and otherwise shuffles.
 """
 
 from __future__ import annotations
@@ -79,11 +81,6 @@ UNKNOWN_DISTRICT = "Unknown"
 # ------------------------------------------------------------------------------
 
 
-def invert_groups(groups: Mapping[str, Sequence[str]]) -> dict[str, str]:
-    """Group -> members map inverted to member -> group (RS2)."""
-    return {member: group for group, members in groups.items() for member in members}
-
-
 def map_dim(spark: SparkSession, mapping: Mapping[str, str | None], key: str, value: str) -> DataFrame:
     """A literal map as a two-column dimension, marked for broadcast (size known here)."""
     rows = [(k, v) for k, v in mapping.items()]

@@ -24,11 +24,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
-def literal_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a frame built from a literal list in the driver (size known)."""
-    return F.broadcast(df)
-
-
 def null_safe_condition(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     cond = None
     for lcol, rcol in pairs:

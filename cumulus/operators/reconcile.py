@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import fmt_day_first, parse_day_first, to_number
 from ..functions.schema import SUMMARY_ID_COLUMNS, conform, numeric_columns, q, resolve_column
-from .reshape import union_aligned
+from .reshape import add_missing, union_aligned
 
 SUMMARY_EXTRA_KEYS = ("state", "rto_number", "district")
 
@@ -73,9 +73,10 @@ def reconcile(left: DataFrame, right: DataFrame, measures: Sequence[str], keys:
     keys = [*keys, *[c for c in extra_keys if c in left.columns and c in right.columns]]
 
     def signed(df: DataFrame, sign: int) -> DataFrame:
+        df = add_missing(df, measures)  # RS3: a measure one side lacks is 0 there
         return df.select(
             *[F.col(q(k)) for k in keys],
-            *[(F.coalesce(F.col(q(m)), F.lit(0)) * sign if m in df.columns else F.lit(0)).alias(m) for m in measures],
+            *[(F.coalesce(F.col(q(m)), F.lit(0)) * sign).alias(m) for m in measures],
         )
 
     both = signed(left, 1).unionByName(signed(right, -1))

@@ -43,17 +43,6 @@ def snapshot_index(snapshots: DataFrame, date_col: str = "snapshot_date", reset:
     )
 
 
-def latest_dates(snapshots: DataFrame, n: int = 2, date_col: str = "snapshot_date") -> DataFrame:
-    """The ``n`` latest snapshot dates (TakeOrdered over the distinct dates)."""
-    return (
-        snapshots.select(F.col(date_col).cast("date").alias(date_col))
-        .where(F.col(date_col).isNotNull())
-        .distinct()
-        .orderBy(F.col(date_col).desc())
-        .limit(n)
-    )
-
-
 def latest_pair(snapshots: DataFrame, date_col: str = "snapshot_date", reset: str | None = RESET_MONTH) -> DataFrame:
     """``(new_date, old_date)`` for the latest snapshot; ``old_date`` is NULL on a reset.
 

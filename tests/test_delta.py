@@ -171,3 +171,12 @@ def test_csv_null_tokens(spark):
 
     df = spark.createDataFrame([("None", "NA", "x", " ")], "a string, b string, c string, e string")
     assert rows(null_tokens_to_null(df)) == [(None, None, "x", " ")]
+
+
+def test_restrict_to_latest_pair(spark):
+    from cumulus.operators.snapshots import restrict_to_latest_pair
+
+    s = snaps(spark, [("2026-05-01", "A", "c", "M", 1, 1), ("2026-05-02", "A", "c", "M", 2, 1), ("2026-05-04", "A", "c", "M", 3, 1)])
+    assert rows(restrict_to_latest_pair(s), "snapshot_date") == [(d("2026-05-02"),), (d("2026-05-04"),)]
+    reset = snaps(spark, [("2026-04-30", "A", "c", "M", 1, 1), ("2026-05-01", "A", "c", "M", 2, 1)])
+    assert rows(restrict_to_latest_pair(reset), "snapshot_date") == [(d("2026-05-01"),)]
