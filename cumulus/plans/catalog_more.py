@@ -219,16 +219,21 @@ def align_union(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register("numeric_coerce")
 def numeric_coerce(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SC10: every whitespace-separated token of every document, parsed leniently (per row, no shuffle)."""
+    """SC10: every whitespace-separated token of every document, parsed leniently (per row, no shuffle).
+
+    Each token is parsed once (``to_number``: NULL when not a number); count
+    and truncated sum come from that one parsed list.
+    """
     t = Tables(spark, data_dir)
     tokens = F.filter(F.split(F.col("text"), r"\s+"), lambda x: x != "")
-    numeric = F.filter(tokens, lambda x: x.rlike(S.NUMBER_PATTERN))
-    values = F.transform(numeric, lambda x: S.to_count(x))
+    parsed = F.transform(tokens, lambda x: S.to_number(x))
     return t.documents.select(
         "doc_id",
         F.size(tokens).cast("bigint").alias("n_tokens"),
-        F.size(numeric).cast("bigint").alias("n_numeric"),
-        F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("numeric_sum"),
+        F.size(F.filter(parsed, lambda v: v.isNotNull())).cast("bigint").alias("n_numeric"),
+        F.aggregate(
+            parsed, F.lit(0).cast("bigint"), lambda acc, v: acc + F.coalesce(v.try_cast("bigint"), F.lit(0).cast("bigint"))
+        ).alias("numeric_sum"),
     )
 
 
