@@ -429,3 +429,9 @@ WHERE od.state = 'MIDDLE EAST'
 
 # X1 replayed incrementally must equal the one-pass batch result.
 ORACLE["incremental_ingest"] = ORACLE["delta_all_snapshots"]
+
+ORACLE["replace_partition_replay"] = """
+SELECT strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') AS scrape_date, event_type, CAST(COUNT(*) AS BIGINT) AS events,
+       CAST(SUM(round(value * 100)) AS BIGINT) AS value_cents
+FROM events GROUP BY CAST(ts AS DATE), event_type
+"""
