@@ -61,7 +61,7 @@ def dim_unmapped(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def _mart(spark: SparkSession, data_dir: str) -> DataFrame:
-    p = X.Pipeline(spark, data_dir)
+    p = X.Derivation(spark, data_dir)
     return build_mart(spark, p.master(), X.geo_dim(p.t), X.FUEL_GROUPS_T, X.MAKER_SHORT_T, X.ZONE_T)
 
 
@@ -109,27 +109,27 @@ def monthly_summary_q(spark: SparkSession, data_dir: str) -> DataFrame:
     The month comes from the run calendar (one date column scanned, a scalar
     subquery), as the source takes the current month; the facts are read once.
     """
-    p = X.Pipeline(spark, data_dir)
+    p = X.Derivation(spark, data_dir)
     latest = D.run_calendar(p.t).select(F.max("day")).scalar()
     m = p.master()
     m = m.where(S.parse_day_first(F.col("timestamp")) >= F.trunc(latest, "month"))
     return monthly_summary(m, measures=D.MEASURES)
 
 
-def _summaries(p: X.Pipeline) -> tuple[DataFrame, DataFrame]:
+def _summaries(p: X.Derivation) -> tuple[DataFrame, DataFrame]:
     """(cumulative month-end summary, facts summary with the missed run), per month and key."""
     cum_s = monthly_summary(p.cumulative_month_end(), measures=D.MEASURES, by_month=True)
     facts_s = monthly_summary(p.master(missed_run=True), measures=D.MEASURES, by_month=True)
     return cum_s, facts_s
 
 
-def _reconciled(p: X.Pipeline, sums: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def _reconciled(p: X.Derivation, sums: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Per month and key: cumulative month-end figure minus the sum of increments (with a missed run)."""
     cum_s, facts_s = sums or _summaries(p)
     return reconcile(cum_s, facts_s, D.MEASURES, keys=("month", "RTO", "Maker"))
 
 
-def _fillers(p: X.Pipeline, sums: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def _fillers(p: X.Derivation, sums: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     diff = _reconciled(p, sums).join(F.broadcast(p.month_end()), "month")  # one row per month
     return filler_rows(diff, X.MASTER_LAYOUT, F.date_add("last_day", 1), types={m: "bigint" for m in D.MEASURES})
 
@@ -137,13 +137,13 @@ def _fillers(p: X.Pipeline, sums: tuple[DataFrame, DataFrame] | None = None) ->
 @register("reconcile_full_outer")
 def reconcile_full_outer(spark: SparkSession, data_dir: str) -> DataFrame:
     """C8: per month and key, cumulative month-end figure minus the sum of increments (missed run)."""
-    return _reconciled(X.Pipeline(spark, data_dir))
+    return _reconciled(X.Derivation(spark, data_dir))
 
 
 @register("filler_rows")
 def filler_rows_q(spark: SparkSession, data_dir: str) -> DataFrame:
     """C8 output: correction rows in the fixed wide layout, stamped with each month's run date."""
-    return _fillers(X.Pipeline(spark, data_dir))
+    return _fillers(X.Derivation(spark, data_dir))
 
 
 @register("corrected_master")
@@ -155,7 +155,7 @@ def corrected_master(spark: SparkSession, data_dir: str) -> DataFrame:
     same summary feeds the correction rows), and the correction rows are
     added to that summary instead of re-aggregating every fact row.
     """
-    p = X.Pipeline(spark, data_dir)
+    p = X.Derivation(spark, data_dir)
     cum_s, facts_s = sums = _summaries(p)
     fillers_s = monthly_summary(_fillers(p, sums), measures=D.MEASURES, by_month=True)
     keys = ["month", "RTO", "Maker", "state", "rto_number", "district"]
@@ -171,7 +171,7 @@ def corrected_master(spark: SparkSession, data_dir: str) -> DataFrame:
 @register("corrected_master_rows")
 def corrected_master_rows(spark: SparkSession, data_dir: str) -> DataFrame:
     """C9 output: the fact table with the correction rows appended (master's column order first)."""
-    p = X.Pipeline(spark, data_dir)
+    p = X.Derivation(spark, data_dir)
     sums = _summaries(p)
     return apply_corrections(p.master(missed_run=True), _fillers(p, sums))
 

@@ -94,7 +94,7 @@ def with_office_attrs(t: Tables, df: DataFrame, office_col: str = "office") -> D
     return lookup(out, district_dim(t), [(office_col, "office_key")], ["district"], default={"district": "Unknown"}, upper_key=True)
 
 
-class Pipeline:
+class Derivation:
     """The derived snapshot -> increment pipeline of one query, built once.
 
     Every branch of a query that needs the snapshots, the index or the
@@ -151,8 +151,8 @@ class Pipeline:
 
 
 def master_facts(spark: SparkSession, data_dir: str, missed_run: bool = False) -> DataFrame:
-    """Daily increments in the wide master layout (see :meth:`Pipeline.master`)."""
-    return Pipeline(spark, data_dir).master(missed_run)
+    """Daily increments in the wide master layout (see :meth:`Derivation.master`)."""
+    return Derivation(spark, data_dir).master(missed_run)
 
 
 def _delta_sql_body() -> str:

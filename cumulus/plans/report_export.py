@@ -8,7 +8,8 @@ written as a space, since it separates the vehicle type. Offices of MIDDLE EAST
 file name without office code, so the reader must quarantine them. Files are
 written by the tasks of one ``applyInPandas`` (one group = one file, named by
 its key, so a retried task rewrites the same file) into a fresh folder under
-the shared checkpoint directory.
+the shared checkpoint directory; the tasks use plain file I/O, so on a cluster
+that folder must be a shared POSIX mount (test fixture, not library code).
 """
 
 from __future__ import annotations
