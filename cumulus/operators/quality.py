@@ -39,25 +39,25 @@ def with_identity(files: DataFrame, name_col: str = "name") -> DataFrame:
     )
 
 
-def folder_index(present: DataFrame, name_col: str = "name") -> DataFrame:
+def folder_index(present: DataFrame, name_col: str = "name", ext: str = ".xlsx") -> DataFrame:
     """AG11 as a relation: present report files keyed by (office_code, vehicle_type).
 
-    Only names with a code and a known vehicle type take part.
+    Only names with the report extension, a code and a known vehicle type take part.
     """
-    p = with_identity(present.where(F.lower(F.col(name_col)).endswith(".xlsx")), name_col)
+    p = with_identity(present.where(F.lower(F.col(name_col)).endswith(ext)), name_col)
     return p.where((F.col("office_code") != "") & F.col("vehicle_type").isin(*KNOWN_VEHICLE_TYPES))
 
 
-def missing_files(expected: DataFrame, present: DataFrame) -> DataFrame:
+def missing_files(expected: DataFrame, present: DataFrame, ext: str = ".xlsx") -> DataFrame:
     """JN6: expected names matched neither by lower-cased exact name nor by (code, vehicle type).
 
     Two chained left-anti joins (each an equi-join, hash-partitioned or
     broadcast by the planner); an OR of both conditions would plan as a
     nested loop.
     """
-    xlsx = present.where(F.lower("name").endswith(".xlsx"))
+    xlsx = present.where(F.lower("name").endswith(ext))
     exact = xlsx.select(F.lower("name").alias("__lname")).distinct()
-    by_code = folder_index(xlsx).select(F.col("office_code").alias("__c"), F.col("vehicle_type").alias("__v")).distinct()
+    by_code = folder_index(xlsx, ext=ext).select(F.col("office_code").alias("__c"), F.col("vehicle_type").alias("__v")).distinct()
     e = with_identity(expected)
     step1 = e.join(exact, F.lower(e["name"]) == exact["__lname"], "left_anti")
     step2 = step1.join(
@@ -86,10 +86,10 @@ def targets_per_state(targets: DataFrame) -> DataFrame:
     return targets.groupBy("state").agg(F.count(F.lit(1)).alias("targets"))
 
 
-def completeness_totals(expected: DataFrame, present: DataFrame, missing: DataFrame) -> DataFrame:
+def completeness_totals(expected: DataFrame, present: DataFrame, missing: DataFrame, ext: str = ".xlsx") -> DataFrame:
     """AG9: one row (expected, present, missing); three counts joined as scalar subqueries."""
     e = expected.select(F.count(F.lit(1)).alias("n")).scalar()
-    p = present.where(F.lower("name").endswith(".xlsx")).select(F.count(F.lit(1)).alias("n")).scalar()
+    p = present.where(F.lower("name").endswith(ext)).select(F.count(F.lit(1)).alias("n")).scalar()
     m = missing.select(F.count(F.lit(1)).alias("n")).scalar()
     return expected.sparkSession.range(1).select(e.alias("expected"), p.alias("present"), m.alias("missing"))
 

@@ -63,6 +63,8 @@ def _parse_one(path: str, content: bytes) -> pd.DataFrame:
     long.insert(0, "title", title)
     long.insert(0, "path", path)
     long["error"] = None
+    if long.empty:  # header only: keep the title for the header audit; no maker, so no data row
+        long = pd.DataFrame([[path, title, None, None, None, None, None]], columns=long.columns)
     return long
 
 
