@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from ..functions import scalars as S
 from ..functions.schema import numeric_column_flags
 from ..operators.dims import keep_listed, lookup, map_dim, unmapped
 from ..operators.mart import audit_totals, build_mart, month_to_date
-from ..operators.master import replace_and_append
+from ..operators.master import replace_and_append, write_run_partition
 from ..operators.quality import (
     completeness_totals,
     header_audit,
@@ -22,10 +24,14 @@ from ..operators.quality import (
 )
 from ..operators.reconcile import apply_corrections, filler_rows, monthly_summary, reconcile
 from ..operators.reshape import union_aligned
+from ..session import materialize, scratch_path
+from ..sources.reports import consolidate_reports
 from ..sources.tables import Tables
+from ..streaming.incremental import run_incremental
 from . import domain as D
 from . import fixtures as X
 from .catalog import register
+from .report_export import reports_fixture
 
 # --- dimensions (JN4, JN5, JN7, DD2) --------------------------------------------
 
@@ -94,8 +100,6 @@ def month_to_date_q(spark: SparkSession, data_dir: str) -> DataFrame:
     The mart is written once to the shared checkpoint folder (the stored mart
     table), so the latest-date subquery scans it instead of rebuilding it.
     """
-    from ..session import materialize
-
     return month_to_date(materialize(_mart(spark, data_dir)))
 
 
@@ -439,9 +443,6 @@ def drop_blank_rows(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def _ingest(spark: SparkSession, data_dir: str):
-    from ..sources.reports import consolidate_reports
-    from .report_export import reports_fixture
-
     t = Tables(spark, data_dir)
     cells = reports_fixture(spark, data_dir)
     makers = spark.createDataFrame([(m,) for m in X.MAKER_WHITELIST_T], "maker string")
@@ -469,11 +470,6 @@ def ingest_quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
 def incremental_ingest(spark: SparkSession, data_dir: str) -> DataFrame:
     """X1: snapshots land in two waves (the 10th of each month arrives late); the stream's
     month-by-month recompute must equal the one-pass batch result."""
-    import uuid
-
-    from ..session import scratch_path
-    from ..streaming.incremental import run_incremental
-
     t = Tables(spark, data_dir)
     snap = D.mtd_snapshots(t)
     root = scratch_path(spark, f"incremental-{uuid.uuid4().hex}")
@@ -492,11 +488,6 @@ def replace_partition_replay(spark: SparkSession, data_dir: str) -> DataFrame:
     """C3 on storage: the fact table partitioned by run date; the last day, first loaded from a
     morning-only batch, is replayed twice with dynamic partition overwrite. Only its partition
     is rewritten, and the second replay changes nothing."""
-    import uuid
-
-    from ..operators.master import write_run_partition
-    from ..session import scratch_path
-
     t = Tables(spark, data_dir)
     ev = t.events.select(F.to_date("ts").alias("day"), "ts", "event_type", "value")
     last_day = ev.select(F.max("day")).scalar()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -82,8 +83,6 @@ def materialize(df, name: str | None = None):
     later projections and filters prune and push down into it. Each call
     writes a fresh folder, so concurrent queries never share one.
     """
-    import uuid
-
     path = scratch_path(df.sparkSession, f"{name or 'stage'}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import data_date, parse_day_first
@@ -77,7 +77,5 @@ def observed(df: DataFrame, name: str):
     The count is gathered while the data is written or collected, so it costs
     no second job over the data.
     """
-    from pyspark.sql import Observation
-
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
