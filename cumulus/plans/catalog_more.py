@@ -302,10 +302,9 @@ def file_identity_q(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register("normalize_text")
 def normalize_text_q(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SC5: drop parenthesised parts, collapse whitespace, trim, lower-case (first line of each document)."""
+    """SC5: drop parenthesised parts, collapse whitespace, trim, lower-case (whole documents)."""
     t = Tables(spark, data_dir)
-    first = F.substring_index(F.col("text"), "\n", 1)
-    return t.documents.select("doc_id", S.normalize_text(first).alias("normalized"))
+    return t.documents.select("doc_id", S.normalize_text(F.col("text")).alias("normalized"))
 
 
 @register("title_to_office")
@@ -431,11 +430,11 @@ def maker_whitelist(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register("drop_blank_rows")
 def drop_blank_rows(spark: SparkSession, data_dir: str) -> DataFrame:
-    """FLT1: drop rows whose label (first line) is NULL, blank, or a repeated 'Maker'/'TOTAL' header."""
+    """FLT1: every line of every document is a sheet row; drop blank lines and repeated 'Maker'/'TOTAL' rows."""
     t = Tables(spark, data_dir)
-    label = S.strip_ws(F.substring_index(F.col("text"), "\n", 1))
-    docs = t.documents.select("doc_id", label.alias("label"))
-    return docs.where(F.col("label").isNotNull() & ~F.col("label").isin("Maker", "TOTAL", ""))
+    lines = t.documents.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "line"))
+    rows = lines.select("doc_id", "line_no", S.strip_ws(F.col("line")).alias("label"))
+    return rows.where(F.col("label").isNotNull() & ~F.col("label").isin("Maker", "TOTAL", ""))
 
 
 

@@ -297,7 +297,7 @@ def _identity_cte(src: str) -> str:
 
 ORACLE["file_identity"] = f"WITH {X.LANDED_SQL}, {_identity_cte('landed')} SELECT * FROM ident"
 
-ORACLE["normalize_text"] = f"SELECT doc_id, {_norm('split_part(text, chr(10), 1)')} AS normalized FROM documents"
+ORACLE["normalize_text"] = f"SELECT doc_id, {_norm('text')} AS normalized FROM documents"
 
 _TITLE_PREFIX = "'^maker\\s+wise\\s+fuel\\s+data\\s+of\\s+'"
 _TAIL = "'\\s*,\\s*[^,]+(\\([^)]*\\))?\\s*$'"
@@ -393,7 +393,10 @@ GROUP BY 1
 """
 
 ORACLE["drop_blank_rows"] = f"""
-SELECT doc_id, label FROM (SELECT doc_id, {_strip('split_part(text, chr(10), 1)')} AS label FROM documents)
+SELECT doc_id, line_no, label FROM (
+  SELECT doc_id, CAST(line_no - 1 AS INTEGER) AS line_no, {_strip('line')} AS label
+  FROM (SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line_no,
+               unnest(string_split(text, chr(10))) AS line FROM documents))
 WHERE label IS NOT NULL AND label NOT IN ('Maker', 'TOTAL', '')
 """
 
