@@ -30,12 +30,17 @@ DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd", "d/M/yyyy")
 # -----------------------------------------------------------------------------
 
 
+# The whitespace ``\s`` matches: space, tab, newline, vertical tab, form feed, carriage return.
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def strip_ws(c: Column) -> Column:
     """Trim every kind of leading/trailing whitespace (tabs, newlines), like ``str.strip``.
 
-    ``F.trim`` removes spaces only. Inner runs of spaces are significant and kept.
+    ``F.trim`` removes spaces only; ``btrim`` with the whitespace set does the
+    rest without a regular expression. Inner runs of spaces are significant and kept.
     """
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def to_number(c: Column) -> Column:
