@@ -12,7 +12,8 @@ turns each file into *long* rows ``(path, title, maker, fuel, value)`` -- the
 only Python in the pipeline, a per-file parser -- and everything after it
 (name parsing, filters, whitelist, district lookup, number coercion, pivot)
 is Spark SQL. A file that fails to parse yields one quarantine row with the
-error instead of failing the job.
+error instead of failing the job. Each file is read whole into one row, which
+suits report sheets (kilobytes each); bulk data belongs in Parquet/CSV tables.
 """
 
 from __future__ import annotations
