@@ -79,3 +79,13 @@ def observed(df: DataFrame, name: str):
     """
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def read_csv_export(spark: SparkSession, path: str) -> DataFrame:
+    """Read a :func:`write_csv_export` folder back with ``""`` and NULL kept apart.
+
+    Quoted ``""`` is an empty string and an unquoted empty field is NULL; the
+    default reader folds both into NULL, so ``nullValue`` is set to a control
+    character that never occurs in the data.
+    """
+    return spark.read.option("header", True).option("nullValue", "\u0001").csv(path)

@@ -117,3 +117,15 @@ def test_header_audit_statuses_and_keep_last(spark):
     assert a["/d/empty_motor_cab.xlsx"][0] == "no_header"
     winners = {r.target: r.winner for r in keep_last_per_target(header_audit(files)).collect()}
     assert winners["/d/ADOOR SRTO - KL26_motor_car.xlsx"] == "/d/ADOOR SRTO - KL26_motor_car.xlsx"
+
+
+def test_dimension_drift_gives_a_plus_minus_filler_pair(spark):
+    # The office's district was remapped mid-month: the month-end snapshot carries the new
+    # district, the earlier increments the old one, so the correction moves the volume.
+    cum = spark.createDataFrame([("04-05-2026", "R1", "M", "New", 5)], "timestamp string, RTO string, Maker string, district string, PETROL bigint")
+    facts = spark.createDataFrame(
+        [("02-05-2026", "R1", "M", "Old", 3), ("03-05-2026", "R1", "M", "New", 2)],
+        "timestamp string, RTO string, Maker string, district string, PETROL bigint",
+    )
+    diff = reconcile(monthly_summary(cum, 5, 2026), monthly_summary(facts, 5, 2026), ["PETROL"])
+    assert rows(diff, "district", "PETROL") == [("New", 3), ("Old", -3)]

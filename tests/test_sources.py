@@ -105,3 +105,15 @@ def test_no_snapshot_is_an_error(spark):
         require_snapshots(empty)
     df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, k string")
     assert rows(latest_by(df, [F.col("v").desc()]), "v") == [(2,)]
+
+
+def test_csv_edge_keeps_empty_string_and_null_apart(spark, tmp_path):
+    df = spark.createDataFrame([("a", ""), ("b", None)], "k string, v string")
+    out = str(tmp_path / "edge")
+    write_csv_export(df, out)
+    text = "".join(p.read_text() for p in (tmp_path / "edge").glob("*.csv"))
+    assert 'a,""' in text and "b,\n" in text
+    from cumulus.sources.files import read_csv_export
+
+    back = read_csv_export(spark, out)
+    assert rows(back, "k", "v") == [("a", ""), ("b", None)]
