@@ -23,6 +23,10 @@ TITLE_PREFIX_PATTERN = r"(?i)^maker\s+wise\s+fuel\s+data\s+of\s+"
 FILE_NAME_PATTERN = r"^(.+?)\s*-\s*([A-Z]+[0-9]+)"
 # Office code anywhere in a text: two capitals then digits.
 OFFICE_CODE_PATTERN = r"([A-Z]{2}[0-9]+)"
+# Title tail removed after the office: ", <state>" with an optional "(...)".
+TITLE_TAIL_PATTERN = r"\s*,\s*[^,]+(\([^)]*\))?\s*$"
+# Parenthesised parts dropped when names are compared.
+PARENS_PATTERN = r"\([^)]*\)"
 # Text accepted as a number: sign, digits with optional fraction, optional exponent.
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 # Date layouts accepted on read, in the order they are tried (day first).
@@ -147,7 +151,7 @@ def extract_office_code(text: Column) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """Drop ``( ... )`` groups, collapse whitespace, trim, lower-case."""
-    t = F.regexp_replace(text, r"\([^)]*\)", " ")
+    t = F.regexp_replace(text, PARENS_PATTERN, " ")
     t = F.regexp_replace(t, r"\s+", " ")
     return F.lower(strip_ws(t))
 
@@ -193,7 +197,7 @@ def file_identity(name: Column) -> Column:
 def office_from_title(title: Column) -> Column:
     """Report title -> office text: drop the fixed prefix and the trailing ``, <state> (...)``."""
     t = strip_ws(F.regexp_replace(F.coalesce(title, F.lit("")), TITLE_PREFIX_PATTERN, ""))
-    t = F.regexp_replace(t, r"\s*,\s*[^,]+(\([^)]*\))?\s*$", "")
+    t = F.regexp_replace(t, TITLE_TAIL_PATTERN, "")
     return strip_ws(t)
 
 
