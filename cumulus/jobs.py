@@ -33,7 +33,7 @@ from .operators.dims import FUEL_GROUPS, MAKER_SHORT, ZONE_BY_STATE
 from .operators.mart import audit_totals, build_mart, month_to_date
 from .operators.reconcile import filler_rows, monthly_summary, reconcile
 from .session import materialize
-from .sources.files import write_csv_export, write_table
+from .sources.files import observed, write_csv_export, write_table
 from .sources.reports import consolidate_reports, read_report_cells
 
 # Snapshot key. The source keys on (RTO, vehicle_type, Maker); one office name can
@@ -79,18 +79,26 @@ def check_inputs(spark: SparkSession, landing: str, manifest_path: str, ext: str
 
 
 def ingest_day(spark: SparkSession, store: Store, landing: str, run_date: dt.date, district: DataFrame | None = None,
-               makers: DataFrame | None = None, fuels: Sequence[str] = MEASURES) -> None:
-    """C1: the day's report files -> the day's snapshot partition (+ quarantine rows)."""
+               makers: DataFrame | None = None, fuels: Sequence[str] = MEASURES) -> dict[str, int]:
+    """C1: the day's report files -> the day's snapshot partition (+ quarantine rows).
+
+    Returns the row counts (AG7), observed while writing: no second pass.
+    """
     cells = read_report_cells(spark, landing)
     wide, bad = consolidate_reports(cells, F.lit(run_date), district, makers, fuels=fuels)
-    snap = normalize_headers(wide).withColumn("snapshot_date", F.lit(run_date - dt.timedelta(days=1)))
+    snap, snap_obs = observed(normalize_headers(wide).withColumn("snapshot_date", F.lit(run_date - dt.timedelta(days=1))), "snapshot")
     write_table(snap, store.path("snapshots"), partition_by=["snapshot_date"], sort_by=["RTO", "Maker"])
-    write_table(bad.withColumn("run_date", F.lit(str(run_date))), store.path("quarantine"), partition_by=["run_date"])
+    bad, bad_obs = observed(bad.withColumn("run_date", F.lit(str(run_date))), "quarantine")
+    write_table(bad, store.path("quarantine"), partition_by=["run_date"])
+    return {"snapshot_rows": snap_obs.get["rows"], "quarantined_files": bad_obs.get["rows"]}
 
 
 def increments_for_month(spark: SparkSession, store: Store, month: dt.date, keys: Sequence[str] = DEFAULT_KEYS,
-                         measures: Sequence[str] = MEASURES) -> None:
-    """C2 + C3: recompute every increment of ``month`` from its snapshots; replace the month's delta rows."""
+                         measures: Sequence[str] = MEASURES) -> int:
+    """C2 + C3: recompute every increment of ``month`` from its snapshots; replace the month's delta rows.
+
+    Returns the number of increment rows written (observed during the write).
+    """
     first, nxt = _month_range(month)
     snaps = spark.read.parquet(store.path("snapshots")).where((F.col("snapshot_date") >= first) & (F.col("snapshot_date") < nxt))
     attrs = [a for a in ATTRIBUTES if a not in keys]
@@ -102,16 +110,18 @@ def increments_for_month(spark: SparkSession, store: Store, month: dt.date, keys
         "snapshot_date",
         F.lit("delta").alias("row_source"),
     )
+    facts, obs = observed(facts, "increments")
     write_table(facts, store.path("facts"), partition_by=["snapshot_date", "row_source"])
+    return obs.get["rows"]
 
 
-def correct_month(spark: SparkSession, store: Store, month: dt.date, run_date: dt.date, measures: Sequence[str] = MEASURES) -> None:
+def correct_month(spark: SparkSession, store: Store, month: dt.date, run_date: dt.date, measures: Sequence[str] = MEASURES) -> int:
     """C7-C9: correction rows = month-end snapshot - sum of the month's facts; stored as this run's fillers.
 
     The facts summed exclude this run's own earlier fillers (they are being
     replaced), so a second run on the same day writes the same rows. The
     fillers are written to the shared folder first, then into the fact table:
-    the job never overwrites what it reads.
+    the job never overwrites what it reads. Returns the number of correction rows.
     """
     first, nxt = _month_range(month)
     stamp = run_date - dt.timedelta(days=1)
@@ -124,7 +134,9 @@ def correct_month(spark: SparkSession, store: Store, month: dt.date, run_date: d
     right = monthly_summary(facts, measures=measures, date_col="snapshot_date")
     fill = filler_rows(reconcile(left, right, measures), FACT_LAYOUT, F.lit(run_date), types={m: "bigint" for m in measures})
     fill = materialize(fill.withColumn("snapshot_date", F.lit(stamp)), "fillers")
+    fill, obs = observed(fill, "fillers")
     write_table(fill, store.path("facts"), partition_by=["snapshot_date", "row_source"])
+    return obs.get["rows"]
 
 
 def build_outputs(spark: SparkSession, store: Store, office_dim: DataFrame, export: str | None = None,

@@ -55,9 +55,11 @@ def last_snapshot(spark, store):
 def test_daily_runs_replay_corrections_and_outputs(spark, tmp_path):
     store = Store(str(tmp_path / "store"))
     landing = tmp_path / "landing"
+    counts = []
     for run, reports in DAYS.items():
-        ingest_day(spark, store, land(landing, run, reports), run)
+        counts.append(ingest_day(spark, store, land(landing, run, reports), run))
         increments_for_month(spark, store, MAY)
+    assert counts[-1] == {"snapshot_rows": 2, "quarantined_files": 0}
     assert month_sums(spark, store) == last_snapshot(spark, store)
     daily = rows(spark.read.parquet(store.path("facts")).where("RTO = 'ADOOR SRTO'").select("timestamp", "PETROL"))
     assert daily == [("01-05-2026", 2), ("02-05-2026", 3), ("03-05-2026", 1)]
@@ -75,7 +77,7 @@ def test_daily_runs_replay_corrections_and_outputs(spark, tmp_path):
     run = dt.date(2026, 5, 4)
     ingest_day(spark, store, land(landing, run, revised), run)
     for _ in range(2):
-        correct_month(spark, store, MAY, dt.date(2026, 5, 4))
+        assert correct_month(spark, store, MAY, dt.date(2026, 5, 4)) == 2  # one row per key, all-zero kept
         assert month_sums(spark, store) == last_snapshot(spark, store)
     fillers = spark.read.parquet(store.path("facts")).where("row_source = 'filler'")
     assert fillers.where("PETROL <> 0").select("RTO", "PETROL").collect()[0].asDict() == {"RTO": "ADOOR SRTO", "PETROL": 2}
