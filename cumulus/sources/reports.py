@@ -112,7 +112,9 @@ def consolidate_reports(
     code, vehicle type, district (``Unknown`` when unmapped), maker and one
     count per fuel of ``fuels`` (explicit pivot values: no extra job).
     Quarantine = files that failed to parse or whose name does not parse.
-    ``run_date`` defaults to the date in each file's folder name.
+    ``run_date`` defaults to the date in each file's folder name. ``district``
+    has two columns, (upper-cased office name, district), matched on the
+    upper-cased office of the file name; ``makers`` has a ``maker`` column.
     """
     spark = cells.sparkSession
     if run_date is None:
