@@ -74,6 +74,8 @@ def snapshot_delta(
         measures = measure_columns(snapshots, exclude=[*DELTA_ID_COLUMNS, date_col, *keys, *attributes])
     measures = list(measures)
     base = snapshots
+    if dict(base.dtypes)[date_col] != "date":  # text or timestamp snapshot dates: one calendar day each
+        base = base.withColumn(date_col, F.to_date(F.col(f"`{date_col}`")))
     if trim_keys:
         base = base.withColumns({k: strip_ws(F.col(f"`{k}`")) for k in keys})
     base = _numeric(base, measures)

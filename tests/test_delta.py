@@ -180,3 +180,12 @@ def test_restrict_to_latest_pair(spark):
     assert rows(restrict_to_latest_pair(s), "snapshot_date") == [(d("2026-05-02"),), (d("2026-05-04"),)]
     reset = snaps(spark, [("2026-04-30", "A", "c", "M", 1, 1), ("2026-05-01", "A", "c", "M", 2, 1)])
     assert rows(restrict_to_latest_pair(reset), "snapshot_date") == [(d("2026-05-01"),)]
+
+
+def test_text_and_timestamp_snapshot_dates(spark):
+    df = spark.createDataFrame(
+        [("2026-05-02", "A", "M", 3), ("2026-05-03", "A", "M", 5)], "snapshot_date string, RTO string, Maker string, PETROL bigint"
+    )
+    assert rows(snapshot_delta(df, ["RTO", "Maker"]), "snapshot_date", "PETROL") == [(d("2026-05-02"), 3), (d("2026-05-03"), 2)]
+    ts = df.withColumn("snapshot_date", F.to_timestamp("snapshot_date"))
+    assert rows(snapshot_delta(ts, ["RTO", "Maker"]), "snapshot_date", "PETROL") == [(d("2026-05-02"), 3), (d("2026-05-03"), 2)]
