@@ -114,11 +114,13 @@ def header_audit(files: DataFrame, path_col: str = "path", title_col: str = "tit
         .otherwise("mismatch")
     )
     dir_part = F.regexp_extract(F.col(path_col), r"^(.*[/\\])", 1)
+    ext = F.regexp_extract(F.col(path_col), r"(\.[^./\\]*)$", 1)
+    ext = F.when(ext == "", F.lit(".xlsx")).otherwise(ext)  # the file keeps its own extension
     return files.select(
         F.col(path_col).alias("path"),
         status.alias("status"),
         F.when(status == "mismatch", office).alias("header_office"),
-        F.when(status == "mismatch", F.concat(dir_part, new_base, F.lit(".xlsx"))).alias("new_path"),
+        F.when(status == "mismatch", F.concat(dir_part, new_base, ext)).alias("new_path"),
     )
 
 

@@ -324,7 +324,8 @@ audit AS (
 res AS (
   SELECT path, status, CASE WHEN status = 'mismatch' THEN office END AS header_office,
          CASE WHEN status = 'mismatch' THEN regexp_extract(path, '^(.*[/\\\\])', 1) ||
-              regexp_replace(office || '_' || vt, '^_+|_+$', '', 'g') || '.xlsx' END AS new_path
+              regexp_replace(office || '_' || vt, '^_+|_+$', '', 'g') ||
+              COALESCE(NULLIF(regexp_extract(path, '(\\.[^./\\\\]*)$', 1), ''), '.xlsx') END AS new_path
   FROM audit)"""
 
 ORACLE["header_name_audit"] = f"WITH {_AUDIT} SELECT * FROM res"

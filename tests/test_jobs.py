@@ -103,4 +103,4 @@ def test_check_inputs(spark, tmp_path):
     assert rows(out["totals"]) == [(3, 2, 2)]
     audit = {r.path.rsplit("/", 1)[-1]: (r.status, r.new_path) for r in out["headers"].collect()}
     assert audit["ADOOR SRTO - KL26_motor_car.csv"][0] == "ok"
-    assert audit["3f2a_motor_cab.csv"][0] == "mismatch" and audit["3f2a_motor_cab.csv"][1].endswith("/ALUVA SRTO - KL41_motor_cab.xlsx")
+    assert audit["3f2a_motor_cab.csv"][0] == "mismatch" and audit["3f2a_motor_cab.csv"][1].endswith("/ALUVA SRTO - KL41_motor_cab.csv")
