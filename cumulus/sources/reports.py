@@ -43,11 +43,11 @@ def _parse_one(path: str, content: bytes) -> pd.DataFrame:
     else:
         sheet = pd.read_csv(io.BytesIO(content), header=None, dtype=str, keep_default_na=False, skip_blank_lines=False,
                             names=range(_width(content)))
-    title = next((str(v).strip() for v in sheet.iloc[0].tolist() if isinstance(v, str) and v.strip()), "") if len(sheet) else ""
+    title = _title(sheet)
     header = [("" if (v is None or (isinstance(v, float) and pd.isna(v))) else str(v)) for v in sheet.iloc[HEADER_ROW].tolist()]
     body = sheet.iloc[HEADER_ROW + 1:].reset_index(drop=True)
     cols = list(range(len(header)))
-    if header and header[0].strip() in ("S No", ""):
+    if header and ("S No" in header or header[0] == ""):
         cols = cols[1:]  # serial-number column
     if not cols:
         raise ValueError("no columns after the serial number")
@@ -69,6 +69,17 @@ def _parse_one(path: str, content: bytes) -> pd.DataFrame:
     return long
 
 
+def _title(sheet: pd.DataFrame) -> str:
+    """SC8: first non-blank cell of the first row, else of the top-left 5x5 window."""
+
+    def first(cells) -> str:
+        return next((str(v).strip() for v in cells if isinstance(v, str) and v.strip()), "")
+
+    if not len(sheet):
+        return ""
+    return first(sheet.iloc[0].tolist()) or first(sheet.iloc[:5, :5].to_numpy().ravel().tolist())
+
+
 def _width(content: bytes) -> int:
     lines = content.decode("utf-8", errors="replace").splitlines()
     return max((line.count(",") + 1 for line in lines), default=1)

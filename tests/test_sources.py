@@ -117,3 +117,12 @@ def test_csv_edge_keeps_empty_string_and_null_apart(spark, tmp_path):
 
     back = read_csv_export(spark, out)
     assert rows(back, "k", "v") == [("a", ""), ("b", None)]
+
+
+def test_report_title_from_the_top_left_window(spark, tmp_path):
+    day = tmp_path / "2026-05-03_RTO_Files"
+    day.mkdir()
+    body = '\n,,"Maker Wise Fuel Data of ADOOR SRTO - KL26 , Kerala"\n\nS No,Maker,PETROL,\n1,HONDA CARS INDIA LTD,3,3\n'
+    (day / "ADOOR SRTO - KL26_motor_car.csv").write_text(body)
+    cells = read_report_cells(spark, str(tmp_path))
+    assert {r.title for r in cells.collect()} == {"Maker Wise Fuel Data of ADOOR SRTO - KL26 , Kerala"}
