@@ -189,18 +189,27 @@ def _event_counts(events: DataFrame, day_col: str = "day") -> DataFrame:
     )
 
 
+def _run_stamp(day):
+    """Run date of a data day (data date + 1) as ``dd-MM-yyyy`` text."""
+    return S.fmt_day_first(F.date_add(day, 1))
+
+
+def _with_run_date(df: DataFrame) -> DataFrame:
+    """Replace ``day`` by the ``scrape_date`` partition value (run date, ``yyyy-MM-dd``)."""
+    return df.withColumn("scrape_date", F.date_format(F.date_add("day", 1), "yyyy-MM-dd")).drop("day")
+
+
 @register("replace_and_append")
 def replace_and_append_q(spark: SparkSession, data_dir: str) -> DataFrame:
     """C3 + FLT7: the latest day was loaded early (morning only); its replay replaces those rows."""
     t = Tables(spark, data_dir)
     ev = t.events.select(F.to_date("ts").alias("day"), "ts", "event_type", "value")
     last_day = ev.select(F.max("day")).scalar()
-    stamp = lambda c: S.fmt_day_first(F.date_add(c, 1))  # noqa: E731  run date = data date + 1
     earlier = _event_counts(ev.where(F.col("day") < last_day))
     morning = _event_counts(ev.where((F.col("day") == last_day) & (F.hour("ts") < 12)))
-    master = earlier.unionByName(morning).select(stamp(F.col("day")).alias("scrape_timestamp"), "event_type", "events", "value_cents")
+    master = earlier.unionByName(morning).select(_run_stamp(F.col("day")).alias("scrape_timestamp"), "event_type", "events", "value_cents")
     replay = _event_counts(ev.where(F.col("day") == last_day)).select(
-        stamp(F.col("day")).alias("scrape_timestamp"), "event_type", "events", "value_cents"
+        _run_stamp(F.col("day")).alias("scrape_timestamp"), "event_type", "events", "value_cents"
     )
     return replace_and_append(master, replay, F.date_add(last_day, 1))
 
@@ -490,11 +499,10 @@ def replace_partition_replay(spark: SparkSession, data_dir: str) -> DataFrame:
     t = Tables(spark, data_dir)
     ev = t.events.select(F.to_date("ts").alias("day"), "ts", "event_type", "value")
     last_day = ev.select(F.max("day")).scalar()
-    run = lambda df: df.withColumn("scrape_date", F.date_format(F.date_add("day", 1), "yyyy-MM-dd")).drop("day")
     path = scratch_path(spark, f"facts-{uuid.uuid4().hex}")
     stale = _event_counts(ev.where((F.col("day") < last_day) | (F.hour("ts") < 12)))
-    write_run_partition(spark, run(stale), path)
-    replay = run(_event_counts(ev.where(F.col("day") == last_day)))
+    write_run_partition(spark, _with_run_date(stale), path)
+    replay = _with_run_date(_event_counts(ev.where(F.col("day") == last_day)))
     write_run_partition(spark, replay, path)
     write_run_partition(spark, replay, path)
     return spark.read.parquet(path).select(F.col("scrape_date").cast("string").alias("scrape_date"), "event_type", "events", "value_cents")
