@@ -104,3 +104,24 @@ def test_check_inputs(spark, tmp_path):
     audit = {r.path.rsplit("/", 1)[-1]: (r.status, r.new_path) for r in out["headers"].collect()}
     assert audit["ADOOR SRTO - KL26_motor_car.csv"][0] == "ok"
     assert audit["3f2a_motor_cab.csv"][0] == "mismatch" and audit["3f2a_motor_cab.csv"][1].endswith("/ALUVA SRTO - KL41_motor_cab.csv")
+
+
+def test_compat_keys_merge_one_office_name_with_two_codes(spark, tmp_path):
+    from cumulus.jobs import COMPAT_KEYS
+
+    store = Store(str(tmp_path / "store"))
+    landing = tmp_path / "landing"
+    days = {
+        dt.date(2026, 5, 2): {("STATE TRANSPORT AUTHORITY", "KA99", "motor_car"): {"HONDA CARS INDIA LTD": {"PETROL": 1}},
+                              ("STATE TRANSPORT AUTHORITY", "TN999", "motor_car"): {"HONDA CARS INDIA LTD": {"PETROL": 4}}},
+        dt.date(2026, 5, 3): {("STATE TRANSPORT AUTHORITY", "KA99", "motor_car"): {"HONDA CARS INDIA LTD": {"PETROL": 2}},
+                              ("STATE TRANSPORT AUTHORITY", "TN999", "motor_car"): {"HONDA CARS INDIA LTD": {"PETROL": 4}}},
+    }
+    for run, reports in days.items():
+        ingest_day(spark, store, land(landing, run, reports), run)
+    increments_for_month(spark, store, MAY)  # default: the office code is part of the key
+    by_code = rows(spark.read.parquet(store.path("facts")).where("timestamp = '02-05-2026'").select("rto_number", "PETROL"))
+    assert by_code == [("KA99", 1), ("TN999", 0)]
+    increments_for_month(spark, store, MAY, keys=COMPAT_KEYS)  # the source's key merges the two offices
+    merged = rows(spark.read.parquet(store.path("facts")).where("timestamp = '02-05-2026'").select("RTO", "PETROL"))
+    assert merged == [("STATE TRANSPORT AUTHORITY", 1)]
