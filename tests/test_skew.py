@@ -11,17 +11,16 @@ def test_hot_key_is_combined_and_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the 8 reduce partitions visible
     try:
         # 2 x 60 rows per day for cold keys, 60 duplicate rows per day for HOT: a third of all rows.
-        cold = spark.range(2).crossJoin(spark.range(28).withColumnRenamed("id", "d")).crossJoin(spark.range(60).withColumnRenamed("id", "r"))
-        cold = cold.select(
-            F.date_add(F.lit(dt.date(2026, 5, 1)), F.col("d").cast("int")).alias("snapshot_date"),
-            F.concat(F.lit("COLD"), F.col("id").cast("string")).alias("RTO"),
-            (F.col("d") + 1).alias("PETROL"),
+        grid = (
+            spark.range(1)
+            .select(F.explode(F.sequence(F.lit(0), F.lit(27))).alias("d"))
+            .select("d", F.explode(F.sequence(F.lit(1), F.lit(60))).alias("r"))
+            .select("d", F.explode(F.array(F.lit("COLD0"), F.lit("COLD1"), F.lit("HOT"))).alias("RTO"))
         )
-        hot = spark.range(28).crossJoin(spark.range(60).withColumnRenamed("id", "r")).select(
-            F.date_add(F.lit(dt.date(2026, 5, 1)), F.col("id").cast("int")).alias("snapshot_date"),
-            F.lit("HOT").alias("RTO"),
-            (F.col("id") + 1).alias("PETROL"),
+        rows_ = grid.select(
+            F.date_add(F.lit(dt.date(2026, 5, 1)), F.col("d")).alias("snapshot_date"), "RTO", (F.col("d") + 1).cast("bigint").alias("PETROL")
         )
+        cold, hot = rows_.where("RTO <> 'HOT'"), rows_.where("RTO = 'HOT'")
         snaps = cold.unionByName(hot).repartition(8)
         assert hot.count() * 3 == snaps.count()
         out = snapshot_delta(snaps, ["RTO"], ["PETROL"]).withColumn("pid", F.spark_partition_id())
