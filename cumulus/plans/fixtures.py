@@ -221,8 +221,9 @@ def manifest(t: Tables) -> DataFrame:
 
 
 MANIFEST_SQL = f"""manifest AS (
-  SELECT c.c_custkey * 2 + v.i AS pos, c.office || ' - ' || c.code || '_' || v.v || '.xlsx' AS name
-  FROM ({CUSTOMER_OFFICES_SQL}) c CROSS JOIN (VALUES (0, 'motor_car'), (1, 'motor_cab')) AS v(i, v))"""
+  SELECT c.c_custkey * 2 + unnest([0, 1]) AS pos,
+         unnest([c.office || ' - ' || c.code || '_motor_car.xlsx', c.office || ' - ' || c.code || '_motor_cab.xlsx']) AS name
+  FROM ({CUSTOMER_OFFICES_SQL}) c)"""
 
 
 def landed_files(t: Tables) -> DataFrame:
