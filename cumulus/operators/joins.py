@@ -13,13 +13,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+BROADCAST_ROWS_CONF = "cumulus.broadcast.maxRows"
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast only after checking it holds at most ``max_rows`` rows.
 
-    The check is one small job (``limit(max_rows + 1).count()``). Beyond the
-    bound the frame is returned unchanged and the planner shuffles both sides
-    (AQE may still pick a broadcast at run time from real shuffle sizes).
+    The bound defaults to the session setting ``cumulus.broadcast.maxRows``
+    (else 2M rows). The check is one small job (``limit(max_rows + 1).count()``).
+    Beyond the bound the frame is returned unchanged and the planner shuffles
+    both sides (AQE may still pick a broadcast at run time from real shuffle sizes).
     """
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

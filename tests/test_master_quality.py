@@ -129,3 +129,21 @@ def test_dimension_drift_gives_a_plus_minus_filler_pair(spark):
     )
     diff = reconcile(monthly_summary(cum, 5, 2026), monthly_summary(facts, 5, 2026), ["PETROL"])
     assert rows(diff, "district", "PETROL") == [("New", 3), ("Old", -3)]
+
+
+def test_bounded_broadcast_respects_the_session_bound(spark):
+    from cumulus.operators.joins import BROADCAST_ROWS_CONF, bounded_broadcast
+
+    small = spark.range(10)
+    fact = spark.range(1000).withColumnRenamed("id", "k")
+
+    def hinted(dim):
+        plan = fact.join(dim, fact.k == dim.id)._jdf.queryExecution().optimizedPlan().toString()
+        return "broadcast" in plan.lower()
+
+    assert hinted(bounded_broadcast(small))
+    spark.conf.set(BROADCAST_ROWS_CONF, "5")
+    try:
+        assert not hinted(bounded_broadcast(small))
+    finally:
+        spark.conf.unset(BROADCAST_ROWS_CONF)
