@@ -36,8 +36,8 @@ def test_snapshot_date_from_file_name_without_timestamp(spark, tmp_path):
 
 
 def test_json_map_and_manifest(spark, tmp_path):
-    (tmp_path / "district.json").write_text(json.dumps({"ADOOR SRTO": "Pathanamthitta", "CHECK POST": ""}))
-    m = read_json_map(spark, str(tmp_path / "district.json"), "office", "district")
+    (tmp_path / "office_districts.json").write_text(json.dumps({"ADOOR SRTO": "Pathanamthitta", "CHECK POST": ""}))
+    m = read_json_map(spark, str(tmp_path / "office_districts.json"), "office", "district")
     assert rows(m) == [("ADOOR SRTO", "Pathanamthitta"), ("CHECK POST", "")]
     (tmp_path / "manifest.json").write_text(json.dumps([" A - TN1_motor_car.xlsx", "", "B - KL2_motor_cab.xlsx "]))
     man = read_manifest(spark, str(tmp_path / "manifest.json"))
