@@ -15,6 +15,7 @@ from ..operators.delta import delta_pair, snapshot_delta
 from ..operators.reshape import pivot_long, unpivot_wide
 from ..sources.tables import Tables
 from . import domain as D
+from . import fixtures as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -29,12 +30,9 @@ def register(name: str):
 
 
 def _snap(spark: SparkSession, data_dir: str):
-    t = Tables(spark, data_dir)
-    days = D.checked_calendar(t)
-    snap = D.mtd_snapshots(t, days=days)
-    # The index is one row per calendar day: its bound is the checked calendar's.
-    idx = F.broadcast(D.snapshot_index_for(days))
-    return t, days, snap, idx
+    """(tables, calendar, snapshots, snapshot index) of the derived pipeline (see ``fixtures.Derivation``)."""
+    p = X.Derivation(spark, data_dir)
+    return p.t, p.days, p.snap, p.idx
 
 
 # --- C2: snapshot deltas ------------------------------------------------------
@@ -43,8 +41,7 @@ def _snap(spark: SparkSession, data_dir: str):
 @register("delta_all_snapshots")
 def delta_all_snapshots(spark: SparkSession, data_dir: str) -> DataFrame:
     """C2 over every snapshot in one pass (SNP1-2, WN1, AG1, JN1)."""
-    _, _, snap, idx = _snap(spark, data_dir)
-    return snapshot_delta(snap, D.KEYS, D.MEASURES, index=idx, period_col="month", trim_keys=False)
+    return X.Derivation(spark, data_dir).delta
 
 
 @register("delta_latest_pair")
