@@ -42,3 +42,44 @@ def test_delta_matches_model(spark, rows):
     df = spark.createDataFrame(rows, "snapshot_date date, RTO string, Maker string, PETROL bigint, DIESEL bigint")
     got = {(r.snapshot_date, r.RTO, r.Maker): (r.PETROL, r.DIESEL) for r in snapshot_delta(df, ["RTO", "Maker"]).collect()}
     assert got == model(rows)
+
+
+pair_row = st.tuples(st.sampled_from(OFFICES), st.sampled_from(MAKERS), value)
+
+
+def _sums(rows):
+    norm = lambda s: None if s is None else s.strip()
+    out = {}
+    for office, maker, v in rows:
+        k = (norm(office), maker)
+        cur = out.get(k)
+        out[k] = cur if v is None else (cur or 0) + v
+        out.setdefault(k, None)
+    return out
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(pair_row, max_size=12), st.lists(pair_row, min_size=1, max_size=12))
+def test_delta_pair_matches_model(spark, old_rows, new_rows):
+    from cumulus.operators.delta import delta_pair
+
+    schema = "RTO string, Maker string, PETROL bigint"
+    got = {(r.RTO, r.Maker): r.PETROL for r in delta_pair(spark.createDataFrame(old_rows, schema),
+                                                           spark.createDataFrame(new_rows, schema), ["RTO", "Maker"]).collect()}
+    new, old = _sums(new_rows), _sums(old_rows)
+    assert got == {k: (v or 0) - (old.get(k) or 0) for k, v in new.items()}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(pair_row, max_size=12), st.lists(pair_row, max_size=12))
+def test_reconcile_matches_model(spark, left_rows, right_rows):
+    from cumulus.operators.reconcile import reconcile
+
+    schema = "RTO string, Maker string, PETROL bigint"
+    got = {(r.RTO, r.Maker): r.PETROL for r in reconcile(spark.createDataFrame(left_rows, schema),
+                                                         spark.createDataFrame(right_rows, schema), ["PETROL"]).collect()}
+    expect = {}
+    for sign, rows_ in ((1, left_rows), (-1, right_rows)):
+        for office, maker, v in rows_:
+            expect[(office, maker)] = expect.get((office, maker), 0) + sign * (v or 0)
+    assert got == expect
