@@ -9,6 +9,19 @@ from cumulus.functions import scalars as S
 from cumulus.functions.schema import conform, measure_columns, normalize_headers, numeric_columns, resolve_column
 
 
+class spark_case_sensitive:
+    """Build a frame with case-only duplicate names (needs case-sensitive resolution)."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.spark.conf.set("spark.sql.caseSensitive", "true")
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.caseSensitive", "false")
+
+
 def one(spark, expr, value, typ="string"):
     df = spark.createDataFrame([(value,)], f"x {typ}")
     return df.select(expr(F.col("x")).alias("y")).first()["y"]
@@ -113,6 +126,10 @@ def test_normalize_headers_and_collision(spark):
     clash = spark.createDataFrame([(1, 2)], "OEM int, Maker int")
     with pytest.raises(ValueError):
         normalize_headers(clash)
+    with spark_case_sensitive(spark):
+        case_clash = spark.createDataFrame([(1, 2)], "state int, State int")
+    with pytest.raises(ValueError):
+        normalize_headers(case_clash)
 
 
 def test_resolve_measure_numeric_conform(spark):
