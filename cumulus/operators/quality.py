@@ -55,9 +55,13 @@ def missing_files(expected: DataFrame, present: DataFrame, ext: str = ".xlsx") -
     broadcast by the planner); an OR of both conditions would plan as a
     nested loop.
     """
-    xlsx = present.where(F.lower("name").endswith(ext))
-    exact = xlsx.select(F.lower("name").alias("__lname")).distinct()
-    by_code = folder_index(xlsx, ext=ext).select(F.col("office_code").alias("__c"), F.col("vehicle_type").alias("__v")).distinct()
+    # One distinct listing (name, code, type) feeds both anti joins, so the listing is
+    # computed once and its exchange reused by both.
+    listing = with_identity(present.where(F.lower("name").endswith(ext))).select(
+        F.lower("name").alias("__lname"), F.col("office_code").alias("__c"), F.col("vehicle_type").alias("__v")
+    ).distinct()
+    exact = listing.select("__lname")
+    by_code = listing.where((F.col("__c") != "") & F.col("__v").isin(*KNOWN_VEHICLE_TYPES)).select("__c", "__v")
     e = with_identity(expected)
     step1 = e.join(exact, F.lower(e["name"]) == exact["__lname"], "left_anti")
     step2 = step1.join(
