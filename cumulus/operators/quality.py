@@ -55,17 +55,20 @@ def missing_files(expected: DataFrame, present: DataFrame, ext: str = ".xlsx") -
     broadcast by the planner); an OR of both conditions would plan as a
     nested loop.
     """
-    # One distinct listing (name, code, type) feeds both anti joins, so the listing is
-    # computed once and its exchange reused by both.
+    # One distinct listing (name, code, type) feeds both anti joins. A day's listing is
+    # thousands of names, so each anti join's build side is small.
     listing = with_identity(present.where(F.lower("name").endswith(ext))).select(
         F.lower("name").alias("__lname"), F.col("office_code").alias("__c"), F.col("vehicle_type").alias("__v")
     ).distinct()
     exact = listing.select("__lname")
-    by_code = listing.where((F.col("__c") != "") & F.col("__v").isin(*KNOWN_VEHICLE_TYPES)).select("__c", "__v")
+    by_code = listing.select("__c", "__v")
     e = with_identity(expected)
     step1 = e.join(exact, F.lower(e["name"]) == exact["__lname"], "left_anti")
+    # Only files with a code and a known vehicle type count for the code match; the test sits
+    # on the expected side, which is equivalent because a match needs equal code and type.
+    indexable = (step1["office_code"] != "") & step1["vehicle_type"].isin(*KNOWN_VEHICLE_TYPES)
     step2 = step1.join(
-        by_code, (step1["office_code"] == by_code["__c"]) & (step1["vehicle_type"] == by_code["__v"]) & (step1["office_code"] != ""), "left_anti"
+        by_code, (step1["office_code"] == by_code["__c"]) & (step1["vehicle_type"] == by_code["__v"]) & indexable, "left_anti"
     )
     return step2
 
