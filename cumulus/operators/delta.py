@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import strip_ws, to_number
 from ..functions.schema import DELTA_ID_COLUMNS, measure_columns, require_columns
-from .joins import join_null_safe
-from .snapshots import RESET_MONTH, attach_index
+from .joins import bounded_broadcast, join_null_safe
+from .snapshots import RESET_MONTH, snapshot_index
 
 _NEW = "__is_new"
 _D = "__delta_date"
@@ -87,10 +87,12 @@ def snapshot_delta(
             period_col = "__period"
         period = [period_col]
     narrow = base.select(date_col, *period, *keys, *attributes, *measures)
-    if index is not None:
-        indexed = narrow.join(F.broadcast(index.select(date_col, "next_date")), on=date_col, how="left")
+    if index is None:
+        # One row per snapshot date: broadcast after a size check.
+        index = bounded_broadcast(snapshot_index(base, date_col, reset).select(date_col, "prev_date", "next_date"))
     else:
-        indexed = attach_index(narrow, date_col, reset)
+        index = F.broadcast(index.select(date_col, "prev_date", "next_date"))
+    indexed = narrow.join(index.select(date_col, "next_date"), on=date_col, how="left")
 
     types = dict(indexed.dtypes)
 
@@ -120,10 +122,17 @@ def snapshot_delta(
     )
     if not fan_out:
         return out
-    # Compatibility: every NEW row (duplicates included) carries its group's increment.
-    rows = base.select(date_col, *keys, *attributes)
+    # Compatibility: every NEW row (duplicates included) carries its group's increment;
+    # a snapshot without predecessor (month reset) is copied row by row, as the source does.
+    rows = base.select(date_col, *keys, *attributes, *[F.col(f"`{m}`").alias(f"__own{i}") for i, m in enumerate(measures)])
+    rows = rows.join(index.select(date_col, "prev_date"), on=date_col, how="left")
     incr = out.select(date_col, *keys, *measures)
-    return join_null_safe(rows, incr, [date_col, *keys], how="left")
+    joined = join_null_safe(rows, incr, [date_col, *keys], how="left")
+    raw = F.col("prev_date").isNull()
+    return joined.select(
+        date_col, *keys, *attributes,
+        *[F.when(raw, F.col(f"__own{i}")).otherwise(F.col(f"`{m}`")).alias(m) for i, m in enumerate(measures)],
+    )
 
 
 def delta_pair(

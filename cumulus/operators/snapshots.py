@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
 
 # Reset modes for the predecessor chain.
 RESET_MONTH = "month"  # counters restart on the 1st: first snapshot of a month has no OLD
@@ -82,9 +81,3 @@ def require_snapshots(snapshots: DataFrame, date_col: str = "snapshot_date") ->
     """SNP4: fail when there is no snapshot at all (a one-row probe, not a count)."""
     if not snapshots.where(F.col(date_col).isNotNull()).select(date_col).limit(1).collect():
         raise FileNotFoundError("no snapshot found")
-
-
-def attach_index(snapshots: DataFrame, date_col: str = "snapshot_date", reset: str | None = RESET_MONTH) -> DataFrame:
-    """Snapshot rows with their ``prev_date``/``next_date`` (index broadcast after a size check)."""
-    idx = bounded_broadcast(snapshot_index(snapshots, date_col, reset).select(date_col, "next_date"))
-    return snapshots.join(idx, on=date_col, how="left")

@@ -73,8 +73,9 @@ d AS (SELECT n.snapshot_date, n.office, n.vehicle_type,
       FROM g n JOIN idx i ON i.snapshot_date = n.snapshot_date
       LEFT JOIN g o ON o.snapshot_date = i.prev_date AND o.office = n.office AND o.vehicle_type = n.vehicle_type)
 SELECT s.snapshot_date, s.office, s.vehicle_type, s.maker,
-       {", ".join(f"CAST(d.{_q(m)} AS BIGINT) AS {_q(m)}" for m in MEASURES)}
+       {", ".join(f"CAST(CASE WHEN i.prev_date IS NULL THEN s.{_q(m)} ELSE d.{_q(m)} END AS BIGINT) AS {_q(m)}" for m in MEASURES)}
 FROM snap s JOIN d ON d.snapshot_date = s.snapshot_date AND d.office = s.office AND d.vehicle_type = s.vehicle_type
+JOIN idx i ON i.snapshot_date = s.snapshot_date
 """
 
 _NEWCOL_MEASURES = [*MEASURES, "HIGH_OR_URGENT"]

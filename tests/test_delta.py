@@ -84,6 +84,9 @@ def test_duplicate_keys_one_row_by_default_and_fan_out_in_compat(spark):
     assert rows(one, "PETROL") == [(2,)]
     fan = snapshot_delta(s, KEYS, fan_out=True).where(F.col("snapshot_date") == d("2026-05-03"))
     assert rows(fan, "PETROL") == [(2,), (2,)]
+    # On a snapshot without predecessor (the month's first) rows are copied one by one.
+    first = snapshot_delta(snaps(spark, [("2026-05-02", "C", "car", "M", 1, 0), ("2026-05-02", "C", "car", "M", 4, 0)]), KEYS, fan_out=True)
+    assert rows(first, "PETROL") == [(1,), (4,)]
 
 
 def test_all_null_measure_counts_as_zero(spark):
