@@ -142,13 +142,16 @@ def delta_pair(
     measures: Sequence[str] | None = None,
     attributes: Sequence[str] = (),
     trim_keys: bool = True,
+    fan_out: bool = False,
 ) -> DataFrame:
     """Increments between two snapshots given as separate frames.
 
     Measures are NEW's non-key columns; a measure OLD lacks counts as 0 and
     OLD-only columns are ignored. Without OLD (first run of a month) the NEW
     snapshot is returned as its own increment. One shuffle: both sides are
-    unioned with a sign and grouped by key.
+    unioned with a sign and grouped by key. ``fan_out=True`` is the source's
+    form: every NEW row carries its key group's increment, and without OLD
+    the NEW rows are returned one by one.
     """
     keys = list(keys)
     require_columns(new, keys)  # PRJ9: keys on both sides
@@ -183,8 +186,14 @@ def delta_pair(
     for a in attributes:
         aggs.append(F.max(F.col(f"`{a}`")).alias(a))
     grouped = parts.groupBy(*keys).agg(*aggs).where(F.col(_NEW) == 1)
-    return grouped.select(
+    out = grouped.select(
         *[F.col(f"`{k}`") for k in keys],
         *[F.col(f"`{a}`") for a in attributes],
         *[(F.coalesce(F.col(f"__n{i}"), F.lit(0)) - F.coalesce(F.col(f"__o{i}"), F.lit(0))).alias(m) for i, m in enumerate(measures)],
     )
+    if not fan_out:
+        return out
+    rows = new.select(*keys, *attributes, *[F.col(f"`{m}`") for m in measures])
+    if old is None:
+        return rows
+    return join_null_safe(rows.drop(*measures), out.select(*keys, *measures), keys, how="left")

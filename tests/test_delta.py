@@ -192,3 +192,11 @@ def test_text_and_timestamp_snapshot_dates(spark):
     assert rows(snapshot_delta(df, ["RTO", "Maker"]), "snapshot_date", "PETROL") == [(d("2026-05-02"), 3), (d("2026-05-03"), 2)]
     ts = df.withColumn("snapshot_date", F.to_timestamp("snapshot_date"))
     assert rows(snapshot_delta(ts, ["RTO", "Maker"]), "snapshot_date", "PETROL") == [(d("2026-05-02"), 3), (d("2026-05-03"), 2)]
+
+
+def test_pair_fan_out_compat(spark):
+    schema = "RTO string, vehicle_type string, Maker string, PETROL bigint"
+    new = spark.createDataFrame([("C", "car", "M", 1), ("C", "car", "M", 2), ("D", "car", "M", 3)], schema)
+    old = spark.createDataFrame([("C", "car", "M", 1)], schema)
+    assert rows(delta_pair(old, new, KEYS, fan_out=True), "RTO", "PETROL") == [("C", 2), ("C", 2), ("D", 3)]
+    assert rows(delta_pair(None, new, KEYS, fan_out=True), "RTO", "PETROL") == [("C", 1), ("C", 2), ("D", 3)]
