@@ -44,6 +44,17 @@ def delta_all_snapshots(spark: SparkSession, data_dir: str) -> DataFrame:
     return X.Derivation(spark, data_dir).delta
 
 
+@register("delta_no_reset")
+def delta_no_reset(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SNP1 without the monthly reset: OLD is the previous snapshot even across a month boundary.
+
+    The predecessor index is one ordered chain over the distinct snapshot dates
+    (one row per day, size-checked before its broadcast).
+    """
+    _, _, snap, _ = _snap(spark, data_dir)
+    return snapshot_delta(snap.drop("month"), D.KEYS, D.MEASURES, reset=None, trim_keys=False)
+
+
 @register("delta_latest_pair")
 def delta_latest_pair(spark: SparkSession, data_dir: str) -> DataFrame:
     """C2 on the newest snapshot and its predecessor only (LM1); a month start is a raw copy."""

@@ -32,6 +32,16 @@ LEFT JOIN snap o ON o.snapshot_date = i.prev_date AND o.office = n.office
 """
 ORACLE["delta_all_snapshots"] = _DELTA_ALL
 
+ORACLE["delta_no_reset"] = f"""
+WITH {SNAPSHOT_SQL},
+chain AS (SELECT day AS snapshot_date, LAG(day) OVER (ORDER BY day) AS prev_date FROM days)
+SELECT n.snapshot_date, n.office, n.vehicle_type, n.maker,
+       {", ".join(f"CAST(n.{_q(m)} - COALESCE(o.{_q(m)}, 0) AS BIGINT) AS {_q(m)}" for m in MEASURES)}
+FROM snap n JOIN chain i ON i.snapshot_date = n.snapshot_date
+LEFT JOIN snap o ON o.snapshot_date = i.prev_date AND o.office = n.office
+                AND o.vehicle_type = n.vehicle_type AND o.maker = n.maker
+"""
+
 ORACLE["delta_latest_pair"] = f"""
 WITH {SNAPSHOT_SQL},
 {_IDX},
