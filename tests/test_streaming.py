@@ -64,3 +64,7 @@ def test_crash_mid_batch_then_late_snapshot(spark, tmp_path):
     assert got == expected(spark, {**DAYS, **LATE})
     may4 = [r for r in got if r[0] == dt.date(2026, 5, 4)]
     assert may4 == [(dt.date(2026, 5, 4), "A", "M", 1)]  # 7 - 6, not 7 - 4
+
+    # Nothing new landed: a further run processes no batch and leaves the table as it is.
+    run_incremental(spark, landing, master, ckpt, schema, KEYS, ["PETROL"])
+    assert rows(spark.read.parquet(master), "snapshot_date", "RTO", "Maker", "PETROL") == got
