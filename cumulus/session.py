@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,7 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The cluster names that folder; it must be on shared storage so a lost
     executor does not lose checkpointed data. Only when the session has none
-    (unit tests on one machine) is a private temporary folder created.
+    (unit tests on one machine) is a private temporary folder created; on a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,11 +64,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cumulus-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the workers of a cluster (workers of a local master share the driver's path)."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or getattr(sc, "_cumulus_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="cumulus-ship-"), "cumulus.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "cumulus")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)
+    sc._cumulus_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

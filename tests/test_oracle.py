@@ -6,12 +6,12 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from cumulus.plans import catalog, oracle
 from cumulus.sources.tables import TABLE_NAMES
 from tests.conftest import SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def _norm(v):

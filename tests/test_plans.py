@@ -4,17 +4,17 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from cumulus.plans import catalog
 from tests.conftest import SMALL
 
 # Queries that run a job before returning (they write files first); their plans
 # are checked through the operators they use.
 SIDE_EFFECTS = {"ingest_reports", "ingest_quarantine", "incremental_ingest", "month_to_date", "replace_partition_replay"}
-NAMES = sorted(set(E.queries()) - SIDE_EFFECTS)
+NAMES = sorted(set(catalog.queries()) - SIDE_EFFECTS)
 
 
 def plan(spark, name):
-    df = E.queries()[name](spark, SMALL)
+    df = catalog.queries()[name](spark, SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
