@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumulus.llm.common import SpanHasher, joined, mix, row_slices, scratch_table, space_words, text_bytes
+from cumulus.llm.common import SpanHasher, drop_scratch, joined, mix, row_slices, scratch_table, space_words, text_bytes
 from cumulus.llm.components import components
+from cumulus.operators.joins import bounded_broadcast
 
 ORDERS = 3
 FOLDS = 64  # cells of the folded count vector
 SKETCH = 1 << 18  # cells of the count sketch
+MAX_BROADCAST_IDS = 500_000
 BLOCK = 1500  # representatives of one bucket compared at once
 _SEEDS = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64)) for k in range(8)]
 
@@ -131,7 +133,7 @@ def _profiles(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
                         low.append(int(np.add.reduce(mix(s)).astype(np.int64)))
                         high.append(int(np.add.reduce(mix(s ^ _SEEDS[5])).astype(np.int64)))
                     cells = np.bincount((s >> np.uint64(20)).astype(np.int64) % FOLDS, minlength=FOLDS)
-                    folds.append(np.minimum(cells, 65535).astype(np.uint16).tobytes())
+                    folds.append(np.minimum(cells, 255).astype(np.uint8).tobytes())
                     for k, p in enumerate(_prefixes(s, shared.value, percent) if len(s) else [s] * ORDERS):
                         prefixes[k].append(p.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -169,7 +171,7 @@ class _Bucketed:
         self.percent = percent
         self.ids, self.n, self.part, self.comp = (rows[c].to_numpy() for c in ("id", "n", "part", "component"))
         self.across = rows["one"].to_numpy() != rows["two"].to_numpy()
-        self.folds = np.frombuffer(b"".join(rows["folds"].to_pylist()), np.uint16).reshape(-1, FOLDS).astype(np.int32)
+        self.folds = np.frombuffer(b"".join(rows["folds"].to_pylist()), np.uint8).reshape(-1, FOLDS).astype(np.int32)
         self.bucket = _bucket_numbers(rows)
 
     def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -197,11 +199,16 @@ class _Bucketed:
 
     def all_pairs(self):
         """Every near pair of a bucket whose components differ."""
-        for by in range(1, len(self.ids)):
-            a = np.flatnonzero(self.bucket[by:] == self.bucket[:-by])
-            if not len(a):
+        low, high = np.full(self.bucket[-1] + 1, self.comp.max()), np.full(self.bucket[-1] + 1, self.comp.min())
+        np.minimum.at(low, self.bucket, self.comp)
+        np.maximum.at(high, self.bucket, self.comp)
+        mixed = np.flatnonzero((low < high)[self.bucket])
+        bucket = self.bucket[mixed]
+        for by in range(1, len(mixed)):
+            at = np.flatnonzero(bucket[by:] == bucket[:-by])
+            if not len(at):
                 return
-            b = a + by
+            a, b = mixed[at], mixed[at + by]
             keep = (self.comp[a] != self.comp[b]) & (~self.across[a] | (self.part[a] != self.part[b]))
             a, b = a[keep], b[keep]
             near = self.near(a, b)
@@ -253,10 +260,8 @@ def _bucket_pairs(buckets: DataFrame, percent: int, leaders: bool) -> DataFrame:
 
 def _parted(postings: DataFrame, both: bool) -> DataFrame:
     """Give rows of buckets their part; with ``both`` copy each row into every pair of parts it belongs to."""
-    sizes = postings.groupBy("token").agg(F.count("*").alias("size"))
-    rows = postings.join(sizes, "token").filter("size > 1")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = rows.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = postings.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     if not both:
         return rows.withColumn("one", F.col("part")).withColumn("two", F.col("part"))
     meets = F.transform(
@@ -277,13 +282,16 @@ def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: i
         pairs = pairs.filter(F.arrays_overlap(f"a{k}", f"b{k}"))
     pairs = scratch_table(pairs.select("a", "b", "n_a", "n_b"), "candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = scratch_table(_sets(docs.join(wanted, "id", "left_semi")), "sets")
+    wanted = bounded_broadcast(wanted, MAX_BROADCAST_IDS)
+    sets = scratch_table(_sets(docs.join(wanted, "id", "left_semi")).dropDuplicates(["id"]), "sets")
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("s"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("t"))
     shared = pairs.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("s", "t")))
-    return shared.filter(100 * F.col("o") >= percent * (F.col("n_a") + F.col("n_b") - F.col("o"))).select(
-        F.col("a").alias("u"), F.col("b").alias("v")
-    )
+    near = shared.filter(100 * F.col("o") >= percent * (F.col("n_a") + F.col("n_b") - F.col("o")))
+    links = scratch_table(near.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    drop_scratch(sets)
+    drop_scratch(pairs)
+    return links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90) -> DataFrame:
@@ -291,26 +299,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
     classes = rank_classes(count_sketch(docs))
     rows = scratch_table(_profiles(docs, classes, percent), "profiles")
-    groups = rows.filter("n > 0").groupBy("n", "low", "high").agg(F.min("id").alias("rep"))
-    groups = scratch_table(groups, "groups")
-    reps = groups.select(F.col("rep").alias("id"))
-    profiles = scratch_table(rows.join(reps, "id", "left_semi").dropDuplicates(["id"]), "representatives")
-    rep_docs = docs.join(reps, "id", "left_semi").dropDuplicates(["id"])
+    sets_of = rows.filter("n > 0").select("id", "n", "low", "high")
+    groups = scratch_table(sets_of.groupBy("n", "low", "high").agg(F.min("id").alias("rep")), "groups")
+    copies = sets_of.join(groups, ["n", "low", "high"]).filter("id <> rep").select("id").distinct()
+    copies = bounded_broadcast(scratch_table(copies, "copies"), MAX_BROADCAST_IDS)
+    profiles = rows.filter("n > 0").join(copies, "id", "left_anti")
 
     tokens = profiles.select("id", F.explode_outer("p0").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
     postings = tokens.join(shared, "token").join(profiles.select("id", "n", "folds"), "id")
-    postings = scratch_table(postings.withColumn("component", F.col("id")), "postings")
+    postings = scratch_table(postings, "postings")
 
-    first = scratch_table(_bucket_pairs(_parted(postings, both=False), percent, leaders=True).distinct(), "leaders")
-    links = scratch_table(_verified(first, profiles, rep_docs, percent), "links")
-    known = components(links)
-    labelled = postings.drop("component").join(known.withColumnRenamed("node", "id"), "id", "left")
+    first = _bucket_pairs(_parted(postings, both=False).withColumn("component", F.col("id")), percent, leaders=True)
+    first = scratch_table(first.distinct(), "leaders")
+    links = _verified(first, profiles, docs, percent)
+    known = bounded_broadcast(scratch_table(components(links), "known"), MAX_BROADCAST_IDS)
+    labelled = postings.join(known.withColumnRenamed("node", "id"), "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    rest = scratch_table(labelled.join(mixed.select("token"), "token", "left_semi"), "mixed")
+    # A bucket of several parts in one component needs no second look (few such buckets can exist).
+    hot = labelled.filter(F.col("size") > BLOCK).groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    done = scratch_table(hot.filter("lo = hi").select("token"), "done")
+    rest = labelled.join(bounded_broadcast(done, MAX_BROADCAST_IDS), "token", "left_anti")
     second = _bucket_pairs(_parted(rest, both=True), percent, leaders=False).distinct().join(first, ["a", "b"], "left_anti")
-    more = scratch_table(_verified(second, profiles, rep_docs, percent), "links")
+    more = _verified(second, profiles, docs, percent)
+    drop_scratch(postings)
 
     found = components(links.union(more)).select(F.col("node").alias("rep"), F.col("component"))
     named = groups.join(found, "rep", "left").select("n", "low", "high", F.coalesce("component", "rep").alias("component_id"))
