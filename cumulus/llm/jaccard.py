@@ -36,7 +36,7 @@ from cumulus.llm.components import components
 from cumulus.operators.joins import bounded_broadcast
 
 ORDERS = 3
-FOLDS = 64  # cells of the folded count vector
+FOLDS = 32  # cells of the folded count vector
 SKETCH = 1 << 18  # cells of the count sketch
 MAX_BROADCAST_IDS = 500_000
 BLOCK = 1500  # representatives of one bucket compared at once
