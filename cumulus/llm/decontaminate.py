@@ -55,6 +55,13 @@ def _marks(rows: DataFrame, keep: list[str]) -> DataFrame:
     return hashed.withColumnRenamed("g", "marks")
 
 
+def _short_marks(length: int) -> Column:
+    """Hashes of all runs of ``length`` words of column ``words``."""
+    n = F.size("words") - (length - 1)
+    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice("words", i, length), " ")))
+
+
 def _folded(text: Column) -> Column:
     """A text with every letter in lower case, whatever stands around it: equal words stay equal."""
     return F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3")))
@@ -106,15 +113,7 @@ def contamination(
     known = bounded_broadcast(known.distinct(), max_broadcast_rows)
     loose = F.array_remove(F.split(_folded(F.coalesce(F.col("text"), F.lit(""))), _SPLIT), "")
     folded = docs.select(*keys, loose.alias("words")).select(*keys, "words", F.size("words").alias("n"))
-    own = [F.col("marks")]
-    for n in short:
-        runs = F.when(F.size("words") >= n, F.sequence(F.lit(1), F.size("words") - (n - 1)))
-        own.append(
-            F.coalesce(
-                F.transform(runs, lambda i, n=n: F.xxhash64(F.array_join(F.slice("words", i, n), " "))),
-                F.array().cast("array<bigint>"),
-            )
-        )
+    own = [F.col("marks"), *[_short_marks(n) for n in short]]
     marked = _marks(folded, [*keys, "n", *(["words"] if short else [])])
     marked = marked.select(*keys, "n", F.array_distinct(F.concat(*own) if short else own[0]).alias("marks"))
     found = (

@@ -2,8 +2,8 @@
 
 Every page's containers are scored by the clean text they hold and by how
 little else they hold. Containers are named by their generalised path (tags
-with classes, digits taken off, from the body down); the pages of a host vote
-for paths with their scores, and each page is read again from the containers
+with classes, digits taken off, from the body down); each page of a
+host votes for its best path, and each page is read again from the containers
 on its host's winning path. A page without that path falls back on its own
 best container.
 
@@ -200,16 +200,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     def vote(batches):
         for batch in batches:
             for part in row_slices(batch, 1):
-                hosts, paths, shares = [], [], []
-                for host, page in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    scores, _ = walk(page or "")
-                    total = sum(scores.values())
-                    for path, score in scores.items():
-                        if score > 0:
-                            hosts.append(host)
-                            paths.append(path)
-                            shares.append(score / total)
-                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(shares, pa.float64())], ["host", "path", "share"])
+                paths = [best_path(walk(page or "")[0]) for page in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(paths, pa.string())], ["host", "path"])
 
     def read(batches):
         for batch in batches:
@@ -222,8 +214,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
-    votes = rows.select("host", "html").mapInArrow(vote, "host string, path string, share double")
-    sums = votes.groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"))
+    votes = rows.select("host", "html").mapInArrow(vote, "host string, path string").filter("path is not null")
+    sums = votes.groupBy("host", "path").agg(F.count("*").alias("votes"))
     order = F.struct(-F.col("votes"), F.length("path"), F.col("path"))
     winners = sums.groupBy("host").agg(F.min_by("path", order).alias("path"))
     winners = bounded_broadcast(scratch_table(winners, "paths"), MAX_HOSTS_BROADCAST)

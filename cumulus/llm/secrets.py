@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from cumulus.llm.common import SpanHasher, joined, row_slices, text_bytes
 
 SAMPLE = 3000  # texts (smallest id hashes) the field is fitted on
+SHORTEST = 8  # a tagged span has this many bytes at least, a digit among them
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(rb"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
@@ -179,7 +180,7 @@ class Field:
         return path[::-1]
 
 
-def fit_field(features: np.ndarray, tags: np.ndarray, rounds: int = 60, rate: float = 0.2, ridge: float = 1e-5) -> Field:
+def fit_field(features: np.ndarray, tags: np.ndarray, rounds: int = 60, rate: float = 0.2, ridge: float = 1e-4) -> Field:
     """Likelihood fit on windows: ``features`` is windows x tokens x features, ``tags`` windows x tokens (-1 pads)."""
     n, length, _ = features.shape
     real = tags >= 0
@@ -290,7 +291,9 @@ def _field_spans(texts: list[bytes], field: Field) -> list[list[tuple[int, int]]
             stop = k + 1
             while stop < len(path) and path[stop] == INSIDE:
                 stop += 1
-            out[r].append((int(rows.start[lo + k]) - base, int(rows.end[lo + stop - 1]) - base))
+            a, b = int(rows.start[lo + k]), int(rows.end[lo + stop - 1])
+            if b - a >= SHORTEST and ((rows.buf[a:b] >= 48) & (rows.buf[a:b] <= 57)).any():
+                out[r].append((a - base, b - base))
             k = stop
     return out
 

@@ -93,26 +93,31 @@ class LabelModel:
     correlation: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        rate = np.clip(self.fires, 1e-4, 1 - 1e-4)
+        rate = np.clip(self.fires, 2e-5, 1 - 1e-4)
         on = np.log(rate[1] / rate[0])
         off = np.log((1 - rate[1]) / (1 - rate[0]))
         z = np.log(self.prior / (1 - self.prior)) + votes @ (on * self.share) + (1 - votes) @ (off * self.share)
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> LabelModel:
-    """Accuracies by expectation maximisation, then correlations given the class."""
+def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 30, given: np.ndarray | None = None) -> LabelModel:
+    """Accuracies by expectation maximisation, then correlations given the class.
+
+    ``given`` labels, where there are any, weigh as much as the posterior in
+    every round, so that rare voters are not taken for noise.
+    """
     n, voters = votes.shape
     prior = float(np.clip(prior, 1e-3, 0.5))
     any_vote = votes.any(axis=1)
     q = np.where(any_vote, 0.9, prior / 4)
     model = LabelModel(prior, np.zeros((2, voters)), np.ones(voters), np.eye(voters))
     for _ in range(rounds):
-        clean, toxic = (1 - q).sum(), q.sum()
-        model.fires = np.stack((((1 - q) @ votes + 0.01) / (clean + 1), (q @ votes + 0.5) / (toxic + 1)))
+        held = q if given is None else (q + given) / 2
+        clean, toxic = (1 - held).sum(), held.sum()
+        model.fires = np.stack((((1 - held) @ votes + 0.01) / (clean + 1), (held @ votes + 0.5) / (toxic + 1)))
         # a voter that does not fire more often on toxic rows has no say
         model.share = (model.fires[1] > 2 * model.fires[0]).astype(float)
-        model.prior = float(np.clip(q.mean(), 1e-3, 0.5))
+        model.prior = float(np.clip(held.mean(), 1e-3, 0.5))
         q = model.posterior(votes)
     left = votes - np.outer(1 - q, model.fires[0]) - np.outer(q, model.fires[1])
     scale = np.sqrt(np.maximum((left * left).mean(axis=0), 1e-9))
@@ -209,7 +214,7 @@ def fit_toxicity(
         hit = column[f]
         votes[k, hit[hit >= 0]] = 1
         votes[k, len(voters) :] = r[3]
-    told = fit_label_model(votes, float((y == 1).mean()))
+    told = fit_label_model(votes, float((y == 1).mean()), given=(y == 1).astype(float))
     q = np.clip(told.posterior(votes), 0.001, 0.999)
     return _fit_linear([f if len(f) else np.zeros(1, np.int32) for f in feats], q), told
 
