@@ -129,7 +129,7 @@ def parse_report_filename(name: Column) -> Column:
     base = strip_report_ext(name)
     first = F.substring_index(base, "_", 1)
     has_us = F.instr(base, "_") > 0
-    vehicle = F.when(has_us, F.substring(base, F.instr(base, "_") + 1, 1_000_000)).otherwise(F.lit("unknown"))
+    vehicle = F.when(has_us, F.substring(base, F.instr(base, "_") + 1, F.length(base))).otherwise(F.lit("unknown"))
     matched = first.rlike(FILE_NAME_PATTERN)
     office = strip_ws(F.regexp_extract(first, FILE_NAME_PATTERN, 1))
     code = strip_ws(F.regexp_extract(first, FILE_NAME_PATTERN, 2))

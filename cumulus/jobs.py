@@ -33,7 +33,7 @@ from .operators.dims import FUEL_GROUPS, MAKER_SHORT, ZONE_BY_STATE
 from .operators.mart import audit_totals, build_mart, month_to_date
 from .operators.reconcile import filler_rows, monthly_summary, reconcile
 from .session import materialize
-from .sources.files import observed, write_csv_export, write_table
+from .sources.files import drop_partition, observed, write_csv_export, write_table
 from .sources.reports import consolidate_reports, read_report_cells
 
 # Snapshot key. The source keys on (RTO, vehicle_type, Maker); one office name can
@@ -90,6 +90,8 @@ def ingest_day(spark: SparkSession, store: Store, landing: str, run_date: dt.dat
     write_table(snap, store.path("snapshots"), partition_by=["snapshot_date"], sort_by=["RTO", "Maker"])
     bad, bad_obs = observed(bad.withColumn("run_date", F.lit(str(run_date))), "quarantine")
     write_table(bad, store.path("quarantine"), partition_by=["run_date"])
+    if not bad_obs.get["rows"]:  # dynamic overwrite replaces no partition when there are no rows
+        drop_partition(spark, store.path("quarantine"), f"run_date={run_date}")
     return {"snapshot_rows": snap_obs.get["rows"], "quarantined_files": bad_obs.get["rows"]}
 
 

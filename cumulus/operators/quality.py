@@ -23,10 +23,13 @@ from ..functions.scalars import (
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """SRC6: JSON array of expected file names -> ``(pos, name)``; blanks dropped, names trimmed.
 
-    A file that is not a JSON array yields no rows and fails the check below.
+    A file that is not a JSON array fails the query; an absent one fails when it is read.
     """
     raw = spark.read.text(path, wholetext=True)
-    arr = F.from_json("value", "array<string>")
+    is_array = F.substring(strip_ws(F.col("value")), 1, 1) == "["
+    parsed = F.when(is_array, F.from_json("value", "array<string>"))
+    failed = F.raise_error(F.lit("the manifest is not a JSON array")).cast("array<string>")
+    arr = F.when(parsed.isNull(), failed).otherwise(parsed)
     rows = raw.select(F.posexplode(arr).alias("pos", "name")).select("pos", strip_ws(F.col("name")).alias("name"))
     return rows.where(F.col("name") != "")
 
@@ -137,11 +140,14 @@ def status_counts(audit: DataFrame) -> DataFrame:
 
 
 def keep_last_per_target(audit: DataFrame) -> DataFrame:
-    """WN2: where several files would end up under one name, the last path in sorted order wins.
+    """WN2: where several files would end up under one name, the file renamed onto it last wins.
+
+    A file that is renamed replaces the one that has the name already, whatever
+    their order; of several renamed ones the last path in sorted order stays.
 
     Target = proposed new path for a mismatch, the file's own path otherwise.
     """
     target = F.coalesce(F.col("new_path"), F.col("path"))
     # An aggregate, not a window: many files aimed at one name are combined map-side.
-    last = audit.groupBy(target.alias("target")).agg(F.max_by(F.struct("path", "status"), "path").alias("w"))
+    last = audit.groupBy(target.alias("target")).agg(F.max_by(F.struct("path", "status"), F.struct(F.col("new_path").isNotNull(), "path")).alias("w"))
     return last.select("target", F.col("w.path").alias("winner"), F.col("w.status").alias("status"))

@@ -332,7 +332,7 @@ ORACLE["header_name_audit"] = f"WITH {_AUDIT} SELECT * FROM res"
 ORACLE["header_status_counts"] = f"WITH {_AUDIT} SELECT status, CAST(COUNT(*) AS BIGINT) AS files FROM res GROUP BY 1"
 ORACLE["keep_last_per_target"] = f"""WITH {_AUDIT},
 t AS (SELECT COALESCE(new_path, path) AS target, path, status,
-             row_number() OVER (PARTITION BY COALESCE(new_path, path) ORDER BY path DESC) AS rn FROM res)
+             row_number() OVER (PARTITION BY COALESCE(new_path, path) ORDER BY (new_path IS NOT NULL) DESC, path DESC) AS rn FROM res)
 SELECT target, path AS winner, status FROM t WHERE rn = 1"""
 
 # --- completeness ------------------------------------------------------------------------------

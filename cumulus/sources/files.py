@@ -22,11 +22,12 @@ def read_snapshot_csv(spark: SparkSession, path: str | Sequence[str], date_col:
     aliased (PRJ1). ``date_col`` is the data date: the ``timestamp`` column
     (day-first) when present and parsable, else the run date in a
     ``YYYY-MM-DD`` file name minus one day, else the file's modification day.
-    Files of one folder share one layout (the CSV reader maps by header of
-    the first file). With ``null_tokens`` the usual missing-value spellings
+    Files of one folder share one layout: a file whose header differs from the
+    first one's fails the read, rather than landing under the wrong columns;
+    read such layouts apart and union them by name. With ``null_tokens`` the usual missing-value spellings
     (``NA``, ``None``, ``nan``, ...) become NULL, as in the source's reader.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").option("enforceSchema", False).csv(path)
     raw = raw.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.file_modification_time").alias("__mtime"))
     df = normalize_headers(raw)
     if null_tokens:
@@ -53,6 +54,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     w.save(path)
 
 
+def drop_partition(spark: SparkSession, path: str, partition: str) -> None:
+    """Delete one partition folder of a stored table, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_csv_export(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """SNK1/SNK2 at the CSV edge: header, empty string kept distinct from NULL, one folder per partition.
 

@@ -18,6 +18,7 @@ suits report sheets (kilobytes each); bulk data belongs in Parquet/CSV tables.
 
 from __future__ import annotations
 
+import csv
 import io
 from collections.abc import Iterator, Sequence
 
@@ -40,6 +41,8 @@ def _parse_one(path: str, content: bytes) -> pd.DataFrame:
         except ImportError as e:  # pragma: no cover - depends on the image
             raise RuntimeError("spreadsheet reports need openpyxl") from e
         sheet = pd.read_excel(io.BytesIO(content), header=None, dtype=str)
+    elif not path.lower().endswith(".csv"):
+        raise ValueError("not a report format")
     else:
         sheet = pd.read_csv(io.BytesIO(content), header=None, dtype=str, keep_default_na=False, skip_blank_lines=False,
                             names=range(_width(content)))
@@ -81,8 +84,8 @@ def _title(sheet: pd.DataFrame) -> str:
 
 
 def _width(content: bytes) -> int:
-    lines = content.decode("utf-8", errors="replace").splitlines()
-    return max((line.count(",") + 1 for line in lines), default=1)
+    """Fields of the widest row; commas inside quotes do not count."""
+    return max(map(len, csv.reader(io.StringIO(content.decode("utf-8", errors="replace")))), default=1)
 
 
 def parse_report_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,8 +101,8 @@ def parse_report_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFra
         yield pd.concat(out, ignore_index=True)[cols] if out else pd.DataFrame(columns=cols)
 
 
-def read_report_cells(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """SRC1 + SRC3: every report file of a folder as long cells (with a per-file error column)."""
+def read_report_cells(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """SRC1 + SRC3: every file of a folder as long cells (a file that cannot be read as a report is one error row)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
     return files.select("path", "content").mapInPandas(parse_report_batches, LONG_SCHEMA)
 

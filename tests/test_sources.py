@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cumulus.operators.delta import snapshot_delta
@@ -126,3 +127,39 @@ def test_report_title_from_the_top_left_window(spark, tmp_path):
     (day / "ADOOR SRTO - KL26_motor_car.csv").write_text(body)
     cells = read_report_cells(spark, str(tmp_path))
     assert {r.title for r in cells.collect()} == {"Maker Wise Fuel Data of ADOOR SRTO - KL26 , Kerala"}
+
+
+def test_padded_title_keeps_the_total():
+    from cumulus.sources.reports import _parse_one
+
+    content = b'"Maker Wise, Kerala",,,\n,,,\n,,,\nS No,Maker,PETROL,\n1,ACME,4,10\n'
+    got = {r.fuel: r.value for r in _parse_one("x.csv", content).itertuples()}
+    assert got == {"PETROL": "4", "TOTAL": "10"}
+
+
+def test_unreadable_formats_are_quarantined(spark, tmp_path):
+    from cumulus.sources.reports import read_report_cells
+
+    (tmp_path / "a.txt").write_text("x")
+    (tmp_path / "b.xlsx").write_bytes(b"no sheet")
+    errors = {r.path.rsplit("/", 1)[1]: r.error for r in read_report_cells(spark, str(tmp_path)).collect()}
+    assert set(errors) == {"a.txt", "b.xlsx"} and all(errors.values())
+
+
+def test_snapshot_headers_must_agree(spark, tmp_path):
+    from cumulus.sources.files import read_snapshot_csv
+
+    (tmp_path / "2025-05-02_a.csv").write_text("State,PETROL,DIESEL\nKL,1,100\n")
+    (tmp_path / "2025-05-03_b.csv").write_text("State,DIESEL,PETROL\nKL,100,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_snapshot_csv(spark, str(tmp_path)).collect()
+
+
+def test_manifest_must_be_an_array(spark, tmp_path):
+    from cumulus.operators.quality import read_manifest
+
+    (tmp_path / "m.json").write_text('{"a": "b"}')
+    with pytest.raises(Exception, match="not a JSON array"):
+        read_manifest(spark, str(tmp_path / "m.json")).collect()
+    (tmp_path / "n.json").write_text('["a", " b ", ""]')
+    assert [r.name for r in read_manifest(spark, str(tmp_path / "n.json")).orderBy("pos").collect()] == ["a", "b"]
