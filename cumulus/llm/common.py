@@ -14,7 +14,7 @@ from cumulus.session import scratch_path
 
 # Text handled at once by the vectorised code of one task. Bounds its memory:
 # a slice holds this many bytes or one single text, whichever is more.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:

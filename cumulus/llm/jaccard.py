@@ -36,7 +36,7 @@ from cumulus.llm.components import components
 from cumulus.operators.joins import bounded_broadcast
 
 ORDERS = 3
-FOLDS = 32  # cells of the folded count vector
+FOLDS = 64  # cells of the folded count vector
 SKETCH = 1 << 18  # cells of the count sketch
 MAX_BROADCAST_IDS = 500_000
 BLOCK = 1500  # representatives of one bucket compared at once
@@ -135,7 +135,8 @@ def _profiles(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
                     cells = np.bincount((s >> np.uint64(20)).astype(np.int64) % FOLDS, minlength=FOLDS)
                     folds.append(np.minimum(cells, 255).astype(np.uint8).tobytes())
                     for k, p in enumerate(_prefixes(s, shared.value, percent) if len(s) else [s] * ORDERS):
-                        prefixes[k].append(p.view(np.int64))
+                        # the further orders keep 32 bits of each hash: enough to see that none is shared
+                        prefixes[k].append(p.astype(np.uint32).view(np.int32) if k else p.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -143,12 +144,12 @@ def _profiles(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
                         pa.array(low, pa.int64()),
                         pa.array(high, pa.int64()),
                         pa.array(folds, pa.binary()),
-                        *[pa.array(p, pa.list_(pa.int64())) for p in prefixes],
+                        *[pa.array(p, pa.list_(pa.int32() if k else pa.int64())) for k, p in enumerate(prefixes)],
                     ],
                     fields,
                 )
 
-    kinds = "id long, n long, low long, high long, folds binary, " + ", ".join(f"p{k} array<long>" for k in range(ORDERS))
+    kinds = "id long, n long, low long, high long, folds binary, " + ", ".join(f"p{k} array<{'int' if k else 'long'}>" for k in range(ORDERS))
     return docs.mapInArrow(run, kinds)
 
 
@@ -273,8 +274,10 @@ def _parted(postings: DataFrame, both: bool) -> DataFrame:
 
 def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Pairs that share prefix tokens under every further order and whose sets then are similar enough."""
+    named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    some = profiles.join(bounded_broadcast(scratch_table(named, "named"), MAX_BROADCAST_IDS), "id", "left_semi")
     for side in ("a", "b"):
-        own = profiles.select(
+        own = some.select(
             F.col("id").alias(side), F.col("n").alias(f"n_{side}"), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]
         )
         pairs = pairs.join(own, side)
@@ -321,6 +324,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     done = scratch_table(hot.filter("lo = hi").select("token"), "done")
     rest = labelled.join(bounded_broadcast(done, MAX_BROADCAST_IDS), "token", "left_anti")
     second = _bucket_pairs(_parted(rest, both=True), percent, leaders=False).distinct().join(first, ["a", "b"], "left_anti")
+    second = scratch_table(second, "pairs")
     more = _verified(second, profiles, docs, percent)
     drop_scratch(postings)
 
