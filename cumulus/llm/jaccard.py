@@ -73,7 +73,7 @@ def count_sketch(docs: DataFrame) -> np.ndarray:
     """How often the shingles of each hash cell occur over all documents: a fixed-size array.
 
     Every task sums its own, then groups of tasks are summed; the driver gets
-    sixteen arrays of ``SKETCH`` numbers whatever the input.
+    one array of ``SKETCH`` numbers whatever the input.
     """
 
     def count(batches):
@@ -91,8 +91,9 @@ def count_sketch(docs: DataFrame) -> np.ndarray:
                 total += np.frombuffer(cells, np.int32 if len(cells) == 4 * SKETCH else np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["cells"])
 
-    parts = docs.mapInArrow(count, "cells binary").repartition(16).mapInArrow(add, "cells binary").collect()
-    return sum((np.frombuffer(r[0], np.int64) for r in parts), np.zeros(SKETCH, np.int64))
+    parts = docs.mapInArrow(count, "cells binary").repartition(16).mapInArrow(add, "cells binary")
+    whole = parts.repartition(1).mapInArrow(add, "cells binary").collect()
+    return sum((np.frombuffer(r[0], np.int64) for r in whole), np.zeros(SKETCH, np.int64))
 
 
 def rank_classes(counts: np.ndarray) -> np.ndarray:
