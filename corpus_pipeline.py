@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cumulus.llm import decontaminate, jaccard, pieces, quality, secrets
+from cumulus.llm.common import bounded_batches
 from cumulus.operators.joins import bounded_broadcast
 from cumulus.session import scratch_path
 
@@ -32,25 +33,30 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.select_quality(docs, quality.fit_quality(docs, labels))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return _without(docs, jaccard.jaccard_components(docs).filter("doc_id <> component_id"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _without(docs, decontaminate.contamination(docs, benchmark).filter("contaminated"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     clean = secrets.redact(docs, secrets.fit_secrets(docs))
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return pieces.encode_pieces(docs)
 
 

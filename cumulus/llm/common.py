@@ -16,6 +16,20 @@ from cumulus.session import scratch_path
 # a slice holds this many bytes or one single text, whichever is more.
 SLICE_BYTES = 1 << 19
 
+BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` (or one row): by rows alone a batch of long texts has no bound.
+
+    A smaller setting of the session stays.
+    """
+    given = spark.conf.get(BATCH_BYTES_CONF).lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30}.get(given[-1:], 0)
+    if int(given.rstrip("kmg")) << unit > BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES_CONF, str(BATCH_BYTES))
+
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back (cuts lineage)."""

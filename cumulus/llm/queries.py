@@ -18,9 +18,11 @@ from cumulus.llm import (
     token_counts,
     toxicity,
 )
+from cumulus.llm.common import bounded_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
