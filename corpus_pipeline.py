@@ -3,7 +3,8 @@
 Every stage but the last returns the columns of ``documents``:
 
 1. ``quality``: documents that the ordinal classifier rejects go;
-2. ``near_duplicates``: of each group of linked documents the one with the smallest id stays;
+2. ``near_duplicates``: of each group of documents linked by a five-word Jaccard of 0.8 or more the one with the
+   smallest id stays;
 3. ``decontamination``: documents with a benchmark window go;
 4. ``secrets``: secret spans are replaced by a mark (``n_chars`` follows the text);
 5. ``sentencepiece``: ids of the texts that are left.
@@ -25,6 +26,7 @@ from cumulus.operators.joins import bounded_broadcast
 from cumulus.session import scratch_path
 
 MAX_BROADCAST_IDS = 500_000
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # near copies: five-word shingles, Jaccard 0.8 or more
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -40,7 +42,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
-    return _without(docs, jaccard.jaccard_components(docs).filter("doc_id <> component_id"))
+    return _without(docs, jaccard.jaccard_components(docs, percent=NEAR_PERCENT, words=NEAR_WORDS).filter("doc_id <> component_id"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

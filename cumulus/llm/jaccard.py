@@ -1,8 +1,8 @@
 """N-gram Jaccard join by prefix filters under several global token orders.
 
-A document is its set of distinct three-word shingles (64-bit hashes). Two
-linked sets differ in few shingles, so under any global order the first
-``n - ceil(0.9 n) + 1`` shingles of both must share one. All orders put
+A document is its set of distinct shingles of ``words`` words (64-bit hashes).
+Two linked sets differ in few shingles, so under any global order the first
+``n - ceil(percent n / 100) + 1`` shingles of both must share one. All orders put
 shingles of common classes last (the class comes from a fixed-size count sketch
 over all documents) and differ in the hash that ranks a class.
 
@@ -19,7 +19,7 @@ over all documents) and differ in the hash that ranks a class.
 4. A pair must also share prefix shingles under every further order; what
    passes all filters is verified on the whole sets.
 
-Cases: null or empty texts have no shingles and link with nothing; under three
+Cases: null or empty texts have no shingles and link with nothing; under ``words``
 words the whole sequence is one shingle; repeated rows count once; null ids are
 left out; other columns are ignored; an empty table gives an empty result.
 """
@@ -35,6 +35,7 @@ from cumulus.llm.common import SpanHasher, drop_scratch, joined, mix, row_slices
 from cumulus.llm.components import components
 from cumulus.operators.joins import bounded_broadcast
 
+WORDS = 3  # of a shingle, where the caller names no other number
 ORDERS = 3
 FOLDS = 64  # cells of the folded count vector
 SKETCH = 1 << 18  # cells of the count sketch
@@ -43,23 +44,28 @@ BLOCK = 1500  # representatives of one bucket compared at once
 _SEEDS = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64)) for k in range(8)]
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     buf, starts = joined(texts)
     hasher = SpanHasher(buf)
     w_start, w_end = space_words(buf)
     word = hasher(w_start, w_end)
     bounds = np.searchsorted(w_start, starts)
+    n = max(len(word) - words + 1, 0)
+    run = np.full(n, 7, np.uint64)
     with np.errstate(over="ignore"):
-        three = mix(word[:-2] + mix(word[1:-1] + mix(word[2:] + np.uint64(7)))) if len(word) > 2 else word[:0]
+        for k in reversed(range(words)):
+            run = mix(word[k : k + n] + run)
     out = []
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if hi - lo >= 3:
-            out.append(np.unique(three[lo : hi - 2]))
+        if hi - lo >= words:
+            out.append(np.unique(run[lo : hi - words + 1]))
         elif hi > lo:
-            short = word[lo:hi]
+            short = np.full(1, 2 * (hi - lo) + 1, np.uint64)
             with np.errstate(over="ignore"):
-                out.append(mix(short[:1] + (mix(short[1:] + np.uint64(5)) if hi - lo == 2 else np.uint64(3))))
+                for k in reversed(range(lo, hi)):
+                    short = mix(word[k : k + 1] + short)
+            out.append(short)
         else:
             out.append(word[:0])
     return out
@@ -69,7 +75,7 @@ def _cells(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(46)).astype(np.int64)
 
 
-def count_sketch(docs: DataFrame) -> np.ndarray:
+def count_sketch(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     """How often the shingles of each hash cell occur over all documents: a fixed-size array.
 
     Every task sums its own, then groups of tasks are summed; the driver gets
@@ -80,7 +86,7 @@ def count_sketch(docs: DataFrame) -> np.ndarray:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for part in row_slices(batch, 1):
-                sets = shingle_sets(text_bytes(part.column(1)))
+                sets = shingle_sets(text_bytes(part.column(1)), words)
                 total += np.bincount(_cells(np.concatenate(sets)) if sets else [], minlength=SKETCH).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.int32).tobytes()], pa.binary())], ["cells"])
 
@@ -119,7 +125,7 @@ def _prefixes(shingles: np.ndarray, classes: np.ndarray, percent: int) -> list[n
     return out
 
 
-def _profiles(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
+def _profiles(docs: DataFrame, classes: np.ndarray, percent: int, words: int) -> DataFrame:
     """``id, n, low, high, folds, p0, p1, ...`` of every document: set size, set signature, folded counts, prefixes."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)  # SKETCH bytes
     fields = ["id", "n", "low", "high", "folds", *[f"p{k}" for k in range(ORDERS)]]
@@ -127,7 +133,7 @@ def _profiles(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1):
-                sets = shingle_sets(text_bytes(part.column(1)))
+                sets = shingle_sets(text_bytes(part.column(1)), words)
                 low, high, folds, prefixes = [], [], [], [[] for _ in range(ORDERS)]
                 for s in sets:
                     with np.errstate(over="ignore"):
@@ -154,11 +160,11 @@ def _profiles(docs: DataFrame, classes: np.ndarray, percent: int) -> DataFrame:
     return docs.mapInArrow(run, kinds)
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1):
-                sets = shingle_sets(text_bytes(part.column(1)))
+                sets = shingle_sets(text_bytes(part.column(1)), words)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "shingles"]
                 )
@@ -273,7 +279,7 @@ def _parted(postings: DataFrame, both: bool) -> DataFrame:
     return rows.select("*", F.explode_outer(meets).alias("meet")).select("*", "meet.one", "meet.two").drop("meet")
 
 
-def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
     """Pairs that share prefix tokens under every further order and whose sets then are similar enough."""
     named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     some = profiles.join(bounded_broadcast(scratch_table(named, "named"), MAX_BROADCAST_IDS), "id", "left_semi")
@@ -287,7 +293,7 @@ def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: i
     pairs = scratch_table(pairs.select("a", "b", "n_a", "n_b"), "candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = bounded_broadcast(wanted, MAX_BROADCAST_IDS)
-    sets = scratch_table(_sets(docs.join(wanted, "id", "left_semi")).dropDuplicates(["id"]), "sets")
+    sets = scratch_table(_sets(docs.join(wanted, "id", "left_semi"), words).dropDuplicates(["id"]), "sets")
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("s"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("t"))
     shared = pairs.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("s", "t")))
@@ -298,11 +304,13 @@ def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: i
     return links
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, words: int = WORDS
+) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document id (links: ``100 * shared >= percent * union``)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    classes = rank_classes(count_sketch(docs))
-    rows = scratch_table(_profiles(docs, classes, percent), "profiles")
+    classes = rank_classes(count_sketch(docs, words))
+    rows = scratch_table(_profiles(docs, classes, percent, words), "profiles")
     sets_of = rows.filter("n > 0").select("id", "n", "low", "high")
     groups = scratch_table(sets_of.groupBy("n", "low", "high").agg(F.min("id").alias("rep")), "groups")
     copies = sets_of.join(groups, ["n", "low", "high"]).filter("id <> rep").select("id").distinct()
@@ -316,7 +324,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     first = _bucket_pairs(_parted(postings, both=False).withColumn("component", F.col("id")), percent, leaders=True)
     first = scratch_table(first.distinct(), "leaders")
-    links = _verified(first, profiles, docs, percent)
+    links = _verified(first, profiles, docs, percent, words)
     known = bounded_broadcast(scratch_table(components(links), "known"), MAX_BROADCAST_IDS)
     labelled = postings.join(known.withColumnRenamed("node", "id"), "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
@@ -326,7 +334,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rest = labelled.join(bounded_broadcast(done, MAX_BROADCAST_IDS), "token", "left_anti")
     second = _bucket_pairs(_parted(rest, both=True), percent, leaders=False).distinct().join(first, ["a", "b"], "left_anti")
     second = scratch_table(second, "pairs")
-    more = _verified(second, profiles, docs, percent)
+    more = _verified(second, profiles, docs, percent, words)
     drop_scratch(postings)
 
     found = components(links.union(more)).select(F.col("node").alias("rep"), F.col("component"))

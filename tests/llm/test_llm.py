@@ -465,3 +465,29 @@ def test_pipeline_stages(spark, small_dir):
     empty = spark.createDataFrame([], T.StructType(table.schema.fields))
     for _, stage in P.STAGES[:-1]:
         assert stage(spark, empty, small_dir).count() == 0
+
+
+def brute_near(texts, n=5, percent=80):
+    sets = {}
+    for i, t in enumerate(texts):
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+    near = lambda a, b: bool(a and b) and 100 * len(a & b) >= percent * len(a | b)
+    return [i for i, c in sorted(brute_components(sets, near).items()) if i == c]
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark, small_dir):
+    import corpus_pipeline as P
+
+    rnd = random.Random(12)
+    texts = [None, "", "a b c d", "A b  c d", "a b c", "a b c d e", "a b c d f", "a b c d e"]
+    for _ in range(25):
+        base = text(rnd, rnd.randint(40, 120))
+        texts += [base, f"{base} {text(rnd, base.count(' ') * rnd.randint(8, 30) // 100)}"]
+        words = base.split(" ")
+        words[len(words) // 2] = "changed"
+        texts.append(" ".join(words))
+    expected = brute_near(texts)
+    assert expected != [i for i, _, c in brute_jaccard(texts) if i == c]
+    kept = P.near_duplicate_stage(spark, docs(spark, texts), small_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == expected
