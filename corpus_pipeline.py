@@ -48,7 +48,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.contamination(docs, benchmark).filter("contaminated"))
+    found = decontaminate.contamination(docs, benchmark, with_hash=True).filter("contaminated")
+    gone = found.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (decontaminate.text_key(F.col("text")) == F.col("gone_hash"))
+    return docs.join(bounded_broadcast(gone, MAX_BROADCAST_IDS), same, "left_anti")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

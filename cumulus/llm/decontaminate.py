@@ -81,6 +81,11 @@ def _windows(rows: DataFrame, keys: list[str], length: int) -> DataFrame:
     )
 
 
+def text_key(text: Column) -> Column:
+    """What tells texts under one id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -89,11 +94,15 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     max_broadcast_rows: int = BROADCAST_ROWS,
+    with_hash: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document."""
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every document.
+
+    ``with_hash`` adds ``text_hash``, the other half of a document's key (``text_key`` of its text).
+    """
     keys = ["doc_id", "text_hash"]
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    docs = docs.select("doc_id", text_key(F.col("text")).alias("text_hash"), "text")
     items = benchmark.select(F.col(item_col).alias("item"), words(F.col(item_text_col).cast("string")).alias("words"))
     items = items.filter(F.size("words") > 0)
     # Lengths of items under ten words: nine values at most.
@@ -162,6 +171,7 @@ def contamination(
         hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left"
     ).select(
         "doc_id",
+        *(["text_hash"] if with_hash else []),
         F.col("n").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items_col).cast("long").alias("n_items"),

@@ -491,3 +491,15 @@ def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark, small_dir)
     assert expected != [i for i, _, c in brute_jaccard(texts) if i == c]
     kept = P.near_duplicate_stage(spark, docs(spark, texts), small_dir)
     assert sorted(r.doc_id for r in kept.collect()) == expected
+
+
+def test_decontamination_stage_judges_null_and_repeated_ids_by_text(spark, tmp_path):
+    import corpus_pipeline as P
+
+    bad = text(random.Random(6), 20)
+    spark.createDataFrame([(1, bad)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, bad), (None, "clean"), (None, None), (7, bad), (7, "also clean"), (8, bad), (9, "fine"), (9, "fine")]
+    table = spark.createDataFrame([(i, t, "en", "x", 1, "w") for i, t in rows], DOC)
+    kept = P.decontamination_stage(spark, table, str(tmp_path))
+    assert kept.columns == table.columns
+    assert collected(kept.select("doc_id", "text")) == collected(table.filter("text is null or text in ('clean', 'also clean', 'fine')").select("doc_id", "text"))
