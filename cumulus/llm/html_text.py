@@ -13,15 +13,17 @@ but for their headings. Character references are decoded, white space becomes
 one space, blocks are joined in page order by one space.
 
 Cases: null and empty html give an empty text; null urls share one host;
-unclosed and stray tags are repaired as they come; an unclosed comment or
+unclosed and stray tags are repaired as they come, at any depth; an unclosed comment or
 script runs to the end; repeated rows give repeated rows; other columns are
 ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +33,7 @@ from cumulus.llm.common import row_slices, scratch_table
 from cumulus.operators.joins import bounded_broadcast
 
 MAX_HOSTS_BROADCAST = 200_000
-MAX_DEPTH = 200  # open elements kept; deeper tags add text only
+LONGEST_PATH = 400  # characters; a longer path goes on from the hash of its upper part
 _TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""")
 _NAMES = re.compile(r"""(?i)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 # Element kinds of the HTML standard.
@@ -52,6 +54,14 @@ BOILERPLATE = frozenset(
 _WORD = re.compile(r"[a-z]+")
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+# Open elements at which the search for one to close implicitly stops, or that it closes.
+_MARKS = CONTAINERS | {"p", "ul", "ol", "dl", "table"}.union(*_SAME.values())
+
+
+def _below(path: str, own: str) -> str:
+    path = f"{path}/{own}"
+    return path if len(path) <= LONGEST_PATH else "~" + hashlib.blake2b(path.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
 
 class _Element:
     __slots__ = ("tag", "path", "dropped", "header", "heading", "link", "clean", "total", "out", "container")
@@ -107,6 +117,8 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
     """Scores of the page's container paths, and the clean text of the containers on path ``take``."""
     page_element = _Element()
     stack = [page_element]
+    marks: list[int] = []  # places in the stack of tags in _MARKS
+    open_tags: Counter[str] = Counter()
     scores: dict[str, float] = {}
     taken: list[str] = []
     taking = int(take == "")  # open containers on the wanted path
@@ -115,6 +127,7 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
         nonlocal taking
         while len(stack) > down_to:
             e = stack.pop()
+            open_tags[e.tag] -= 1
             if e.container and not e.dropped and e.total:
                 bonus = 1.2 if e.tag in ("article", "main") else 1.0
                 scores[e.path] = scores.get(e.path, 0.0) + bonus * e.clean * e.clean / e.total
@@ -122,6 +135,8 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
                 taking -= 1
             stack[-1].clean += e.clean
             stack[-1].total += e.total
+        while marks and marks[-1] >= down_to:
+            marks.pop()
 
     for text, tag, attributes in _pieces(page):
         top = stack[-1]
@@ -136,10 +151,8 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
             continue
         if tag[0] == "/":
             name = tag[1:]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == name:
-                    close(k)
-                    break
+            if open_tags[name] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name))
             if name not in INLINE and taking:
                 taken.append(" ")
             continue
@@ -148,7 +161,7 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
                 taken.append(" ")
             if tag in VOID:
                 continue
-            for k in range(len(stack) - 1, 0, -1):
+            for k in reversed(marks):
                 if stack[k].tag == "p":
                     close(k)
                     break
@@ -159,7 +172,7 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
                     break
         elif tag in VOID:
             continue
-        if tag == "html" or attributes.endswith("/") and tag in INLINE or len(stack) > MAX_DEPTH:
+        if tag == "html" or attributes.endswith("/") and tag in INLINE:
             continue
         names = classes = ""
         if "=" in attributes:
@@ -168,10 +181,13 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
             classes = ".".join(sorted({re.sub(r"\d+", "", c) for k, v in found if k == "class" for c in v.split()}))
         parent = stack[-1]
         own = tag + ("." + classes if classes else "")
-        element = _Element(tag, f"{parent.path}/{own}" if tag in CONTAINERS else parent.path, parent, names)
+        element = _Element(tag, _below(parent.path, own) if tag in CONTAINERS else parent.path, parent, names)
         if element.container and element.path == take and not element.dropped:
             element.out = True
             taking += 1
+        if tag in _MARKS:
+            marks.append(len(stack))
+        open_tags[tag] += 1
         stack.append(element)
     close(1)
     if page_element.total:

@@ -296,6 +296,21 @@ def test_broken_pages_do_not_fail(bad):
     assert isinstance(html_text.main_text(bad, None), str)
 
 
+@pytest.mark.parametrize("opens, closes", [("<section>" * 300, "</section>" * 300), ("<font>" * 300, ""), ("<b><a name=x>" * 300, "")])
+def test_deep_pages_keep_their_whole_text(opens, closes):
+    inner = "<div>block</div><nav>menu</nav><div><i>more</i></div><aside>side</aside>end"
+    page = f'<body><div class="post"><p>start</p>{opens}{inner}{closes}<p>last</p></div><div>other</div>'
+    assert html_text.main_text(page, "/body/div.post") == "start block more end last"
+    assert html_text.main_text(page, "") == "start block more end last other"
+
+
+def test_time_and_paths_of_a_very_deep_page_stay_bounded():
+    page = "<div class=abc><font>" * 20_000 + "word" + "</b>" * 20_000 + "<p>x" * 20_000
+    scores = html_text.walk(page)[0]
+    assert max(map(len, scores)) <= html_text.LONGEST_PATH
+    assert html_text.main_text(page, None) == "word" + " x" * 20_000
+
+
 # 7 -- toxicity
 
 
