@@ -8,8 +8,12 @@ on its host's winning path. A page without that path falls back on its own
 best container.
 
 Within the container go: scripts, styles, forms, menus, footers, sidebars,
-notices, adverts and reader comments (by tag, role, class and id), and headers
-but for their headings. Character references are decoded, white space becomes
+notices, adverts and reader comments, and headers but for their headings. They
+are known by their tag, or as blocks (never headings, paragraphs or inline
+elements) by a role, class or id that says nothing else and by their looks: a
+plain name such as ``ad`` counts for a block that is mostly links, short or less
+than half of the page, a name that article sections may also have such as
+``search`` only for one that is mostly links, or little text without a heading. Character references are decoded, white space becomes
 one space, blocks are joined in page order by one space.
 
 Cases: null and empty html give an empty text; null urls share one host;
@@ -38,18 +42,30 @@ _TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>
 _NAMES = re.compile(r"""(?i)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select".split())
+RAW = frozenset("script style textarea title template iframe select".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "svg math noscript mi mn mo ms mtext mrow msub msup msubsup mfrac msqrt mroot mover munder munderover mstyle mspace semantics".split()
 )
 CONTAINERS = frozenset("body article main section div td".split())
-DROPPED = frozenset("nav footer aside form button menu dialog head figcaption".split())
+DROPPED = frozenset("nav footer aside form button menu dialog head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# Names that mark boilerplate, as whole words of a class, id or role.
-BOILERPLATE = frozenset(
-    "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments complementary contentinfo cookie cookies disqus "
-    "footer masthead menu modal nav navbar navigation newsletter notice pagination pager popup promo related replies respond search share "
-    "sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
+FOREIGN = frozenset({"svg", "math"})  # within them "/>" closes and no tag closes a paragraph
+SHORT = 500  # characters of a plainly named block that need no comparison with the page
+NAMED = frozenset("div section ul ol dl table td li header".split())  # blocks that names can mark
+ROLES = frozenset("navigation search contentinfo complementary banner menu menubar toolbar dialog".split())
+# Names that mark boilerplate: a class or id made of them and of words for its place only.
+PLAIN = frozenset(
+    "ad ads advert advertisement adverts breadcrumb breadcrumbs cookie cookies footer masthead nav navbar newsletter pager pagination "
+    "sidebar sponsored".split()
+)
+READERS = frozenset("comments disqus respond replies".split())  # may be longer than the article
+LOOSE = frozenset(
+    "banner comment menu modal navigation notice popup promo related search share sharing social sponsor subscribe toolbar widget".split()
+)
+PLACES = frozenset(
+    "area bar block bottom box button buttons container global icons inner item items left link links list main outer page panel "
+    "primary right secondary section site top wrap wrapper".split()
 )
 _WORD = re.compile(r"[a-z]+")
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -64,24 +80,45 @@ def _below(path: str, own: str) -> str:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "dropped", "header", "heading", "link", "clean", "total", "out", "container")
+    __slots__ = ("tag", "path", "dropped", "header", "heading", "link", "clean", "total", "out", "container", "foreign", "named", "heads")
 
-    def __init__(self, tag="", path="", parent=None, names=""):
+    def __init__(self, tag="", path="", parent=None, dropped=False):
         self.tag, self.path = tag, path
         self.clean = self.total = 0
         self.out = None
         self.container = tag in CONTAINERS or parent is None  # the page itself is one
+        self.named = None
+        self.heads = 0
         if parent is None:
-            self.dropped = self.header = self.heading = self.link = False
+            self.dropped = self.header = self.heading = self.link = self.foreign = False
             return
-        self.dropped = parent.dropped or tag in DROPPED or (tag not in ("body", "article", "main") and _is_boilerplate(names))
+        self.dropped = parent.dropped or tag in DROPPED or dropped
+        self.foreign = parent.foreign or tag in FOREIGN
         self.header = tag == "header" or parent.header
         self.heading = tag in HEADINGS or parent.heading
         self.link = tag == "a" or parent.link
 
 
-def _is_boilerplate(names: str) -> bool:
-    return bool(names) and not BOILERPLATE.isdisjoint(_WORD.findall(names.lower()))
+def _kind(names: list[str]) -> str:
+    """``plain``, ``readers`` or ``loose`` if one of the classes and ids marks boilerplate, else empty."""
+    found = set()
+    for name in names:
+        words = set(_WORD.findall(name.lower())) - PLACES
+        for kind, marks in (("plain", PLAIN), ("readers", READERS), ("loose", LOOSE)):
+            if words and words <= PLAIN | READERS | LOOSE and words & marks:
+                found.add(kind)
+    return next((k for k in ("readers", "plain", "loose") if k in found), "")
+
+
+def _looks_so(kind: str, clean: int, total: int, heads: int, page_clean: int) -> bool:
+    """Whether a named block of ``clean`` of ``total`` characters outside links looks like boilerplate."""
+    if 2 * clean <= total:
+        return True
+    if kind == "loose":
+        return not heads and 20 * clean < page_clean
+    if kind == "readers":
+        return clean < page_clean
+    return clean < SHORT or 2 * clean < page_clean
 
 
 def _pieces(page: str):
@@ -113,8 +150,29 @@ def _pieces(page: str):
             yield None, tag, m.group(3)
 
 
-def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str]]:
-    """Scores of the page's container paths, and the clean text of the containers on path ``take``."""
+def boilerplate(page: str) -> frozenset[int]:
+    """Numbers, in page order, of the named blocks that look like boilerplate."""
+    blocks: list[tuple[int, str, int, int, int]] = []
+    if _NAMES.search(page):
+        walk(page, None, frozenset(), blocks)
+    if not blocks:
+        return frozenset()
+    page_clean = blocks.pop()[2]
+    return frozenset(k for k, kind, clean, total, heads in blocks if _looks_so(kind, clean, total, heads, page_clean))
+
+
+def walk(
+    page: str, take: str | None = None, gone: frozenset[int] | None = None, blocks: list | None = None
+) -> tuple[dict[str, float], list[str]]:
+    """Scores of the page's container paths, and the clean text of the containers on path ``take``.
+
+    Of the named blocks those numbered in ``gone`` (by default as ``boilerplate``
+    finds them) are dropped; ``blocks`` is given the number, kind, clean and total
+    characters and headings of each, and the page's own last.
+    """
+    if gone is None:
+        gone = boilerplate(page)
+    n_named = 0
     page_element = _Element()
     stack = [page_element]
     marks: list[int] = []  # places in the stack of tags in _MARKS
@@ -135,6 +193,9 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
                 taking -= 1
             stack[-1].clean += e.clean
             stack[-1].total += e.total
+            stack[-1].heads += e.heads
+            if e.named and blocks is not None and not e.dropped:
+                blocks.append((*e.named, e.clean, e.total, e.heads))
         while marks and marks[-1] >= down_to:
             marks.pop()
 
@@ -161,7 +222,7 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
                 taken.append(" ")
             if tag in VOID:
                 continue
-            for k in reversed(marks):
+            for k in reversed(marks) if not top.foreign else ():
                 if stack[k].tag == "p":
                     close(k)
                     break
@@ -172,16 +233,23 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
                     break
         elif tag in VOID:
             continue
-        if tag == "html" or attributes.endswith("/") and tag in INLINE:
+        if tag == "html" or attributes.endswith("/") and (tag in INLINE or top.foreign):
             continue
-        names = classes = ""
+        classes, dropped, named = "", False, None
         if "=" in attributes:
             found = [(m[0].lower(), m[1] or m[2] or m[3]) for m in _NAMES.findall(attributes)]
-            names = " ".join(v for _, v in found)
+            if tag in NAMED:
+                dropped = any(k == "role" and not ROLES.isdisjoint(v.lower().split()) for k, v in found)
+                if kind := _kind([c for k, v in found if k != "role" for c in v.split()]):
+                    dropped = dropped or n_named in gone
+                    named = (n_named, kind)
+                    n_named += 1
             classes = ".".join(sorted({re.sub(r"\d+", "", c) for k, v in found if k == "class" for c in v.split()}))
         parent = stack[-1]
         own = tag + ("." + classes if classes else "")
-        element = _Element(tag, _below(parent.path, own) if tag in CONTAINERS else parent.path, parent, names)
+        element = _Element(tag, _below(parent.path, own) if tag in CONTAINERS else parent.path, parent, dropped)
+        element.named = named
+        element.heads = int(tag in HEADINGS)
         if element.container and element.path == take and not element.dropped:
             element.out = True
             taking += 1
@@ -190,6 +258,8 @@ def walk(page: str, take: str | None = None) -> tuple[dict[str, float], list[str
         open_tags[tag] += 1
         stack.append(element)
     close(1)
+    if blocks:
+        blocks.append((-1, "", page_element.clean, page_element.total, page_element.heads))
     if page_element.total:
         scores[""] = page_element.clean**2 / page_element.total
     return scores, taken
@@ -203,10 +273,11 @@ def main_text(page: str | None, path: str | None) -> str:
     """The page's text from the containers on ``path``, else from its own best container."""
     if not page:
         return ""
-    scores, taken = walk(page, path)
+    gone = boilerplate(page)
+    scores, taken = walk(page, path, gone)
     if path is None or path not in scores:
         own = best_path(scores)
-        taken = walk(page, own)[1] if own is not None else []
+        taken = walk(page, own, gone)[1] if own is not None else []
     return " ".join("".join(taken).split())
 
 

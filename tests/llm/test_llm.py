@@ -304,6 +304,50 @@ def test_deep_pages_keep_their_whole_text(opens, closes):
     assert html_text.main_text(page, "") == "start block more end last other"
 
 
+PROSE = "The method reads every page twice and keeps what is found. " * 6
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<h2 id="related-work">Related work</h2>',
+        '<section id="search-algorithms"><h2>Search</h2>Trees and tables.</section>',
+        '<section id="search"><h2>Search</h2>Trees and tables.</section>',
+        '<p class="social">Social text.</p>',
+        '<div class="share-prices">Prices rose.</div>',
+        '<p>code <span class="comment">note</span> runs</p>',
+        "<figure><figcaption>A caption.</figcaption></figure>",
+        "<p>so <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></math> holds</p>",
+        '<p>a <svg><path d="M0"/><text>label</text></svg> b</p>',
+        "<noscript>plain view</noscript>",
+    ],
+)
+def test_article_text_stays_whatever_its_names(part):
+    told = " ".join(re.sub(r"</?(h2|section|text|p)\b[^>]*>", " ", part).split())
+    told = re.sub("<[^>]*>", "", told)
+    got = html_text.main_text(f"<body><article><p>{PROSE}</p>{part}<p>{PROSE}</p></article>", "/body/article")
+    assert got == " ".join(f"{PROSE} {told} {PROSE}".split())
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="ad">buy</div>',
+        '<div class="ad-box top"><p>buy now</p></div>',
+        '<div id="social-share"><a href=x>share</a> <a href=y>send</a></div>',
+        '<section class="related"><h3><a href=x>Other story</a></h3><a href=y>And more</a></section>',
+        f'<div id="comments"><h3>Comments</h3>{PROSE * 5}</div>',
+        '<div role="navigation">menu</div>',
+        '<div class="sidebar"><h3>About</h3>us</div>',
+    ],
+)
+def test_boilerplate_blocks_go(part):
+    got = html_text.main_text(f"<body><article><p>{PROSE}</p>{part}<p>{PROSE}</p></article>", "/body/article")
+    assert got == f"{PROSE}{PROSE}".strip()
+    short = html_text.main_text('<body><article><p>Few.</p><div class="ad">buy this now</div></article>', "/body/article")
+    assert short == "Few."
+
+
 def test_time_and_paths_of_a_very_deep_page_stay_bounded():
     page = "<div class=abc><font>" * 20_000 + "word" + "</b>" * 20_000 + "<p>x" * 20_000
     scores = html_text.walk(page)[0]
