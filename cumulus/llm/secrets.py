@@ -4,16 +4,16 @@ Tokens are runs of word bytes and runs of other printable bytes. Each gets the
 tag secret begin, secret inside or outside; features are its own shape, the
 shapes of its neighbours, a key word shortly before it, and two of the text.
 Weights and transitions are fitted by likelihood (forward-backward) on windows
-around pattern hits and on other windows of a bounded sample of texts. Texts
-are decoded by Viterbi. A text in which no token's tag score beats outside by
+around pattern hits and on other windows of a bounded sample of texts, up to
+half of them drawn from all texts with a hit. Texts are decoded by Viterbi. A text in which no token's tag score beats outside by
 more than entering and leaving a secret costs keeps every token outside on its
 best path, so only the others walk the full search.
 
-Pattern spans stay; tag spans that meet none of them are added with kind ``crf``.
+Pattern spans stay; the parts of tag spans outside them are added with kind ``crf``.
 
 Cases: null and empty texts have no spans; offsets count code points; repeated
 rows give repeated rows; other columns are ignored; an empty table gives an
-empty result; with no pattern hit in the sample only pattern spans are given.
+empty result; with no pattern hit in any text there is no field and no span.
 """
 
 from __future__ import annotations
@@ -27,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cumulus.llm.common import SpanHasher, joined, row_slices, text_bytes
+from cumulus.llm.common import SpanHasher, drop_scratch, joined, row_slices, scratch_table, text_bytes
 
-SAMPLE = 3000  # texts (smallest id hashes) the field is fitted on
-SHORTEST = 8  # a tagged span has this many bytes at least, a digit among them
+SAMPLE = 3000  # distinct texts (smallest hashes) the field is fitted on
+SHORTEST = 8  # bytes of a tagged span, as of the shortest pattern value it is trained on
+HIT_WINDOWS = 16  # training windows around hits of one text
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(rb"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
@@ -241,6 +242,7 @@ def _training_windows(texts: list[bytes]) -> list[tuple[bytes, bytes]]:
             if j > i:
                 tags[i + 1 : j], tags[i] = INSIDE, BEGIN
                 at.append(int(i) - WINDOW // 2)
+        at = at[:: -(-len(at) // HIT_WINDOWS) or 1]
         at.append(len(text) * 7919 % max(hi - lo - WINDOW, 1))
         for k in at:
             k = max(k, 0)
@@ -252,8 +254,14 @@ def _training_windows(texts: list[bytes]) -> list[tuple[bytes, bytes]]:
     return out
 
 
-def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Field | None:
-    """The field, fitted on at most ``sample`` texts; None when they hold no pattern hit."""
+def fit_secrets(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Field | None:
+    """The field, fitted on at most ``sample`` texts, up to half of them with a pattern hit; None when no text has one."""
+
+    def mark(batches):
+        for batch in batches:
+            for part in row_slices(batch, 1):
+                hit = [bool(base_spans(t)) for t in text_bytes(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hit, pa.bool_())], ["key", "hit"])
 
     def run(batches):
         for batch in batches:
@@ -261,12 +269,17 @@ def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 made = _training_windows(text_bytes(part.column(1)))
                 yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.binary())], ["x", "y"])
 
-    ids = docs.select(F.col(id_col).alias("id")).filter("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(ids), "id").select(F.col("id").cast("long").alias("id"), "text")  # at most ``sample`` ids
-    got = sorted(rows.mapInArrow(run, "x binary, y binary").collect())
-    if not got:
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).select(F.xxhash64("text").alias("key"), "text")
+    marked = scratch_table(texts.mapInArrow(mark, "key long, hit boolean").distinct(), "hits")
+    hits = [r.key for r in marked.filter("hit").orderBy("key").limit(-(-sample // 2)).select("key").collect()]
+    if not hits:
+        drop_scratch(marked)
         return None
+    others = [r.key for r in marked.filter("not hit").orderBy("key").limit(sample - len(hits)).select("key").collect()]
+    drop_scratch(marked)
+    keys = docs.sparkSession.createDataFrame([(k,) for k in hits + others], "key long")  # at most ``sample``
+    rows = texts.join(F.broadcast(keys), "key").dropDuplicates(["key"])
+    got = sorted(rows.mapInArrow(run, "x binary, y binary").collect())
     tags = np.frombuffer(b"".join(r[1] for r in got), np.int8).reshape(len(got), WINDOW)
     if not (tags == BEGIN).any():
         return None
@@ -292,19 +305,30 @@ def _field_spans(texts: list[bytes], field: Field) -> list[list[tuple[int, int]]
             while stop < len(path) and path[stop] == INSIDE:
                 stop += 1
             a, b = int(rows.start[lo + k]), int(rows.end[lo + stop - 1])
-            if b - a >= SHORTEST and ((rows.buf[a:b] >= 48) & (rows.buf[a:b] <= 57)).any():
+            if b - a >= SHORTEST:
                 out[r].append((a - base, b - base))
             k = stop
     return out
 
 
+def _outside(text: bytes, a: int, b: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The parts of a tag span that no pattern span covers and that hold a word byte."""
+    parts = []
+    for s, e, _ in sorted(base):
+        if s < b and a < e:
+            parts.append((a, s))
+            a = e
+    parts.append((a, b))
+    return [(s, e, 3) for s, e in parts if s < e and (_CLASS[np.frombuffer(text[s:e], np.uint8)] == 1).any()]
+
+
 def find_secrets(texts: list[bytes], field: Field | None) -> list[list[tuple[int, int, int]]]:
     """Spans ``(start, end, kind)`` in code points, by start, then kind."""
     tagged = _field_spans(texts, field) if field else [[] for _ in texts]
     out = []
     for text, extra in zip(texts, tagged, strict=True):
         base = base_spans(text)
-        spans = base + [(a, b, 3) for a, b in extra if not any(a < e and s < b for s, e, _ in base)]
+        spans = base + [p for a, b in extra for p in _outside(text, a, b, base)]
         if spans and len(text) != len(text.decode("utf-8", "replace")):
             point = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
             spans = [(int(point[a]), int(point[b]), k) for a, b, k in spans]
