@@ -10,10 +10,13 @@ from cumulus.llm import (
     chat,
     decontaminate,
     embeddings,
+    host_rules,
     html_text,
     jaccard,
+    periodic,
     pieces,
     quality,
+    resample,
     secrets,
     token_counts,
     toxicity,
@@ -70,6 +73,18 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_links(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.judge_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(periodic.periodic_runs(periodic.with_planted_runs(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat,
         op9_jaccard,
         op10_embeddings,
+        op11_resampling,
+        op12_quality_rules,
+        op13_periodic_runs,
     )
 }
 
@@ -90,4 +108,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": decontaminate.ORACLE,
     "op8_chat": chat.ORACLE,
     "op10_embeddings": embeddings.ORACLE,
+    "op11_resampling": resample.ORACLE,
+    "op12_quality_rules": host_rules.ORACLE,
 }
