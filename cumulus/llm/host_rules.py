@@ -21,7 +21,7 @@ itself; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cumulus.llm.common import scratch_table
@@ -34,23 +34,19 @@ PRIOR_LIMIT = 1_000_000.0  # documents that the prior weighs at most
 MAX_BROADCAST_HOSTS = 500_000
 
 # Fixed values of the measures: white space and symbol characters.
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
-
-_N, _REPEAT = F.col("n_words"), F.col("n_repeat_words")
-BASE_RULES: dict[str, Column] = {"few_words": _N < LEAST_WORDS, "repeated_windows": 100 * _REPEAT > REPEAT_PERCENT * _N}
-RULES: dict[str, Column] = BASE_RULES | {
-    "symbols": 10 * F.col("n_symbols") > _N,  # more than one to ten words
-    "repeated_lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
-    "short_words": F.col("word_chars") < 3 * _N,
-    "long_words": F.col("word_chars") > 10 * _N,
+SPACE, NO_SPACE = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+SYMBOL = "[#*$%&|<>]"
+
+# Rules are SQL conditions over the measures; a document for which one holds fails it.
+BASE_RULES = {"few_words": f"n_words < {LEAST_WORDS}", "repeated_windows": f"100 * n_repeat_words > {REPEAT_PERCENT} * n_words"}
+RULES = BASE_RULES | {
+    "symbols": "10 * n_symbols > n_words",  # more than one to ten words
+    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "short_words": "word_chars < 3 * n_words",
+    "long_words": "word_chars > 10 * n_words",
 }
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """``doc_id, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words`` of every document."""
     # Each step is one projection: an array that the next step's lambdas index must be a column, not an expression.
@@ -62,42 +58,40 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     rows = rows.select(
         "doc_id",
         "host",
-        F.length(_without(F.col("body"), SPACES)).cast("long").alias("word_chars"),
-        (F.length("body") - F.length(_without(F.col("body"), SYMBOLS))).cast("long").alias("n_symbols"),
-        F.filter(F.split("body", "\n"), lambda line: _without(line, SPACES) != "").alias("body_lines"),
-        F.filter(F.split(F.translate("body", SPACES, " " * len(SPACES)), " "), lambda w: w != "").alias("body_words"),
+        F.regexp_count("body", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
+        F.filter(F.split("body", "\n"), lambda line: line.rlike(NO_SPACE)).alias("body_lines"),
+        F.array_remove(F.split("body", SPACE), "").alias("body_words"),
     )
-    starts = F.sequence(F.lit(0), F.size("body_words") - 3)
     word = F.col("body_words")
-    window = F.transform(starts, lambda i: F.struct(F.xxhash64(word[i], word[i + 1], word[i + 2]).alias("h"), i.alias("at")))
+    window = F.transform(F.sequence(F.lit(0), F.size(word) - 3), lambda i: F.xxhash64(word[i], word[i + 1], word[i + 2]))
     rows = rows.select(
         "doc_id",
         "host",
-        F.size("body_words").cast("long").alias("n_words"),
-        "word_chars",
+        F.size(word).cast("long").alias("n_words"),
+        F.length(F.array_join(word, "")).cast("long").alias("word_chars"),
         "n_symbols",
         F.size("body_lines").cast("long").alias("n_lines"),
         (F.size("body_lines") - F.size(F.array_distinct("body_lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("body_words") >= 3, F.sort_array(window)).alias("windows"),
+        F.when(F.size(word) >= 3, window).otherwise(F.array().cast("array<long>")).alias("windows"),
     )
-    near = F.col("windows")
-
-    def same(k: Column, x: Column) -> Column:
-        return F.coalesce(F.get(near, k)["h"] == x["h"], F.lit(False))
-
-    twice = F.filter("windows", lambda x, k: same(k - 1, x) | same(k + 1, x))
-    rows = rows.withColumn("windows", F.sort_array(F.transform(twice, lambda x: x["at"])))
+    # Only texts with a repeated window are sorted.
+    placed = F.sort_array(F.transform("windows", lambda h, at: F.struct(h.alias("h"), at.alias("at"))))
+    rows = rows.withColumn("windows", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), placed))
+    pairs = F.arrays_zip(F.col("windows").alias("one"), F.slice("windows", 2, F.size("windows")).alias("two"))
+    twice = F.filter(pairs, lambda x: x["one"]["h"] == x["two"]["h"])
+    twice = F.flatten(F.transform(twice, lambda x: F.array(x["one"]["at"], x["two"]["at"])))
+    rows = rows.withColumn("windows", F.when(F.size("windows") > 0, F.sort_array(F.array_distinct(twice))))
     # A window covers three words, or those up to the next repeated window.
     covered = F.transform("windows", lambda at, k: F.least(F.lit(3), F.coalesce(F.get("windows", k + 1) - at, F.lit(3))))
     total = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0))
     return rows.withColumn("n_repeat_words", total.cast("long")).drop("windows")
 
 
-def host_verdicts(measured: DataFrame, rules: dict[str, Column] | None = None, limit: float = HOST_LIMIT) -> DataFrame:
+def host_verdicts(measured: DataFrame, rules: dict[str, str] | None = None, limit: float = HOST_LIMIT) -> DataFrame:
     """``host, n, rate_<rule>..., host_kept`` of every host: shrunk rates of rule failures and the verdict."""
     rules = rules or RULES
     hosts = measured.filter("host is not null").groupBy("host").agg(
-        F.count("*").alias("n"), *[F.count_if(rule).alias(f"fail_{name}") for name, rule in rules.items()]
+        F.count("*").alias("n"), *[F.count_if(F.expr(rule)).alias(f"fail_{name}") for name, rule in rules.items()]
     )
     hosts = scratch_table(hosts, "hosts")
     rate = {name: F.col(f"fail_{name}") / F.col("n") for name in rules}
@@ -121,9 +115,7 @@ def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     measured = scratch_table(measures(docs, id_col, text_col, host_col), "measures")
     rejected = host_verdicts(measured).filter("not host_kept").select(F.col("host").alias("rejected_host"))
     joined = measured.join(bounded_broadcast(rejected, MAX_BROADCAST_HOSTS), F.col("host") == F.col("rejected_host"), "left")
-    failed = F.lit(False)
-    for rule in BASE_RULES.values():
-        failed = failed | rule
+    failed = F.expr(" or ".join(f"({rule})" for rule in BASE_RULES.values()))
     return joined.select(
         "doc_id",
         "n_words",
