@@ -14,10 +14,10 @@ from cumulus.session import scratch_path
 
 # Text handled at once by the vectorised code of one task. Bounds its memory:
 # a slice holds this many bytes or one single text, whichever is more.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 18
 
 BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -35,7 +35,8 @@ from cumulus.llm.common import mix, powers, row_slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHE_SEGMENTS = 600_000  # short segments whose ids a worker remembers
+CACHE_SEGMENTS = 40_000  # short segments whose ids a worker remembers (some 10 MB)
+CACHE_PAIRS = 40_000  # pairs of pieces it remembers to stay apart or not (some 10 MB)
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -106,7 +107,7 @@ class StreamingEncoder:
 
     def _stay_apart(self, before: str, piece: str) -> bool:
         known = self._merge(before + piece) == ([before, piece] if before else [piece])
-        if len(self._apart) >= 300_000:
+        if len(self._apart) >= CACHE_PAIRS:
             self._apart.clear()
         self._apart[before, piece] = known
         return known
@@ -235,7 +236,8 @@ class LockStep:
     """
 
     LONGEST = 64  # characters; longer segments go through the streaming window
-    AT_ONCE = 8192
+    AT_ONCE = 4096
+    PAIR_BITS = 18  # slots of the table of pairs
 
     def __init__(self, encoder: StreamingEncoder):
         self.encoder, ids = encoder, encoder.model.ids
@@ -251,8 +253,8 @@ class LockStep:
             table[slots] = left
             self.tables.append(table)
             left = left[table[slots] != left]
-        self.pairs = np.full(1 << 21, -1, np.int64)
-        self.apart = np.zeros(1 << 21, bool)
+        self.pairs = np.full(1 << self.PAIR_BITS, -1, np.int64)
+        self.apart = np.zeros(1 << self.PAIR_BITS, bool)
 
     @staticmethod
     def _slot(keys: np.ndarray, level: int) -> np.ndarray:
@@ -282,7 +284,7 @@ class LockStep:
 
     def _stay_apart(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         pair = before.astype(np.int64) * (self.odd + 1) + piece
-        slot = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(43)).astype(np.int64)
+        slot = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.PAIR_BITS)).astype(np.int64)
         new = self.pairs[slot] != pair
         if not new.any():
             return self.apart[slot]

@@ -532,8 +532,8 @@ def test_pipeline_stages(spark, small_dir):
         assert kept.columns == table.columns and {r.doc_id for r in after} <= {r.doc_id for r in before}
         if name == "near_duplicates":
             ids = sorted(r.doc_id for r in before)
-            told = brute_jaccard([next(r.text for r in before if r.doc_id == i) for i in ids])
-            assert sorted(r.doc_id for r in after) == [ids[i] for i, _, c in told if i == c]
+            told = brute_near([next(r.text for r in before if r.doc_id == i) for i in ids])
+            assert sorted(r.doc_id for r in after) == [ids[i] for i in told]
         if name == "secrets":
             assert len(after) == len(before) and not any(brute_base(r.text) for r in after)
             assert all(r.n_chars == len(r.text) for r in after)
@@ -580,3 +580,16 @@ def test_decontamination_stage_judges_null_and_repeated_ids_by_text(spark, tmp_p
     kept = P.decontamination_stage(spark, table, str(tmp_path))
     assert kept.columns == table.columns
     assert collected(kept.select("doc_id", "text")) == collected(table.filter("text is null or text in ('clean', 'also clean', 'fine')").select("doc_id", "text"))
+
+
+def test_near_duplicate_stage_tells_documents_apart_by_id_and_text(spark, small_dir):
+    import corpus_pipeline as P
+
+    one, two, three = (text(random.Random(k), 60) for k in (21, 22, 23))
+    rows = [(5, one), (3, one + " more"), (3, two), (9, two + " more"), (None, one), (None, three), (None, three + " more"), (4, "fine"), (None, None)]
+    table = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in rows], "doc_id long, text string, near_key long, gone_id string, near_id long")
+    kept = P.near_duplicate_stage(spark, table, small_dir)
+    assert kept.columns == table.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    sure = Counter([(3, one + " more"), (3, two), (4, "fine"), (None, None)])
+    assert got - sure in (Counter([(None, three)]), Counter([(None, three + " more")])) and not sure - got
