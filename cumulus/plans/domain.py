@@ -157,6 +157,23 @@ snap AS (
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 )"""
 
+# The increments stated directly: on every snapshot day of a month from a key's first day on, the day's own count.
+DENSE_SQL = f"""
+daily AS MATERIALIZED ({DAILY_SQL}),
+days AS MATERIALIZED (
+  SELECT day, month, LAG(day) OVER (PARTITION BY month ORDER BY day) AS prev_date, LAG(day) OVER (ORDER BY day) AS chain_date
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, date_trunc('month', CAST(o_orderdate AS DATE)) AS month
+        FROM orders WHERE o_orderdate IS NOT NULL)),
+firsts AS (SELECT office, vehicle_type, maker, date_trunc('month', day) AS month, MIN(day) AS first_day FROM daily GROUP BY 1, 2, 3, 4),
+grid AS MATERIALIZED (
+  SELECT d.day AS snapshot_date, d.month, d.prev_date, d.chain_date, f.office, f.vehicle_type, f.maker
+  FROM firsts f JOIN days d ON d.month = f.month WHERE d.day >= f.first_day),
+dense AS MATERIALIZED (
+  SELECT g.snapshot_date, g.month, g.prev_date, g.chain_date, g.office, g.vehicle_type, g.maker,
+         {", ".join(f"COALESCE(x.{_q(m)}, 0) AS {_q(m)}" for m in MEASURES)}
+  FROM grid g LEFT JOIN daily x
+    ON x.day = g.snapshot_date AND x.office = g.office AND x.vehicle_type = g.vehicle_type AND x.maker = g.maker)"""
+
 OFFICE_DIM_SQL = (
     "SELECT n.n_nationkey, n.n_name AS office, upper(substr(r.r_name, 1, 2)) || CAST(n.n_nationkey AS VARCHAR) AS office_code, "
     "r.r_name AS state FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"

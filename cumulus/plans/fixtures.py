@@ -14,7 +14,6 @@ from ..operators.delta import snapshot_delta
 from ..operators.dims import lookup
 from ..sources.tables import Tables
 from . import domain as D
-from .oracle import _IDX
 
 # --- Fixed values of the test domain --------------------------------------------
 # Regions whose offices the geography dimension covers (MIDDLE EAST is left out,
@@ -157,14 +156,9 @@ def master_facts(spark: SparkSession, data_dir: str, missed_run: bool = False) -
 
 
 def _delta_sql_body() -> str:
-    cols = ", ".join(f'CAST(n."{m}" - COALESCE(o."{m}", 0) AS BIGINT) AS "{m}"' for m in D.MEASURES)
-    return f"""{D.SNAPSHOT_SQL},
-{_IDX},
-delta AS (
-  SELECT n.snapshot_date, n.office, n.vehicle_type, n.maker, {cols}
-  FROM snap n JOIN idx i ON i.snapshot_date = n.snapshot_date
-  LEFT JOIN snap o ON o.snapshot_date = i.prev_date AND o.office = n.office
-                  AND o.vehicle_type = n.vehicle_type AND o.maker = n.maker)"""
+    cols = ", ".join(f'CAST("{m}" AS BIGINT) AS "{m}"' for m in D.MEASURES)
+    return f"""{D.DENSE_SQL},
+delta AS (SELECT snapshot_date, office, vehicle_type, maker, {cols} FROM dense)"""
 
 
 def master_sql(missed_run: bool = False) -> str:

@@ -6,7 +6,7 @@ so the driver's side-by-side run checks one against the other.
 
 from __future__ import annotations
 
-from .domain import FUELS, MEASURES, SNAPSHOT_SQL
+from .domain import DENSE_SQL, FUELS, MEASURES, SNAPSHOT_SQL
 
 ORACLE: dict[str, str] = {}
 
@@ -20,37 +20,27 @@ def _cols(prefix: str, names) -> str:
 
 
 _IDX = "idx AS (SELECT day AS snapshot_date, LAG(day) OVER (PARTITION BY month ORDER BY day) AS prev_date FROM days)"
+_KEYS = "office, vehicle_type, maker"
 
-_DELTA_ALL = f"""
-WITH {SNAPSHOT_SQL},
-{_IDX}
-SELECT n.snapshot_date, n.office, n.vehicle_type, n.maker,
-       {", ".join(f"CAST(n.{_q(m)} - COALESCE(o.{_q(m)}, 0) AS BIGINT) AS {_q(m)}" for m in MEASURES)}
-FROM snap n JOIN idx i ON i.snapshot_date = n.snapshot_date
-LEFT JOIN snap o ON o.snapshot_date = i.prev_date AND o.office = n.office
-                AND o.vehicle_type = n.vehicle_type AND o.maker = n.maker
+ORACLE["delta_all_snapshots"] = f"""
+WITH {DENSE_SQL}
+SELECT snapshot_date, {_KEYS}, {_cols("", MEASURES)} FROM dense
 """
-ORACLE["delta_all_snapshots"] = _DELTA_ALL
 
+# Across a month boundary OLD is the whole of the month of the snapshot before.
 ORACLE["delta_no_reset"] = f"""
-WITH {SNAPSHOT_SQL},
-chain AS (SELECT day AS snapshot_date, LAG(day) OVER (ORDER BY day) AS prev_date FROM days)
-SELECT n.snapshot_date, n.office, n.vehicle_type, n.maker,
-       {", ".join(f"CAST(n.{_q(m)} - COALESCE(o.{_q(m)}, 0) AS BIGINT) AS {_q(m)}" for m in MEASURES)}
-FROM snap n JOIN chain i ON i.snapshot_date = n.snapshot_date
-LEFT JOIN snap o ON o.snapshot_date = i.prev_date AND o.office = n.office
-                AND o.vehicle_type = n.vehicle_type AND o.maker = n.maker
+WITH {DENSE_SQL},
+month_sums AS (SELECT month, {_KEYS}, {", ".join(f"SUM({_q(m)}) AS {_q(m)}" for m in MEASURES)} FROM dense GROUP BY ALL)
+SELECT d.snapshot_date, d.office, d.vehicle_type, d.maker,
+       {", ".join(f"CAST(d.{_q(m)} - COALESCE(o.{_q(m)}, 0) AS BIGINT) AS {_q(m)}" for m in MEASURES)}
+FROM dense d LEFT JOIN month_sums o
+  ON o.month = CASE WHEN d.prev_date IS NULL THEN date_trunc('month', d.chain_date) END
+ AND o.office = d.office AND o.vehicle_type = d.vehicle_type AND o.maker = d.maker
 """
 
 ORACLE["delta_latest_pair"] = f"""
-WITH {SNAPSHOT_SQL},
-{_IDX},
-pair AS (SELECT snapshot_date AS new_date, prev_date AS old_date FROM idx ORDER BY snapshot_date DESC LIMIT 1)
-SELECT n.snapshot_date, n.office, n.vehicle_type, n.maker,
-       {", ".join(f"CAST(n.{_q(m)} - COALESCE(o.{_q(m)}, 0) AS BIGINT) AS {_q(m)}" for m in MEASURES)}
-FROM snap n JOIN pair p ON n.snapshot_date = p.new_date
-LEFT JOIN snap o ON o.snapshot_date = p.old_date AND o.office = n.office
-                AND o.vehicle_type = n.vehicle_type AND o.maker = n.maker
+WITH {DENSE_SQL}
+SELECT snapshot_date, {_KEYS}, {_cols("", MEASURES)} FROM dense WHERE snapshot_date = (SELECT MAX(day) FROM days)
 """
 
 ORACLE["delta_month_reset"] = f"""
@@ -73,59 +63,31 @@ SELECT CAST(date_trunc('month', d.snapshot_date) AS DATE) AS month, d.snapshot_d
 FROM d JOIN s ON s.snapshot_date = d.snapshot_date
 """
 
+# The group's increment is the group's own count of the day; a month's first snapshot is copied row by row.
 ORACLE["delta_dup_keys_compat"] = f"""
-WITH {SNAPSHOT_SQL},
-{_IDX},
-g AS (SELECT snapshot_date, office, vehicle_type, {", ".join(f"SUM({_q(m)}) AS {_q(m)}" for m in MEASURES)}
-      FROM snap GROUP BY 1, 2, 3),
-d AS (SELECT n.snapshot_date, n.office, n.vehicle_type,
-             {", ".join(f"n.{_q(m)} - COALESCE(o.{_q(m)}, 0) AS {_q(m)}" for m in MEASURES)}
-      FROM g n JOIN idx i ON i.snapshot_date = n.snapshot_date
-      LEFT JOIN g o ON o.snapshot_date = i.prev_date AND o.office = n.office AND o.vehicle_type = n.vehicle_type)
-SELECT s.snapshot_date, s.office, s.vehicle_type, s.maker,
-       {", ".join(f"CAST(CASE WHEN i.prev_date IS NULL THEN s.{_q(m)} ELSE d.{_q(m)} END AS BIGINT) AS {_q(m)}" for m in MEASURES)}
-FROM snap s JOIN d ON d.snapshot_date = s.snapshot_date AND d.office = s.office AND d.vehicle_type = s.vehicle_type
-JOIN idx i ON i.snapshot_date = s.snapshot_date
+WITH {DENSE_SQL},
+g AS (SELECT snapshot_date, office, vehicle_type, {", ".join(f"SUM({_q(m)}) AS {_q(m)}" for m in MEASURES)} FROM dense GROUP BY ALL)
+SELECT d.snapshot_date, d.office, d.vehicle_type, d.maker,
+       {", ".join(f"CAST(CASE WHEN d.prev_date IS NULL THEN d.{_q(m)} ELSE g.{_q(m)} END AS BIGINT) AS {_q(m)}" for m in MEASURES)}
+FROM dense d JOIN g ON g.snapshot_date = d.snapshot_date AND g.office = d.office AND g.vehicle_type = d.vehicle_type
 """
 
-_NEWCOL_MEASURES = [*MEASURES, "HIGH_OR_URGENT"]
+# The newest snapshot with a predecessor in its month; a measure without an OLD column counts from the month's start.
 ORACLE["delta_new_column"] = f"""
-WITH {SNAPSHOT_SQL},
-{_IDX},
-pair AS (SELECT snapshot_date AS new_date, prev_date AS old_date FROM idx WHERE prev_date IS NOT NULL
-         ORDER BY snapshot_date DESC LIMIT 1),
-n AS (SELECT s.*, s."1-URGENT" + s."2-HIGH" AS "HIGH_OR_URGENT" FROM snap s JOIN pair p ON s.snapshot_date = p.new_date),
-o AS (SELECT s.snapshot_date, s.office, s.vehicle_type, s.maker, s."1-URGENT", s."2-HIGH", s."3-MEDIUM",
-             s."4-NOT SPECIFIED", s."TOTAL", s."TOTAL" AS "LEGACY"
-      FROM snap s JOIN pair p ON s.snapshot_date = p.old_date)
-SELECT n.snapshot_date, n.office, n.vehicle_type, n.maker,
-       CAST(n."1-URGENT" - COALESCE(o."1-URGENT", 0) AS BIGINT) AS "1-URGENT",
-       CAST(n."2-HIGH" - COALESCE(o."2-HIGH", 0) AS BIGINT) AS "2-HIGH",
-       CAST(n."3-MEDIUM" - COALESCE(o."3-MEDIUM", 0) AS BIGINT) AS "3-MEDIUM",
-       CAST(n."4-NOT SPECIFIED" - COALESCE(o."4-NOT SPECIFIED", 0) AS BIGINT) AS "4-NOT SPECIFIED",
-       CAST(n."5-LOW" AS BIGINT) AS "5-LOW",
-       CAST(n."TOTAL" - COALESCE(o."TOTAL", 0) AS BIGINT) AS "TOTAL",
-       CAST(n."HIGH_OR_URGENT" AS BIGINT) AS "HIGH_OR_URGENT"
-FROM n LEFT JOIN o ON o.office = n.office AND o.vehicle_type = n.vehicle_type AND o.maker = n.maker
+WITH {DENSE_SQL},
+newest AS (SELECT MAX(day) AS day FROM days WHERE prev_date IS NOT NULL),
+upto AS (
+  SELECT {_KEYS}, SUM("5-LOW") AS low, SUM("1-URGENT" + "2-HIGH") AS high FROM dense
+  WHERE month = (SELECT date_trunc('month', day) FROM newest) AND snapshot_date <= (SELECT day FROM newest) GROUP BY ALL)
+SELECT d.snapshot_date, d.office, d.vehicle_type, d.maker, {_cols("d.", [m for m in MEASURES if m != "5-LOW"])},
+       CAST(u.low AS BIGINT) AS "5-LOW", CAST(u.high AS BIGINT) AS "HIGH_OR_URGENT"
+FROM dense d JOIN upto u ON u.office = d.office AND u.vehicle_type = d.vehicle_type AND u.maker = d.maker
+WHERE d.snapshot_date = (SELECT day FROM newest)
 """
 
 ORACLE["delta_null_keys"] = f"""
-WITH {SNAPSHOT_SQL},
-{_IDX},
-messy AS (
-  SELECT snapshot_date,
-         regexp_replace(CASE WHEN day(snapshot_date) % 2 = 1 THEN office || chr(9) ELSE office END, '^\\s+|\\s+$', '', 'g') AS office,
-         vehicle_type,
-         CASE WHEN maker <> 'HOUSEHOLD' THEN maker END AS maker,
-         {_cols("", MEASURES)}
-  FROM snap),
-g AS (SELECT snapshot_date, office, vehicle_type, maker, {", ".join(f"SUM({_q(m)}) AS {_q(m)}" for m in MEASURES)}
-      FROM messy GROUP BY 1, 2, 3, 4)
-SELECT n.snapshot_date, n.office, n.vehicle_type, n.maker,
-       {", ".join(f"CAST(n.{_q(m)} - COALESCE(o.{_q(m)}, 0) AS BIGINT) AS {_q(m)}" for m in MEASURES)}
-FROM g n JOIN idx i ON i.snapshot_date = n.snapshot_date
-LEFT JOIN g o ON o.snapshot_date = i.prev_date AND o.office IS NOT DISTINCT FROM n.office
-             AND o.vehicle_type IS NOT DISTINCT FROM n.vehicle_type AND o.maker IS NOT DISTINCT FROM n.maker
+WITH {DENSE_SQL}
+SELECT snapshot_date, office, vehicle_type, CASE WHEN maker <> 'HOUSEHOLD' THEN maker END AS maker, {_cols("", MEASURES)} FROM dense
 """
 
 ORACLE["pivot_snapshot"] = (

@@ -109,14 +109,12 @@ FROM a
 
 _SUMS = ", ".join(f"CAST(SUM({_q(m)}) AS BIGINT) AS {_q(m)}" for m in M)
 # ``od`` (office dim) and ``dist`` (district dim) come from the master CTEs.
+# A month's last snapshot is the sum of the month's daily counts.
 _CUM_SQL = f"""
-month_end AS (SELECT snapshot_date AS last_day, CAST(date_trunc('month', snapshot_date) AS DATE) AS month FROM
-              (SELECT snapshot_date, LEAD(snapshot_date) OVER (PARTITION BY date_trunc('month', snapshot_date) ORDER BY snapshot_date) AS nxt
-               FROM idx) WHERE nxt IS NULL),
-cum AS (SELECT me.month, s.office AS RTO, s.maker AS Maker, od.state, od.office_code AS rto_number,
+month_end AS (SELECT MAX(day) AS last_day, CAST(month AS DATE) AS month FROM days GROUP BY month),
+cum AS (SELECT CAST(s.month AS DATE) AS month, s.office AS RTO, s.maker AS Maker, od.state, od.office_code AS rto_number,
                COALESCE(dist.district, 'Unknown') AS district, {", ".join(f"s.{_q(m)}" for m in M)}
-        FROM snap s JOIN month_end me ON me.last_day = s.snapshot_date
-        LEFT JOIN od ON od.office = s.office LEFT JOIN dist ON dist.office_key = upper(s.office)),
+        FROM dense s LEFT JOIN od ON od.office = s.office LEFT JOIN dist ON dist.office_key = upper(s.office)),
 cum_s AS (SELECT month, RTO, Maker, state, rto_number, district, {_SUMS} FROM cum GROUP BY ALL)"""
 
 
