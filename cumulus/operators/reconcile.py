@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import fmt_day_first, parse_day_first, to_number
-from ..functions.schema import SUMMARY_ID_COLUMNS, conform, numeric_columns, q, resolve_column
+from ..functions.schema import SUMMARY_ID_COLUMNS, conform, normalize_headers, numeric_columns, q, require_columns
 from .reshape import add_missing, union_aligned
 
+# Accepted spellings of the summary's key columns.
+SUMMARY_ALIASES = {"RTO": ["RTO", "rto"], "Maker": ["Maker", "maker"]}
 SUMMARY_EXTRA_KEYS = ("state", "rto_number", "district")
 
 
@@ -42,8 +44,8 @@ def monthly_summary(
     pushes down. ``measures`` default to the columns holding any number
     (PRJ6, one aggregate). Vehicle type is collapsed.
     """
-    rto = resolve_column(df, ["RTO", "rto"])
-    maker = resolve_column(df, ["Maker", "maker"])
+    df = normalize_headers(df, SUMMARY_ALIASES)
+    require_columns(df, ["RTO", "Maker"])
     d = F.col(date_col) if dict(df.dtypes)[date_col] == "date" else parse_day_first(F.col(q(date_col)))
     df = df.withColumn("__d", d)
     if month is not None and year is not None:
@@ -55,8 +57,8 @@ def monthly_summary(
         measures = numeric_columns(df.drop("__d"), exclude=SUMMARY_ID_COLUMNS)
     extras = [c for c in extra_keys if c in df.columns]
     keys = ([F.trunc("__d", "month").alias("month")] if by_month else []) + [
-        F.col(q(rto)).alias("RTO"),
-        F.col(q(maker)).alias("Maker"),
+        "RTO",
+        "Maker",
         *[F.col(q(c)) for c in extras],
     ]
     return df.groupBy(*keys).agg(*[F.sum(_value(df, m)).alias(m) for m in measures])
@@ -84,11 +86,11 @@ def reconcile(left: DataFrame, right: DataFrame, measures: Sequence[str], keys:
 
 
 def filler_rows(diff: DataFrame, layout: Sequence[str], run_date: Column, vehicle_type: str | Column = "motor_car",
-                types: dict[str, str] | None = None, row_source: str | None = "filler") -> DataFrame:
+                types: dict[str, str] | None = None, row_source: str | None = "filler", data_date: Column | None = None) -> DataFrame:
     """PRJ5: correction rows in the fixed wide layout.
 
-    Stamps ``scrape_timestamp`` = run date and ``timestamp`` = run date - 1
-    (``dd-MM-yyyy``), forces the vehicle type, keeps all-zero rows, drops
+    Stamps ``scrape_timestamp`` = run date and ``timestamp`` = ``data_date``,
+    else run date - 1 (``dd-MM-yyyy``), forces the vehicle type, keeps all-zero rows, drops
     columns outside the layout and fills absent ones with typed NULL (the
     literal text ``None`` belongs only in a CSV written for old readers).
     ``row_source`` tags the rows so a same-day replay can spare them.
@@ -97,7 +99,7 @@ def filler_rows(diff: DataFrame, layout: Sequence[str], run_date: Column, vehicl
     stamped = diff.withColumns(
         {
             "scrape_timestamp": fmt_day_first(run_date),
-            "timestamp": fmt_day_first(F.date_sub(run_date, 1)),
+            "timestamp": fmt_day_first(F.date_sub(run_date, 1) if data_date is None else data_date),
             "vehicle_type": vt,
         }
     )

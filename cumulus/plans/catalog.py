@@ -155,6 +155,6 @@ def unpivot_measures(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from . import catalog_more  # noqa: F401  (registers the remaining queries)
+    from . import catalog_more, catalog_store  # noqa: F401  (register the remaining queries)
 
     return dict(REGISTRY)

@@ -106,6 +106,6 @@ WHERE value <> 0
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_more  # noqa: F401  (adds the remaining statements)
+    from . import oracle_more, oracle_store  # noqa: F401  (add the remaining statements)
 
     return dict(ORACLE)

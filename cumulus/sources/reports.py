@@ -7,13 +7,16 @@ codec that is not installed here, so reports are read as CSV exports of the
 same sheet; ``.xlsx`` is parsed only when ``openpyxl`` is importable.
 
 Plan: ``binaryFile`` lists and reads the files (many small files are packed
-into one task up to ``spark.sql.files.maxPartitionBytes``); ``mapInPandas``
-turns each file into *long* rows ``(path, title, maker, fuel, value)`` -- the
-only Python in the pipeline, a per-file parser -- and everything after it
-(name parsing, filters, whitelist, district lookup, number coercion, pivot)
-is Spark SQL. A file that fails to parse yields one quarantine row with the
-error instead of failing the job. Each file is read whole into one row, which
-suits report sheets (kilobytes each); bulk data belongs in Parquet/CSV tables.
+into one task up to ``spark.sql.files.maxPartitionBytes``); ``mapInArrow``
+turns each sheet row into one row ``(path, title, row_no, maker, cells)``, where
+``cells`` maps each column name to its text -- the only Python in the pipeline,
+a per-file parser. Everything after it (name parsing, filters, whitelist,
+district lookup, number coercion) is Spark SQL on that row: a measure is a map
+lookup, so nothing is melted, shuffled or pivoted back, and a column that only
+some files have is a measure like any other (:func:`sheet_measures`). A file
+that fails to parse yields one quarantine row with the error instead of failing
+the job. Each file is read whole into one row, which suits report sheets
+(kilobytes each); bulk data belongs in Parquet/CSV tables.
 """
 
 from __future__ import annotations
@@ -23,53 +26,54 @@ import io
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import fmt_day_first, parse_report_filename, strip_ws, to_count
-from ..functions.schema import FUEL_COLUMNS
+from ..functions.schema import FUEL_COLUMNS, q
 from ..operators.dims import TARGET_MAKERS, UNKNOWN_DISTRICT
+from ..operators.joins import bounded_broadcast
 
-LONG_SCHEMA = "path string, title string, row_no int, maker string, fuel string, value string, error string"
+ROW_SCHEMA = "path string, title string, row_no int, maker string, cells map<string,string>, error string"
 HEADER_ROW = 3  # zero-based: the 4th line holds the header
 
 
-def _parse_one(path: str, content: bytes) -> pd.DataFrame:
+def _sheet(path: str, content: bytes) -> pd.DataFrame:
     if path.lower().endswith(".xlsx"):
         try:
             import openpyxl  # noqa: F401
         except ImportError as e:  # pragma: no cover - depends on the image
             raise RuntimeError("spreadsheet reports need openpyxl") from e
-        sheet = pd.read_excel(io.BytesIO(content), header=None, dtype=str)
-    elif not path.lower().endswith(".csv"):
+        return pd.read_excel(io.BytesIO(content), header=None, dtype=str)
+    if not path.lower().endswith(".csv"):
         raise ValueError("not a report format")
-    else:
-        sheet = pd.read_csv(io.BytesIO(content), header=None, dtype=str, keep_default_na=False, skip_blank_lines=False,
-                            names=range(_width(content)))
+    return pd.read_csv(io.BytesIO(content), header=None, dtype=str, keep_default_na=False, skip_blank_lines=False, names=range(_width(content)))
+
+
+def _names(header: list[str]) -> list[str]:
+    """Measure names: trimmed; an unnamed last column is the row total, a repeated name gets a number."""
+    names: list[str] = []
+    for k, cell in enumerate(header):
+        name = cell.strip() or ("TOTAL" if k == len(header) - 1 else f"Unnamed: {k}")
+        seen = sum(n == name or n.startswith(f"{name}.") for n in names)
+        names.append(f"{name}.{seen}" if name in names else name)
+    return names
+
+
+def _parse_one(path: str, content: bytes) -> list[tuple]:
+    """``(path, title, row_no, maker, cells, error)`` of every row below the header; one row without maker if there is none."""
+    sheet = _sheet(path, content)
     title = _title(sheet)
-    header = [("" if (v is None or (isinstance(v, float) and pd.isna(v))) else str(v)) for v in sheet.iloc[HEADER_ROW].tolist()]
-    body = sheet.iloc[HEADER_ROW + 1:].reset_index(drop=True)
-    cols = list(range(len(header)))
-    if header and ("S No" in header or header[0] == ""):
-        cols = cols[1:]  # serial-number column
-    if not cols:
+    grid = sheet.astype(object).where(sheet.notna(), None)
+    header = ["" if v is None else str(v) for v in grid.iloc[HEADER_ROW].tolist()]
+    first = 1 if "S No" in header or header[0] == "" else 0  # serial-number column
+    if len(header) <= first:
         raise ValueError("no columns after the serial number")
-    maker_col, value_cols = cols[0], cols[1:]
-    names = {}
-    for c in value_cols:
-        n = header[c].strip()
-        names[c] = n if n else "TOTAL" if c == value_cols[-1] else f"Unnamed: {c}"
-    makers = body[maker_col].astype(str).where(body[maker_col].notna(), None)
-    long = body[value_cols].rename(columns=names)
-    long.insert(0, "maker", makers)
-    long.insert(0, "row_no", range(len(long)))
-    long = long.melt(id_vars=["row_no", "maker"], var_name="fuel", value_name="value")
-    long.insert(0, "title", title)
-    long.insert(0, "path", path)
-    long["error"] = None
-    if long.empty:  # header only: keep the title for the header audit; no maker, so no data row
-        long = pd.DataFrame([[path, title, None, None, None, None, None]], columns=long.columns)
-    return long
+    names = _names(header[first + 1 :])
+    rows = grid.iloc[HEADER_ROW + 1 :].itertuples(index=False, name=None)
+    out = [(path, title, k, row[first], list(zip(names, row[first + 1 :])), None) for k, row in enumerate(rows)]
+    return out or [(path, title, None, None, [], None)]
 
 
 def _title(sheet: pd.DataFrame) -> str:
@@ -88,23 +92,30 @@ def _width(content: bytes) -> int:
     return max(map(len, csv.reader(io.StringIO(content.decode("utf-8", errors="replace")))), default=1)
 
 
-def parse_report_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """``mapInPandas`` body: (path, content) batches -> long rows, or one error row per bad file."""
-    cols = ["path", "title", "row_no", "maker", "fuel", "value", "error"]
+_CELLS = pa.map_(pa.string(), pa.string())
+_ARROW = pa.schema([("path", pa.string()), ("title", pa.string()), ("row_no", pa.int32()), ("maker", pa.string()), ("cells", _CELLS), ("error", pa.string())])
+
+
+def parse_report_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``mapInArrow`` body: (path, content) batches -> sheet rows, or one error row per bad file."""
     for batch in batches:
-        out = []
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             try:
-                out.append(_parse_one(path, bytes(content)))
+                rows = _parse_one(path, content or b"")
             except Exception as e:  # noqa: BLE001 - per-file isolation is the point
-                out.append(pd.DataFrame([[path, None, None, None, None, None, f"{type(e).__name__}: {e}"]], columns=cols))
-        yield pd.concat(out, ignore_index=True)[cols] if out else pd.DataFrame(columns=cols)
+                rows = [(path, None, None, None, [], f"{type(e).__name__}: {e}")]
+            yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
 
-def read_report_cells(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """SRC1 + SRC3: every file of a folder as long cells (a file that cannot be read as a report is one error row)."""
+def read_report_rows(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """SRC1 + SRC3: every file of a folder as sheet rows (a file that cannot be read as a report is one error row)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    return files.select("path", "content").mapInPandas(parse_report_batches, LONG_SCHEMA)
+    return files.select("path", "content").mapInArrow(parse_report_batches, ROW_SCHEMA)
+
+
+def sheet_measures(rows: DataFrame) -> list[str]:
+    """PRJ7: the names of all measure columns that any sheet has, sorted (distinct map keys, one row for each name)."""
+    return sorted(r[0] for r in rows.select(F.explode(F.map_keys("cells")).alias("name")).distinct().collect())
 
 
 def run_date_from_path(path: Column | str = "path") -> Column:
@@ -114,28 +125,35 @@ def run_date_from_path(path: Column | str = "path") -> Column:
 
 
 def consolidate_reports(
-    cells: DataFrame,
+    rows: DataFrame,
     run_date: Column | None = None,
     district: DataFrame | None = None,
     makers: DataFrame | None = None,
     fuels: Sequence[str] = (*FUEL_COLUMNS, "TOTAL"),
+    measures: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """C1 (SRC2, SC1-2, FLT1-2, JN5, SC10, PRJ4, RS4): cells -> (wide daily snapshot, quarantine).
+    """C1 (SRC2, SC1-2, FLT1-2, JN5, SC10, PRJ4): sheet rows -> (wide daily snapshot, quarantine).
 
     The wide rows carry run date, data date (run - 1), state, office, office
     code, vehicle type, district (``Unknown`` when unmapped), maker and one
-    count per fuel of ``fuels`` (explicit pivot values: no extra job).
+    count per measure: those of ``fuels`` first, always, then every other
+    column that any sheet has (``measures``, found by :func:`sheet_measures`
+    when not given). A column that a sheet lacks counts 0 there. One
+    projection over the rows: no shuffle besides the district lookup.
     Quarantine = files that failed to parse or whose name does not parse.
     ``run_date`` defaults to the date in each file's folder name. ``district``
     has two columns, (upper-cased office name, district), matched on the
     upper-cased office of the file name; ``makers`` has a ``maker`` column.
     """
-    spark = cells.sparkSession
+    spark = rows.sparkSession
+    if measures is None:
+        measures = sheet_measures(rows)
+    columns = [*fuels, *[m for m in measures if m not in fuels]]
     if run_date is None:
-        cells = cells.withColumn("__run", run_date_from_path("path"))
+        rows = rows.withColumn("__run", run_date_from_path("path"))
         run_date = F.col("__run")
     name = F.regexp_extract("path", r"([^/]*)$", 1)
-    parsed = cells.withColumn("__f", parse_report_filename(name))
+    parsed = rows.withColumn("__f", parse_report_filename(name))
     bad = parsed.where(F.col("error").isNotNull() | F.col("__f").isNull()).select(
         "path", F.coalesce(F.col("error"), F.lit("file name does not parse")).alias("error")
     ).distinct()
@@ -144,21 +162,22 @@ def consolidate_reports(
     good = good.where(F.col("maker").isNotNull() & ~maker.isin("Maker", "TOTAL", "")).withColumn("maker", maker)
     if makers is None:
         makers = spark.createDataFrame([(m,) for m in TARGET_MAKERS], "maker string")
-    good = good.join(F.broadcast(makers.select("maker")), "maker", "left_semi")
-    keys = [*(["__run"] if "__run" in good.columns else []), F.col("__f.state").alias("state"), F.col("__f.office").alias("rto"), F.col("__f.office_code").alias("rto_number"),
-            F.col("__f.vehicle_type").alias("vehicle_type"), "maker", "path", "row_no"]
-    wide = good.groupBy(*keys).pivot("fuel", list(fuels)).agg(F.first("value"))
-    wide = wide.select(
+    good = good.join(bounded_broadcast(makers.select("maker").distinct()), "maker", "left_semi")
+    wide = good.select(
         fmt_day_first(run_date).alias("scrape_timestamp"),
         fmt_day_first(F.date_sub(run_date, 1)).alias("timestamp"),
-        "state", "rto", "rto_number", "vehicle_type", "maker", "path",
-        *[to_count(F.col(f"`{f}`")).alias(f) for f in fuels],
+        F.col("__f.state").alias("state"),
+        F.col("__f.office").alias("rto"),
+        F.col("__f.office_code").alias("rto_number"),
+        F.col("__f.vehicle_type").alias("vehicle_type"),
+        F.col("maker").alias("Maker"),
+        *[to_count(F.col("cells")[c]).alias(c) for c in columns],
     )
     if district is not None:
-        d = district.select(F.col(district.columns[0]).alias("__k"), F.col(district.columns[1]).alias("district"))
-        wide = wide.join(d, F.upper(wide["rto"]) == d["__k"], "left").drop("__k")
+        d = district.select(F.col(district.columns[0]).alias("__k"), F.col(district.columns[1]).alias("__district"))
+        wide = wide.join(d, F.upper(wide["rto"]) == d["__k"], "left")
+        where = F.coalesce("__district", F.lit(UNKNOWN_DISTRICT))
     else:
-        wide = wide.withColumn("district", F.lit(None).cast("string"))
-    wide = wide.withColumn("district", F.coalesce("district", F.lit(UNKNOWN_DISTRICT)))
-    ordered = ["scrape_timestamp", "timestamp", "state", "rto", "rto_number", "vehicle_type", "district", "maker", *fuels]
-    return wide.select(*[F.col(f"`{c}`") for c in ordered]).withColumnRenamed("maker", "Maker"), bad
+        where = F.lit(UNKNOWN_DISTRICT)
+    ordered = ["scrape_timestamp", "timestamp", "state", "rto", "rto_number", "vehicle_type", "district", "Maker", *columns]
+    return wide.withColumn("district", where).select(*[F.col(q(c)) for c in ordered]), bad

@@ -5,7 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from cumulus.jobs import Store, build_outputs, check_inputs, correct_month, increments_for_month, ingest_day
+from cumulus.jobs import Store, build_outputs, check_inputs, correct_month, increments_for_month, ingest_day, latest_period, ledger, read_facts
 from tests.conftest import rows
 
 FUELS = ["PETROL", "DIESEL", "PURE EV"]
@@ -42,7 +42,7 @@ DAYS = {
 
 
 def month_sums(spark, store):
-    facts = spark.read.parquet(store.path("facts"))
+    facts = read_facts(spark, store)
     return rows(facts.groupBy("RTO", "Maker").agg(*[F.sum(F.col(f"`{f}`")).alias(f) for f in FUELS]))
 
 
@@ -79,7 +79,7 @@ def test_daily_runs_replay_corrections_and_outputs(spark, tmp_path):
     for _ in range(2):
         assert correct_month(spark, store, MAY, dt.date(2026, 5, 4)) == 2  # one row per key, all-zero kept
         assert month_sums(spark, store) == last_snapshot(spark, store)
-    fillers = spark.read.parquet(store.path("facts")).where("row_source = 'filler'")
+    fillers = ledger(spark, store).read()
     assert fillers.where("PETROL <> 0").select("RTO", "PETROL").collect()[0].asDict() == {"RTO": "ADOOR SRTO", "PETROL": 2}
 
     office_dim = spark.createDataFrame([("ADOOR SRTO", "C1", "Pathanamthitta", "AO1")], "RTO string, cluster string, city string, AO string")
@@ -125,3 +125,63 @@ def test_compat_keys_merge_one_office_name_with_two_codes(spark, tmp_path):
     increments_for_month(spark, store, MAY, keys=COMPAT_KEYS)  # the source's key merges the two offices
     merged = rows(spark.read.parquet(store.path("facts")).where("timestamp = '02-05-2026'").select("RTO", "PETROL"))
     assert merged == [("STATE TRANSPORT AUTHORITY", 1)]
+
+
+def test_late_correction_stays_in_the_month_it_corrects(spark, tmp_path):
+    store, landing = Store(str(tmp_path / "store")), tmp_path / "landing"
+    key = ("ADOOR SRTO", "KL26", "motor_car")
+    reports = {dt.date(2026, 5, 31): 7, dt.date(2026, 6, 1): 9, dt.date(2026, 6, 2): 1, dt.date(2026, 6, 3): 2}
+    for run, n in reports.items():
+        ingest_day(spark, store, land(landing, run, {key: {"HONDA CARS INDIA LTD": {"PETROL": n}}}), run)
+    for month in (MAY, dt.date(2026, 6, 1)):
+        increments_for_month(spark, store, month)
+    # May's last report is revised in June; May is corrected on the 3rd and again on the 10th.
+    ingest_day(spark, store, land(landing, dt.date(2026, 6, 1), {key: {"HONDA CARS INDIA LTD": {"PETROL": 12}}}), dt.date(2026, 6, 1))
+    for run in (dt.date(2026, 6, 3), dt.date(2026, 6, 10), dt.date(2026, 6, 3)):
+        assert correct_month(spark, store, MAY, run) == 1
+    kept = rows(ledger(spark, store).read().select("corrected_month", "run_date", "timestamp", "scrape_timestamp", "PETROL"))
+    assert kept == [
+        (MAY, dt.date(2026, 6, 3), "31-05-2026", "03-06-2026", 3),
+        (MAY, dt.date(2026, 6, 10), "31-05-2026", "10-06-2026", 0),
+    ]
+    by_month = read_facts(spark, store).groupBy(F.substring("timestamp", 4, 7).alias("month")).agg(F.sum("PETROL").alias("n"))
+    assert rows(by_month) == [("05-2026", 12), ("06-2026", 2)]
+    assert correct_month(spark, store, dt.date(2026, 7, 1), dt.date(2026, 7, 2)) == 0  # no snapshot: no write
+
+    # Only the touched period of the mart is read and rewritten.
+    dim = spark.createDataFrame([("ADOOR SRTO", "C1", "P", "AO1")], "RTO string, cluster string, city string, AO string")
+    build_outputs(spark, store, dim)
+    files = {f for f in spark.read.parquet(store.path("mart")).inputFiles() if "period=2026-05" in f}
+    audit = build_outputs(spark, store, dim, months=[dt.date(2026, 6, 1)]).first()
+    assert (audit.initial_total, audit.final_total, audit.written_total, audit.verdict) == (2, 2, 2, "preserved")
+    after = spark.read.parquet(store.path("mart"))
+    assert files == {f for f in after.inputFiles() if "period=2026-05" in f}
+    assert rows(after.groupBy("period").agg(F.sum("Regn Vol").alias("n"))) == [("2026-05", 12), ("2026-06", 2)]
+    plan = latest_period(spark, store)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan and "2026-06" in plan
+    plan = read_facts(spark, store, [MAY])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: []") == 0
+
+
+def test_a_new_fuel_becomes_a_column(spark, tmp_path, monkeypatch):
+    store, landing = Store(str(tmp_path / "store")), tmp_path / "landing"
+    key = ("ADOOR SRTO", "KL26", "motor_car")
+    for day, counts in ((2, {"PETROL": 2}), (3, {"PETROL": 3, "AMMONIA": 4}), (4, {"PETROL": 3, "AMMONIA": 6})):
+        if "AMMONIA" in counts:
+            monkeypatch.setitem(globals(), "FUELS", [*FUELS[:3], "AMMONIA"])
+        run = dt.date(2026, 5, day)
+        ingest_day(spark, store, land(landing, run, {key: {"HONDA CARS INDIA LTD": counts}}), run)
+        increments_for_month(spark, store, MAY)
+    facts = read_facts(spark, store)
+    assert rows(facts, "timestamp", "PETROL", "AMMONIA", "TOTAL") == [("01-05-2026", 2, 0, 2), ("02-05-2026", 1, 4, 5), ("03-05-2026", 0, 2, 2)]
+    assert correct_month(spark, store, MAY, dt.date(2026, 5, 4)) == 1
+    dim = spark.createDataFrame([("ADOOR SRTO", "C1", "P", "AO1")], "RTO string, cluster string, city string, AO string")
+    groups = {"Petrol": ["PETROL"], "New": ["AMMONIA"]}
+    assert build_outputs(spark, store, dim, fuel_groups=groups).first().verdict == "preserved"
+    mart = spark.read.parquet(store.path("mart"))
+    assert rows(mart.groupBy("FuelGroup").agg(F.sum("Regn Vol").alias("n"))) == [("New", 6), ("Petrol", 3)]
+    # a fuel that no group names is a loss, and an office that the dimension holds twice a gain
+    audit = build_outputs(spark, store, dim, fuel_groups={"Petrol": ["PETROL"]}).first()
+    assert (audit.verdict, audit.unmapped_fuel_rows, audit.unmapped_fuel_volume) == ("loss", 2, 6)
+    audit = build_outputs(spark, store, dim.union(dim), fuel_groups=groups).first()
+    assert (audit.verdict, audit.initial_total, audit.after_fuel_map_total, audit.final_total, audit.written_total) == ("gain", 9, 9, 18, 18)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cumulus.functions import scalars as S
-from cumulus.functions.schema import conform, measure_columns, normalize_headers, numeric_columns, resolve_column
+from cumulus.operators.reconcile import monthly_summary
+from cumulus.functions.schema import conform, measure_columns, normalize_headers, numeric_columns
 
 
 class spark_case_sensitive:
@@ -134,9 +135,10 @@ def test_normalize_headers_and_collision(spark):
 
 def test_resolve_measure_numeric_conform(spark):
     df = spark.createDataFrame([("a", "x", "1", "junk", None)], "rto string, Maker string, PETROL string, note string, EV string")
-    assert resolve_column(df, ["RTO", "rto"]) == "rto"
+    summed = monthly_summary(df.withColumn("timestamp", F.lit("01-05-2026")).drop("note"), measures=["PETROL"])
+    assert [tuple(r) for r in summed.collect()] == [("a", "x", 1.0)]
     with pytest.raises(ValueError):
-        resolve_column(df, ["nope"])
+        monthly_summary(df.drop("rto").withColumn("timestamp", F.lit("01-05-2026")), measures=["PETROL"])
     assert measure_columns(df) == ["PETROL", "note", "EV"]  # ids match case-insensitively
     assert numeric_columns(df) == ["PETROL"]
     out = conform(df, ["Maker", "PETROL", "DIESEL"])

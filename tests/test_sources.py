@@ -10,7 +10,7 @@ from cumulus.operators.delta import snapshot_delta
 from cumulus.operators.dims import read_json_map
 from cumulus.operators.quality import read_manifest
 from cumulus.sources.files import read_snapshot_csv, write_csv_export
-from cumulus.sources.reports import consolidate_reports, read_report_cells
+from cumulus.sources.reports import consolidate_reports, read_report_rows
 from tests.conftest import rows
 
 HEAD = "scrape_timestamp,timestamp,state,rto,rto_number,vehicle_type,district,OEM,PETROL,DIESEL,TOTAL\n"
@@ -64,7 +64,7 @@ def test_report_matrices_to_snapshot_rows(spark, tmp_path):
     (day / "ADOOR SRTO - KL26_motor_car.csv").write_text(REPORT)
     (day / "3f2a9c_motor_car.csv").write_text(REPORT)  # name without office code
     (day / "BROKEN - KL1_motor_car.csv").write_text("only one line\n")
-    cells = read_report_cells(spark, str(tmp_path))
+    cells = read_report_rows(spark, str(tmp_path))
     district = spark.createDataFrame([("ADOOR SRTO", "Pathanamthitta")], "k string, d string")
     wide, bad = consolidate_reports(cells, None, district, fuels=["PETROL", "DIESEL", "TOTAL"])
     got = {r.Maker: (r.PETROL, r.DIESEL, r.TOTAL, r.district, r.state, r.rto_number, r.timestamp) for r in wide.collect()}
@@ -125,7 +125,7 @@ def test_report_title_from_the_top_left_window(spark, tmp_path):
     day.mkdir()
     body = '\n,,"Maker Wise Fuel Data of ADOOR SRTO - KL26 , Kerala"\n\nS No,Maker,PETROL,\n1,HONDA CARS INDIA LTD,3,3\n'
     (day / "ADOOR SRTO - KL26_motor_car.csv").write_text(body)
-    cells = read_report_cells(spark, str(tmp_path))
+    cells = read_report_rows(spark, str(tmp_path))
     assert {r.title for r in cells.collect()} == {"Maker Wise Fuel Data of ADOOR SRTO - KL26 , Kerala"}
 
 
@@ -133,26 +133,46 @@ def test_padded_title_keeps_the_total():
     from cumulus.sources.reports import _parse_one
 
     content = b'"Maker Wise, Kerala",,,\n,,,\n,,,\nS No,Maker,PETROL,\n1,ACME,4,10\n'
-    got = {r.fuel: r.value for r in _parse_one("x.csv", content).itertuples()}
-    assert got == {"PETROL": "4", "TOTAL": "10"}
+    assert [(r[3], dict(r[4])) for r in _parse_one("x.csv", content)] == [("ACME", {"PETROL": "4", "TOTAL": "10"})]
 
 
 def test_unreadable_formats_are_quarantined(spark, tmp_path):
-    from cumulus.sources.reports import read_report_cells
+    from cumulus.sources.reports import read_report_rows
 
     (tmp_path / "a.txt").write_text("x")
     (tmp_path / "b.xlsx").write_bytes(b"no sheet")
-    errors = {r.path.rsplit("/", 1)[1]: r.error for r in read_report_cells(spark, str(tmp_path)).collect()}
+    errors = {r.path.rsplit("/", 1)[1]: r.error for r in read_report_rows(spark, str(tmp_path)).collect()}
     assert set(errors) == {"a.txt", "b.xlsx"} and all(errors.values())
 
 
-def test_snapshot_headers_must_agree(spark, tmp_path):
-    from cumulus.sources.files import read_snapshot_csv
-
-    (tmp_path / "2025-05-02_a.csv").write_text("State,PETROL,DIESEL\nKL,1,100\n")
+def test_each_snapshot_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "2025-05-02_a.csv").write_text("State,PETROL,DIESEL\nKL,1,100\nTN,3,\n")
     (tmp_path / "2025-05-03_b.csv").write_text("State,DIESEL,PETROL\nKL,100,1\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_snapshot_csv(spark, str(tmp_path)).collect()
+    (tmp_path / "2025-05-04 [new].csv").write_text('\ufeffState, PETROL ,"GAS, LIQUID"\nKL,2,"7"\n')
+    (tmp_path / "2025-05-05_empty.csv").write_text("")
+    (tmp_path / "2025-05-06_bare.csv").write_text("State,PETROL,DIESEL\n")
+    snaps = read_snapshot_csv(spark, str(tmp_path))
+    got = {(r.snapshot_date.day, r.State): (r.PETROL, r.DIESEL, r["GAS, LIQUID"]) for r in snaps.collect()}
+    assert got == {(1, "KL"): ("1", "100", None), (1, "TN"): ("3", None, None), (2, "KL"): ("1", "100", None), (3, "KL"): ("2", None, "7")}
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error for a missing folder
+        read_snapshot_csv(spark, str(tmp_path / "none"))
+
+
+def test_newest_files_by_both_orders(spark, tmp_path):
+    import os
+
+    from cumulus.sources.files import newest_files, snapshot_files
+
+    for name, when in (("2026-05-03.csv", 10**9), ("2026-05-02.csv", 2 * 10**9), ("export.csv", 1_790_000_000), ("old.csv", 10**9), ("x.txt", 0)):
+        (tmp_path / name).write_text("a\n1\n")
+        os.utime(tmp_path / name, (when, when))
+    files = snapshot_files(spark, str(tmp_path))
+    assert [r.name for r in newest_files(files, 3)] == ["2026-05-03.csv", "2026-05-02.csv", "export.csv"]
+    assert [r.name for r in newest_files(files, 2, dated_first=False)] == ["export.csv", "2026-05-03.csv"]
+    assert [r.name for r in newest_files(files.where("name_date is null"))] == ["export.csv"]
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(FileNotFoundError):
+        newest_files(files.limit(0))
 
 
 def test_manifest_must_be_an_array(spark, tmp_path):
