@@ -7,6 +7,8 @@ look-arounds so the same patterns run in engines with RE2-style regexes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,9 @@ PARENS_PATTERN = r"\([^)]*\)"
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 # Date layouts accepted on read, in the order they are tried (day first).
 DATE_FORMATS = ("dd-MM-yyyy", "yyyy-MM-dd", "d/M/yyyy")
+# Three date tokens in lower case and an optional time; month names in full or by three letters.
+DATE_TOKENS = r"^([0-9]{1,4}(?:st|nd|rd|th)?|[a-z]{3,9})[-/., ]+([0-9]{1,2}(?:st|nd|rd|th)?|[a-z]{3,9})[-/., ]+([0-9]{1,4})(?:[t ]+[0-9]{1,2}:[0-9:.]*.*)?$"
+MONTH_NAMES = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 # -----------------------------------------------------------------------------
 
 
@@ -68,10 +73,57 @@ def parse_day_first(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Colum
     return F.coalesce(*[F.try_to_date(text, f) for f in formats])
 
 
-def parse_day_first_strict(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """Like :func:`parse_day_first` but fails the job on a non-NULL unparsable value."""
-    parsed = parse_day_first(c, formats)
-    return F.when(c.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("unparsable date: "), c.cast("string")))).otherwise(parsed)
+def parse_mixed_dates(c: Column) -> Column:
+    """SC11: a date in any usual layout, day first, in one pass over its tokens; unparsable -> NULL.
+
+    The text is cut once into three tokens (numbers or a month name; ``-``, ``/``,
+    ``.``, ``,`` or spaces between) and an optional time, which is ignored. A
+    first token of four digits is the year of year-month-day; a month name may
+    come first or second; otherwise the order is day, month, year, turned round
+    where the second number can only be a day. Two-digit years are 1970 to 2069.
+    """
+    text = F.lower(strip_ws(c.cast("string")))
+    tokens = F.when(text.rlike(DATE_TOKENS), F.split(F.regexp_replace(text, DATE_TOKENS, "$1 $2 $3"), " "))
+    return _once(tokens, _date_of)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once however often it is used (NULL stays NULL)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _date_of(tokens: Column) -> Column:
+    one, two, three = tokens[0], tokens[1], tokens[2]
+    months = F.create_map(*[F.lit(x) for pair in {n: k for k, name in enumerate(MONTH_NAMES, 1) for n in (name, name[:3])}.items() for x in pair])
+
+    def number(token: Column) -> Column:
+        return F.regexp_extract(token, "^[0-9]+", 0).try_cast("int")
+
+    # Numbers of the tokens; a token that is a month's name has none.
+    name = F.when(number(one).isNull(), one).otherwise(F.when(number(two).isNull(), two))
+    numbers = F.struct(
+        number(one).alias("one"), number(two).alias("two"), number(three).alias("three"), F.try_element_at(months, name).alias("name"),
+        (F.length(one) == 4).alias("year_first"),
+    )
+
+    def ordered(n: Column) -> Column:
+        first, second, third = F.coalesce(n["one"], n["name"]), F.coalesce(n["two"], n["name"]), n["three"]
+        named_first = n["one"].isNull()
+        year = F.when(n["year_first"] & ~named_first, first).otherwise(third)
+        mid = F.when(named_first, first).otherwise(second)
+        day = F.when(named_first, second).when(n["year_first"], third).otherwise(first)
+        turned = ~(n["year_first"] & ~named_first) & (mid > 12) & (day <= 12)
+        year = F.when(year >= 100, year).when(year >= 70, year + 1900).otherwise(year + 2000)
+        text = F.format_string("%04d-%02d-%02d", year, F.when(turned, day).otherwise(mid), F.when(turned, mid).otherwise(day))
+        return F.when((year + mid + day).isNotNull(), F.try_to_date(text, "yyyy-MM-dd"))
+
+    return F.when(tokens.isNotNull(), _once(numbers, ordered))
+
+
+def parse_day_first_strict(c: Column) -> Column:
+    """Dates of :func:`parse_day_first`, else of :func:`parse_mixed_dates`; fails the job on a non-NULL unparsable value."""
+    bad = F.raise_error(F.concat(F.lit("unparsable date: "), c.cast("string"))).cast("date")
+    return F.coalesce(parse_day_first(c), parse_mixed_dates(c), F.when(c.isNotNull(), bad))
 
 
 def fiscal_year(d: Column) -> Column:

@@ -485,9 +485,9 @@ def incremental_ingest(spark: SparkSession, data_dir: str) -> DataFrame:
     late = F.dayofmonth("snapshot_date") == 10
     snap.where(~late).repartition("month").write.partitionBy("month").parquet(landing)
     schema = spark.read.parquet(landing).schema
-    run_incremental(spark, landing, master, ckpt, schema, D.KEYS, D.MEASURES)
+    run_incremental(spark, landing, master, ckpt, schema, D.KEYS, D.MEASURES, max_files_per_trigger=256)
     snap.where(late).repartition("month").write.mode("append").partitionBy("month").parquet(landing)
-    run_incremental(spark, landing, master, ckpt, schema, D.KEYS, D.MEASURES)
+    run_incremental(spark, landing, master, ckpt, schema, D.KEYS, D.MEASURES, max_files_per_trigger=256)
     return spark.read.parquet(master).select("snapshot_date", *D.KEYS, *[F.col(f"`{m}`") for m in D.MEASURES])
 
 

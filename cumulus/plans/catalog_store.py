@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import parse_day_first
+from ..functions.scalars import parse_day_first, parse_mixed_dates
 from ..operators.ledger import Ledger, month_corrections, with_corrections
 from ..operators.mart import audited_mart, build_mart, month_to_date
 from ..operators.reconcile import monthly_summary
@@ -169,3 +169,17 @@ def snapshot_catalogue(spark: SparkSession, data_dir: str) -> DataFrame:
     chosen = F.broadcast(spark.createDataFrame(rows, "policy string, rank long, name string, name_date date"))  # four rows
     sizes = read_snapshot_csv(spark, folder).groupBy(F.col("source_file").alias("name")).agg(F.count(F.lit(1)).alias("n_rows"))
     return chosen.join(sizes, "name", "left").select("policy", "rank", "name", "name_date", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+DATE_LAYOUTS = ("d-M-yyyy", "dd.MM.yyyy", "yyyy/MM/dd", "d MMMM yyyy", "MMM d, yyyy", "dd-MMM-yyyy", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy")
+
+
+@register("mixed_date_layouts")
+def mixed_date_layouts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SC11: order dates written in eight layouts (numbers, month names, with a time), parsed back by tokens."""
+    t = X.Tables(spark, data_dir)
+    day, k = F.to_date("o_orderdate"), F.col("o_orderkey") % len(DATE_LAYOUTS)
+    text = F.coalesce(*[F.when(k == i, F.date_format(day, layout)) for i, layout in enumerate(DATE_LAYOUTS)])
+    orders = t.orders.select("o_orderkey", day.alias("order_date"), text.alias("date_text"))
+    parsed = parse_mixed_dates(F.col("date_text"))
+    return orders.select("o_orderkey", "date_text", parsed.alias("parsed"), (parsed == F.col("order_date")).alias("ok"))

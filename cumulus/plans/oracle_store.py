@@ -86,3 +86,9 @@ SELECT 'dated_first' AS policy, CAST(r AS BIGINT) AS rank, strftime(last_day, '%
 UNION ALL SELECT 'mixed', 1, 'export.csv', CAST(NULL AS DATE), 0
 UNION ALL SELECT 'mixed', 2, strftime(last_day, '%Y-%m-%d') || '.csv', CAST(last_day AS DATE), CAST(n AS BIGINT) FROM newest WHERE r = 1
 """
+
+_LAYOUTS = ["%-d-%-m-%Y", "%d.%m.%Y", "%Y/%m/%d", "%-d %B %Y", "%b %-d, %Y", "%d-%b-%Y", "%Y-%m-%d %H:%M:%S", "%d/%m/%Y"]
+ORACLE["mixed_date_layouts"] = f"""
+SELECT o_orderkey, CASE o_orderkey % {len(_LAYOUTS)} {" ".join(f"WHEN {k} THEN strftime(CAST(o_orderdate AS DATE), '{f}')" for k, f in enumerate(_LAYOUTS))} END AS date_text,
+       CAST(o_orderdate AS DATE) AS parsed, o_orderdate IS NOT NULL AS ok FROM orders
+"""

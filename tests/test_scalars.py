@@ -144,3 +144,16 @@ def test_resolve_measure_numeric_conform(spark):
     out = conform(df, ["Maker", "PETROL", "DIESEL"])
     assert out.columns == ["Maker", "PETROL", "DIESEL"]
     assert out.first()["DIESEL"] is None
+
+
+def test_mixed_dates_of_every_layout(spark):
+    may = "2026-05-01"
+    given = {
+        "01-05-2026": may, "1-5-2026": may, "1/5/2026": may, "01.05.2026": may, "2026/05/01": may, "2026-5-1": may, " 1 May 2026 ": may,
+        "01-MAY-2026": may, "May 1, 2026": may, "may 1st, 2026": may, "1st of": None, "2026-05-01 00:00:00": may, "2026-05-01T10:11:12.5Z": may,
+        "1-5-26": may, "5/13/2026": "2026-05-13", "13/5/2026": "2026-05-13", "31-12-99": "1999-12-31", "29-02-2024": "2024-02-29",
+        "29-02-2025": None, "0-5-2026": None, "13-13-2026": None, "1-foo-2026": None, "": None, "20260501": None, "x": None, None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in given], "t string")
+    got = {r.t: r.d and str(r.d) for r in df.select("t", S.parse_mixed_dates(F.col("t")).alias("d")).collect()}
+    assert got == given

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from cumulus.operators.delta import snapshot_delta
-from cumulus.streaming.incremental import month_batch_writer, run_incremental
+from cumulus.streaming.incremental import affected_dates, batch_writer, run_incremental, touched_rows
 from tests.conftest import rows
 
 KEYS = ["RTO", "Maker"]
@@ -41,7 +41,7 @@ def test_crash_mid_batch_then_late_snapshot(spark, tmp_path):
     schema = spark.read.parquet(landing).schema
 
     # Attempt 1: the batch function writes its months, then the driver dies before the commit.
-    write = month_batch_writer(spark, landing, master, schema, KEYS, ["PETROL"])
+    write = batch_writer(spark, landing, master, schema, KEYS, ["PETROL"])
 
     def crash(batch, epoch_id):
         write(batch, epoch_id)
@@ -57,14 +57,34 @@ def test_crash_mid_batch_then_late_snapshot(spark, tmp_path):
     got = rows(spark.read.parquet(master), "snapshot_date", "RTO", "Maker", "PETROL")
     assert got == expected(spark, DAYS)
 
-    # A late snapshot of May 3rd changes its own increment and May 4th's; April is untouched.
+    # A late snapshot of May 3rd changes its own increment and May 4th's; no other date is rewritten.
+    before = set(spark.read.parquet(master).inputFiles())
     spark.createDataFrame(snap_rows(LATE), SCHEMA).write.mode("append").partitionBy("month").parquet(landing)
     run_incremental(spark, landing, master, ckpt, schema, KEYS, ["PETROL"])
     got = rows(spark.read.parquet(master), "snapshot_date", "RTO", "Maker", "PETROL")
     assert got == expected(spark, {**DAYS, **LATE})
+    after = set(spark.read.parquet(master).inputFiles())
+    assert {f.rsplit("snapshot_date=", 1)[1][:10] for f in before ^ after} == {"2026-05-03", "2026-05-04"}
     may4 = [r for r in got if r[0] == dt.date(2026, 5, 4)]
     assert may4 == [(dt.date(2026, 5, 4), "A", "M", 1)]  # 7 - 6, not 7 - 4
 
     # Nothing new landed: a further run processes no batch and leaves the table as it is.
     run_incremental(spark, landing, master, ckpt, schema, KEYS, ["PETROL"])
     assert rows(spark.read.parquet(master), "snapshot_date", "RTO", "Maker", "PETROL") == got
+
+
+def test_affected_dates_are_the_arrived_and_the_next():
+    days = [dt.date(2026, 4, 30), *[dt.date(2026, 5, d) for d in (1, 2, 4, 7)]]
+    got = affected_dates(days, [dt.date(2026, 5, 2), dt.date(2026, 4, 30)])
+    assert got == {dt.date(2026, 4, 30): None, dt.date(2026, 5, 2): dt.date(2026, 5, 1), dt.date(2026, 5, 4): dt.date(2026, 5, 2)}
+    assert affected_dates(days, []) == {}
+
+
+def test_months_and_dates_reach_the_scan(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    spark.createDataFrame(snap_rows(DAYS), SCHEMA).write.partitionBy("month").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    plan = touched_rows(spark, landing, schema, [dt.date(2026, 5, 1)], dates=[dt.date(2026, 5, 4), None, dt.date(2026, 5, 2)])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text and "PushedFilters: [In(snapshot_date" in text
+    assert {f.split("month=")[1][:10] for f in plan.inputFiles()} >= {"2026-05-01"} and plan.count() == 3
