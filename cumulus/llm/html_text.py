@@ -27,7 +27,9 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +40,8 @@ from cumulus.operators.joins import bounded_broadcast
 
 MAX_HOSTS_BROADCAST = 200_000
 LONGEST_PATH = 400  # characters; a longer path goes on from the hash of its upper part
-_TAG = re.compile(r"""<!--|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""")
+_OPEN = re.compile(r"<!--|<(?=/?[a-zA-Z])|<[!?]")
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>"']*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _NAMES = re.compile(r"""(?i)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -121,33 +124,67 @@ def _looks_so(kind: str, clean: int, total: int, heads: int, page_clean: int) ->
     return clean < SHORT or 2 * clean < page_clean
 
 
+def _tag_ends(page: str, start: int) -> Callable[[int], int]:
+    """From ``start`` on: the first ``>`` outside quotes behind a place, or -1; one pass over quotes and brackets."""
+    spots = [m.start() for m in re.compile("[\"'>]").finditer(page, start)]
+    ends, later = [-1] * (len(spots) + 1), {}
+    for k in range(len(spots) - 1, -1, -1):
+        mark = page[spots[k]]
+        if mark == ">":
+            ends[k] = spots[k]
+        else:
+            ends[k] = ends[later[mark] + 1] if mark in later else -1
+            later[mark] = k
+    return lambda place: ends[bisect_left(spots, place)]
+
+
 def _pieces(page: str):
-    """``(text, None, None)``, ``(None, tag, attributes)`` or ``(None, "/" + tag, None)`` in page order."""
-    at, n = 0, len(page)
-    while at < n:
-        m = _TAG.search(page, at)
-        if m is None:
-            yield page[at:], None, None
-            return
-        if m.start() > at:
-            yield page[at : m.start()], None, None
-        at = m.end()
+    """``(text, None, None)``, ``(None, tag, attributes)`` or ``(None, "/" + tag, None)`` in page order.
+
+    A ``<`` whose tag never ends is text. No part of a page is looked at more
+    than a few times: the first such tag makes a table of all later tag ends.
+    """
+    at = look = 0
+    n, last, ends = len(page), page.rfind(">"), None
+    while m := _OPEN.search(page, look):
+        opened = m.start()
         if m.group() == "<!--":
-            end = page.find("-->", at)
-            at = n if end < 0 else end + 3
+            end = page.find("-->", m.end())
+            stop = n if end < 0 else end + 3
+            piece = None
+        elif opened > last:
+            look = m.end()
             continue
-        tag = m.group(2)
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if m.group(1):
-            yield None, "/" + tag, None
-        elif tag in RAW:
-            if not m.group(3).endswith("/"):
-                end = re.compile(f"(?i)</{re.escape(tag)}\\b[^>]*>").search(page, at)
-                at = n if end is None else end.end()
+        elif m.group() != "<":
+            stop, piece = page.find(">", m.end()) + 1, None
         else:
-            yield None, tag, m.group(3)
+            found = _TAG.match(page, opened, last + 1) if ends is None else None
+            if found is None:
+                ends = ends or _tag_ends(page, opened)
+                end = ends(m.end())
+                found = _TAG.match(page, opened, end + 1) if end >= 0 else None
+            if found is None:
+                look = m.end()
+                continue
+            closing, tag, attributes = found.groups()
+            tag, stop = tag.lower(), found.end()
+            if closing:
+                piece = None, "/" + tag, None
+            elif tag in RAW:
+                piece = None
+                if not attributes.endswith("/"):
+                    # Up to the last ">" every end tag has an end, so the search stops at the first one.
+                    end = re.compile(f"(?i)</{re.escape(tag)}\\b[^>]*>").search(page, stop, last + 1)
+                    stop = n if end is None else end.end()
+            else:
+                piece = None, tag, attributes
+        if opened > at:
+            yield page[at:opened], None, None
+        if piece:
+            yield piece
+        at = look = stop
+    if at < n:
+        yield page[at:], None, None
 
 
 def boilerplate(page: str) -> frozenset[int]:

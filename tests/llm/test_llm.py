@@ -593,3 +593,23 @@ def test_near_duplicate_stage_tells_documents_apart_by_id_and_text(spark, small_
     got = Counter((r.doc_id, r.text) for r in kept.collect())
     sure = Counter([(3, one + " more"), (3, two), (4, "fine"), (None, None)])
     assert got - sure in (Counter([(None, three)]), Counter([(None, three + " more")])) and not sure - got
+
+
+@pytest.mark.parametrize("broken", ["<a ", "<a '", '<a "', "<", "</", "<!", "<a b='\"", "<a<", "</script ", "<script></script "])
+def test_broken_markup_takes_linear_time(broken):
+    import time
+
+    page = "<p>start</p>" + broken * (1_000_000 // len(broken))
+    for end in ("", ">", "'>", '">', "<p>end</p>"):
+        start = time.perf_counter()
+        html_text.main_text(page + end, None)
+        assert time.perf_counter() - start < 30
+
+
+def test_tags_end_outside_quotes():
+    pieces_of = lambda page: [t if t is not None else f"[{tag}]" for t, tag, _ in html_text._pieces(page)]
+    assert pieces_of("a<p title='x>y'>b</p >c") == ["a", "[p]", "b", "[/p]", "c"]
+    assert pieces_of("a <b c='d> e <i>f</i>") == ["a <b c='d> e ", "[i]", "f", "[/i]"]
+    assert pieces_of("x < y <1> <!-- <p> --> <?pi?> <!doctype html> <p>z") == ["x < y <1> ", " ", " ", " ", "[p]", "z"]
+    assert pieces_of("<script>if (a < b) '</p>'</script >t<style>p") == ["t"]
+    assert pieces_of("t <!-- open <p>") == ["t "] and pieces_of("<br/><a") == ["[br]", "<a"]
