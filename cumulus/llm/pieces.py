@@ -35,8 +35,8 @@ from cumulus.llm.common import mix, powers, row_slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHE_SEGMENTS = 40_000  # short segments whose ids a worker remembers (some 10 MB)
-CACHE_PAIRS = 40_000  # pairs of pieces it remembers to stay apart or not (some 10 MB)
+CACHE_SEGMENTS = 150_000  # short segments whose ids a worker remembers, in each of two generations (some 30 MB)
+CACHE_PAIRS = 150_000  # pairs of pieces it remembers to stay apart or not (some 30 MB)
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -88,6 +88,7 @@ class StreamingEncoder:
         self.model = model
         self._apart: dict[tuple[str, str], bool] = {}
         self._segments: dict[str, bytes] = {}  # without their first space
+        self._older: dict[str, bytes] = {}
         self.lock_step = LockStep(self) if model.kind == "bpe" and model.ids else None
 
     def _merge(self, text: str) -> list[str]:
@@ -204,11 +205,13 @@ class StreamingEncoder:
         if not self.model.cut_at_space:
             return [self._ids(SPACE + t.replace(" ", SPACE)) if t else b"" for t in texts]
         keys = [self._keys(t) for t in texts]
-        new = set().union(*keys).difference(self._segments)
-        if len(self._segments) + len(new) > CACHE_SEGMENTS:
-            used = set().union(*keys)
-            self._segments = {k: self._segments[k] for k in used if k in self._segments}
-        known = self._segments
+        if len(self._segments) >= CACHE_SEGMENTS:  # what is used again comes back from the older generation
+            self._older, self._segments = self._segments, {}
+        known, older = self._segments, self._older
+        new = set().union(*keys).difference(known)
+        seen = new & older.keys()
+        known.update({k: older[k] for k in seen})
+        new -= seen
         long = {k: self._ids(SPACE + k) for k in new if len(k) >= LockStep.LONGEST or self.lock_step is None}
         short = [k for k in new if k not in long]
         if short:
@@ -236,8 +239,8 @@ class LockStep:
     """
 
     LONGEST = 64  # characters; longer segments go through the streaming window
-    AT_ONCE = 4096
-    PAIR_BITS = 18  # slots of the table of pairs
+    AT_ONCE = 8192
+    PAIR_BITS = 20  # slots of the table of pairs
 
     def __init__(self, encoder: StreamingEncoder):
         self.encoder, ids = encoder, encoder.model.ids
