@@ -72,9 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package to the workers of a cluster (workers of a local master share the driver's path)."""
+    """Send the package to the Python workers, once a session (those of a local master do not see the driver's path either)."""
     sc = spark.sparkContext
-    if sc.master.startswith("local") or getattr(sc, "_cumulus_shipped", False):
+    if getattr(sc, "_cumulus_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     archive = os.path.join(tempfile.mkdtemp(prefix="cumulus-ship-"), "cumulus.zip")
