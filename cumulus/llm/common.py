@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from cumulus.session import scratch_path
+from cumulus.session import scratch_path, ship_package
 
 # Text handled at once by the vectorised code of one task. Bounds its memory:
 # a slice holds this many bytes or one single text, whichever is more.
@@ -23,8 +23,10 @@ BATCH_BYTES = 1 << 20
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of at most ``BATCH_BYTES`` (or one row): by rows alone a batch of long texts has no bound.
 
-    A smaller setting of the session stays.
+    A smaller setting of the session stays. Called before any work of the text
+    operators, so the package goes to the Python workers here too.
     """
+    ship_package(spark)
     given = spark.conf.get(BATCH_BYTES_CONF).lower().removesuffix("b")
     unit = {"k": 10, "m": 20, "g": 30}.get(given[-1:], 0)
     if int(given.rstrip("kmg")) << unit > BATCH_BYTES:
