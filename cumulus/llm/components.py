@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from cumulus.llm.common import drop_scratch, scratch_table
 
-MAX_ROUNDS = 60
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -41,7 +39,7 @@ def components(links: DataFrame) -> DataFrame:
         "edges",
     )
     seen = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         stars = scratch_table(_small_star(_large_star(edges)), "edges")
         state = stars.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("u", "v") % 1000003)).first()
         drop_scratch(edges)
@@ -49,8 +47,6 @@ def components(links: DataFrame) -> DataFrame:
         if state[0] == 0 or state == seen:
             break
         seen = state
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

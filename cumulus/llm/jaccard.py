@@ -310,12 +310,14 @@ def jaccard_components(
     """``doc_id, n_shingles, component_id`` of every document id (links: ``100 * shared >= percent * union``)."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
     classes = rank_classes(count_sketch(docs, words))
-    rows = scratch_table(_profiles(docs, classes, percent, words), "profiles")
-    sets_of = rows.filter("n > 0").select("id", "n", "low", "high")
-    groups = scratch_table(sets_of.groupBy("n", "low", "high").agg(F.min("id").alias("rep")), "groups")
-    copies = sets_of.join(groups, ["n", "low", "high"]).filter("id <> rep").select("id").distinct()
+    # A row number, fixed once written, tells repeated rows of one id apart: a set has one profile row.
+    rows = scratch_table(_profiles(docs, classes, percent, words).withColumn("row", F.monotonically_increasing_id()), "profiles")
+    sets_of = rows.filter("n > 0").select("id", "n", "low", "high", "row")
+    groups = sets_of.groupBy("n", "low", "high").agg(F.min(F.struct("id", "row")).alias("first"))
+    groups = scratch_table(groups.select("n", "low", "high", F.col("first.id").alias("rep"), F.col("first.row").alias("rep_row")), "groups")
+    copies = sets_of.join(groups.drop("rep"), ["n", "low", "high"]).filter("row <> rep_row").select("row")
     copies = bounded_broadcast(scratch_table(copies, "copies"), MAX_BROADCAST_IDS)
-    profiles = rows.filter("n > 0").join(copies, "id", "left_anti")
+    profiles = rows.filter("n > 0").join(copies, "row", "left_anti").drop("row")
 
     tokens = profiles.select("id", F.explode_outer("p0").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")

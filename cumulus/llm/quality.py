@@ -120,11 +120,16 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, rounds: int = 400, ridge: float =
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rating_col: str, limit: int) -> DataFrame:
-    """At most ``limit`` labelled rows ``id, text, y``: those of the smallest id hashes."""
+    """At most ``limit`` labelled rows ``id, text, y``: those of the smallest id hashes.
+
+    An id that repeats in ``docs`` gives one row, with its text of the smallest hash.
+    """
     rated = labels.select(F.col(id_col).alias("id"), F.col(rating_col).cast("double").alias("y")).filter("id is not null and y is not null")
     rated = rated.groupBy("id").agg(F.min("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(limit)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(rated), "id")  # at most ``limit`` rows
+    some = texts.join(F.broadcast(rated), "id")  # at most ``limit`` ids
+    first = some.groupBy("id").agg(F.min("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    return first.select("id", F.col("first.text").alias("text"), "y")
 
 
 def fit_quality(

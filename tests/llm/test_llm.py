@@ -171,6 +171,14 @@ def test_quality_on_held_out_rows(spark, small_dir):
     assert quality.score_quality(odd, model).count() == 3 and quality.score_quality(odd.limit(0), model).count() == 0
 
 
+def test_labelled_sample_takes_one_row_of_an_id(spark):
+    table = docs(spark, ["same"] * 3).withColumn("doc_id", F.lit(5).cast("long")).union(docs(spark, ["b", None, "c"], 6))
+    labels = spark.createDataFrame([(5, 1.0), (5, 2.0), (6, 0.0), (7, 1.0), (None, 1.0)], "doc_id long, quality double")
+    got = collected(quality.labelled_sample(table, labels, "doc_id", "text", "quality", 10))
+    assert got == [(5, "same", 1.0), (6, "b", 0.0), (7, None, 1.0)]
+    assert quality.labelled_sample(table, labels, "doc_id", "text", "quality", 1).count() == 1
+
+
 # 4 -- secrets
 
 
@@ -471,6 +479,28 @@ def test_jaccard_chain_and_empty(spark):
     assert sorted(tuple(r) for r in jaccard.jaccard_components(docs(spark, [None, ""])).collect()) == [(0, 0, 0), (1, 0, 1)]
 
 
+def test_jaccard_repeated_rows_make_one_profile(spark, monkeypatch):
+    rnd = random.Random(8)
+    one = text(rnd, 80).split(" ")
+    two = [*one[:-1], "changed"]
+    postings = []
+    keep = jaccard.scratch_table
+
+    def noted(df, name):
+        out = keep(df, name)
+        if name == "postings":
+            postings.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "scratch_table", noted)
+    once = docs(spark, [" ".join(one), " ".join(two)])
+    many = once.crossJoin(spark.range(60).select(F.col("id").alias("copy")))
+    expected = brute_jaccard([" ".join(one), " ".join(two)])
+    assert sorted(tuple(r) for r in jaccard.jaccard_components(once).collect()) == expected
+    assert sorted(tuple(r) for r in jaccard.jaccard_components(many).collect()) == expected
+    assert 0 < max(postings) <= 2 * jaccard.prefix_size(78, 90)  # with a profile for every row 60 times as many
+
+
 def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 90), (None, 3)], "u long, v long")
     got = {r.node: r.component for r in components.components(links).collect()}
