@@ -13,7 +13,10 @@ are known by their tag, or as blocks (never headings, paragraphs or inline
 elements) by a role, class or id that says nothing else and by their looks: a
 plain name such as ``ad`` counts for a block that is mostly links, short or less
 than half of the page, a name that article sections may also have such as
-``search`` only for one that is mostly links, or little text without a heading. Character references are decoded, white space becomes
+``search`` only for one that is mostly links, or little text without a heading.
+A name with a marking word among others counts only for a block that is mostly
+links; one with ``comment`` also for a block of several like parts, or of several
+parts without a heading, or where the page has several such blocks. Character references are decoded, white space becomes
 one space, blocks are joined in page order by one space.
 
 Cases: null and empty html give an empty text; null urls share one host;
@@ -59,17 +62,21 @@ NAMED = frozenset("div section ul ol dl table td li header".split())  # blocks t
 ROLES = frozenset("navigation search contentinfo complementary banner menu menubar toolbar dialog".split())
 # Names that mark boilerplate: a class or id made of them and of words for its place only.
 PLAIN = frozenset(
-    "ad ads advert advertisement adverts breadcrumb breadcrumbs cookie cookies footer masthead nav navbar newsletter pager pagination "
-    "sidebar sponsored".split()
+    "ad ads adsbygoogle advert advertisement adverts breadcrumb breadcrumbs consent cookie cookies footer gdpr masthead nav navbar newsletter "
+    "pager pagination sidebar signup sponsored".split()
 )
-READERS = frozenset("comments disqus respond replies".split())  # may be longer than the article
+READERS = frozenset("commentlist comments disqus respond replies".split())  # may be longer than the article
+COMMENT = frozenset({"comment"})
 LOOSE = frozenset(
-    "banner comment menu modal navigation notice popup promo related search share sharing social sponsor subscribe toolbar widget".split()
+    "alert banner header menu modal navigation notice popup promo related search share sharing social sponsor subscribe tags toolbar widget".split()
 )
+LINKED = frozenset("more read readmore stories".split())  # of a block of links
 PLACES = frozenset(
-    "area bar block bottom box button buttons container global icons inner item items left link links list main outer page panel "
-    "primary right secondary section site top wrap wrapper".split()
+    "area article bar block bottom box button buttons container entry global icons inner item items left link links list main outer page panel "
+    "post posts primary reader readers right secondary section site slot top user wrap wrapper".split()
 )
+_MARKING = PLAIN | READERS | COMMENT | LOOSE
+_PARTS = frozenset("li div article section dl blockquote".split())
 _WORD = re.compile(r"[a-z]+")
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -83,7 +90,7 @@ def _below(path: str, own: str) -> str:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "dropped", "header", "heading", "link", "clean", "total", "out", "container", "foreign", "named", "heads")
+    __slots__ = ("tag", "path", "dropped", "header", "heading", "link", "clean", "total", "out", "container", "foreign", "named", "heads", "parts")
 
     def __init__(self, tag="", path="", parent=None, dropped=False):
         self.tag, self.path = tag, path
@@ -92,6 +99,7 @@ class _Element:
         self.container = tag in CONTAINERS or parent is None  # the page itself is one
         self.named = None
         self.heads = 0
+        self.parts = []  # tags of the blocks right below
         if parent is None:
             self.dropped = self.header = self.heading = self.link = self.foreign = False
             return
@@ -103,20 +111,31 @@ class _Element:
 
 
 def _kind(names: list[str]) -> str:
-    """``plain``, ``readers`` or ``loose`` if one of the classes and ids marks boilerplate, else empty."""
+    """``readers``, ``plain``, ``comment``, ``loose`` or ``linked`` if one of the classes and ids marks boilerplate, else empty."""
     found = set()
     for name in names:
         words = set(_WORD.findall(name.lower())) - PLACES
-        for kind, marks in (("plain", PLAIN), ("readers", READERS), ("loose", LOOSE)):
-            if words and words <= PLAIN | READERS | LOOSE and words & marks:
+        if not words <= _MARKING:
+            if words & _MARKING or words <= LINKED:
+                found.add("linked")
+            continue
+        for kind, marks in (("plain", PLAIN), ("readers", READERS), ("comment", COMMENT), ("loose", LOOSE)):
+            if words & marks:
                 found.add(kind)
-    return next((k for k in ("readers", "plain", "loose") if k in found), "")
+    return next((k for k in ("readers", "plain", "comment", "loose", "linked") if k in found), "")
 
 
-def _looks_so(kind: str, clean: int, total: int, heads: int, page_clean: int) -> bool:
+def _looks_so(kind: str, clean: int, total: int, heads: int, parts: list[str], page_clean: int, comments: int) -> bool:
     """Whether a named block of ``clean`` of ``total`` characters outside links looks like boilerplate."""
     if 2 * clean <= total:
         return True
+    if kind == "linked":
+        return False
+    if kind == "comment":
+        alike = max((parts.count(t) for t in _PARTS.intersection(parts)), default=0)
+        if comments > 1 or alike > 1 or len(parts) > 1 and not heads:
+            return clean < page_clean
+        kind = "loose"
     if kind == "loose":
         return not heads and 20 * clean < page_clean
     if kind == "readers":
@@ -189,13 +208,14 @@ def _pieces(page: str):
 
 def boilerplate(page: str) -> frozenset[int]:
     """Numbers, in page order, of the named blocks that look like boilerplate."""
-    blocks: list[tuple[int, str, int, int, int]] = []
+    blocks: list[tuple[int, str, int, int, int, list[str]]] = []
     if _NAMES.search(page):
         walk(page, None, frozenset(), blocks)
     if not blocks:
         return frozenset()
     page_clean = blocks.pop()[2]
-    return frozenset(k for k, kind, clean, total, heads in blocks if _looks_so(kind, clean, total, heads, page_clean))
+    comments = sum(b[1] == "comment" for b in blocks)
+    return frozenset(b[0] for b in blocks if _looks_so(*b[1:], page_clean, comments))
 
 
 def walk(
@@ -205,7 +225,7 @@ def walk(
 
     Of the named blocks those numbered in ``gone`` (by default as ``boilerplate``
     finds them) are dropped; ``blocks`` is given the number, kind, clean and total
-    characters and headings of each, and the page's own last.
+    characters, headings and tags of the parts of each, and the page's own last.
     """
     if gone is None:
         gone = boilerplate(page)
@@ -232,7 +252,7 @@ def walk(
             stack[-1].total += e.total
             stack[-1].heads += e.heads
             if e.named and blocks is not None and not e.dropped:
-                blocks.append((*e.named, e.clean, e.total, e.heads))
+                blocks.append((*e.named, e.clean, e.total, e.heads, e.parts))
         while marks and marks[-1] >= down_to:
             marks.pop()
 
@@ -287,6 +307,8 @@ def walk(
         element = _Element(tag, _below(parent.path, own) if tag in CONTAINERS else parent.path, parent, dropped)
         element.named = named
         element.heads = int(tag in HEADINGS)
+        if parent.named and tag not in INLINE:
+            parent.parts.append(tag)
         if element.container and element.path == take and not element.dropped:
             element.out = True
             taking += 1
@@ -296,7 +318,7 @@ def walk(
         stack.append(element)
     close(1)
     if blocks:
-        blocks.append((-1, "", page_element.clean, page_element.total, page_element.heads))
+        blocks.append((-1, "", page_element.clean, page_element.total, page_element.heads, page_element.parts))
     if page_element.total:
         scores[""] = page_element.clean**2 / page_element.total
     return scores, taken

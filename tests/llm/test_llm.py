@@ -346,6 +346,11 @@ PROSE = "The method reads every page twice and keeps what is found. " * 6
         "<p>so <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></math> holds</p>",
         '<p>a <svg><path d="M0"/><text>label</text></svg> b</p>',
         "<noscript>plain view</noscript>",
+        '<section id="comment-on-method"><h2>Comment</h2><p>Words on it.</p><p>More words.</p></section>',
+        '<div class="header-files"><p>Each one declares names.</p></div>',
+        '<div class="post entry"><p>A part of the post.</p><p>Its end.</p></div>',
+        f'<div class="comment">{PROSE}</div>',
+        f'<div class="read-more">{PROSE}</div>',
     ],
 )
 def test_article_text_stays_whatever_its_names(part):
@@ -365,6 +370,17 @@ def test_article_text_stays_whatever_its_names(part):
         f'<div id="comments"><h3>Comments</h3>{PROSE * 5}</div>',
         '<div role="navigation">menu</div>',
         '<div class="sidebar"><h3>About</h3>us</div>',
+        *[f'<div class="{n}"><a href=x>One story</a> <a href=y>two</a></div>' for n in "related-posts site-header header read-more tags ad-slot".split()],
+        *[
+            f'<div class="{n}">One short line.</div>'
+            for n in "ad-slot adsbygoogle newsletter-signup gdpr-consent cookie-consent alert".split()
+        ],
+        *[
+            f'<{tag} class="{n}">' + f"<{part}><b>Reader</b> {PROSE}</{part}>" * 4 + f"</{tag}>"
+            for n in "comment comment-list commentlist comment-section post-comments user-comment".split()
+            for tag, part in (("ol", "li"), ("div", "div"), ("div", "p"))
+        ],
+        f'<div class="user-comment">{PROSE}</div>' * 4,
     ],
 )
 def test_boilerplate_blocks_go(part):
