@@ -208,10 +208,14 @@ def normalize_text(text: Column) -> Column:
     return F.lower(strip_ws(t))
 
 
+def without_extension(name: Column) -> Column:
+    """File name without its last extension; a name that only starts with a dot has none."""
+    return F.when(name.rlike(r"\.[^.]*$") & ~name.rlike(r"^\.[^.]*$"), F.regexp_replace(name, r"\.[^.]*$", "")).otherwise(name)
+
+
 def file_base_name(path: Column) -> Column:
     """Base name without directory and without the last extension."""
-    base = F.regexp_extract(path, r"([^/\\]*)$", 1)
-    return F.when(base.rlike(r"\.[^.]*$") & ~base.rlike(r"^\.[^.]*$"), F.regexp_replace(base, r"\.[^.]*$", "")).otherwise(base)
+    return without_extension(F.regexp_extract(path, r"([^/\\]*)$", 1))
 
 
 def split_vehicle_suffix(base: Column) -> Column:

@@ -90,15 +90,18 @@ def read_facts(spark: SparkSession, store: Store, months: Sequence[dt.date] | No
 
 
 def check_inputs(spark: SparkSession, landing: str, manifest_path: str, ext: str = ".xlsx",
-                 states: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+                 states: Mapping[str, str] | None = None, fail_on_missing: bool = False) -> dict[str, DataFrame]:
     """C10 + C11 on a landing folder: missing files, re-fetch targets, totals, header audit.
 
     ``ext`` is the report extension the manifest names use (``.csv`` for CSV exports).
+    With ``fail_on_missing`` a day with missing files raises ``quality.MissingFilesError``.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).select("path")
     present = listing.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"))
     expected = quality.read_manifest(spark, manifest_path)
     missing = quality.missing_files(expected, present, ext=ext)
+    if fail_on_missing:
+        quality.require_complete(missing)
     titles = read_report_rows(spark, landing, pattern="*").groupBy("path").agg(F.max("title").alias("title"))
     return {
         "missing": missing,

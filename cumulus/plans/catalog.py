@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..operators.delta import delta_pair, snapshot_delta
 from ..operators.reshape import pivot_long, unpivot_wide
+from ..operators.snapshots import snapshot_index
+from ..session import materialize
 from ..sources.tables import Tables
 from . import domain as D
 from . import fixtures as X
@@ -48,11 +50,12 @@ def delta_all_snapshots(spark: SparkSession, data_dir: str) -> DataFrame:
 def delta_no_reset(spark: SparkSession, data_dir: str) -> DataFrame:
     """SNP1 without the monthly reset: OLD is the previous snapshot even across a month boundary.
 
-    The predecessor index is one ordered chain over the distinct snapshot dates
-    (one row per day, size-checked before its broadcast).
+    The predecessor index is one ordered chain over the calendar (one row per
+    day, size-checked), so the snapshots are derived once.
     """
-    _, _, snap, _ = _snap(spark, data_dir)
-    return snapshot_delta(snap.drop("month"), D.KEYS, D.MEASURES, reset=None, trim_keys=False)
+    _, _, snap, idx = _snap(spark, data_dir)
+    chain = snapshot_index(idx.select("snapshot_date"), reset=None)
+    return snapshot_delta(snap.drop("month"), D.KEYS, D.MEASURES, reset=None, trim_keys=False, index=chain)
 
 
 @register("delta_latest_pair")
@@ -90,10 +93,13 @@ def delta_month_reset(spark: SparkSession, data_dir: str) -> DataFrame:
 
 @register("delta_dup_keys_compat")
 def delta_dup_keys_compat(spark: SparkSession, data_dir: str) -> DataFrame:
-    """JN2: key (office, vehicle_type) repeats per maker; each row carries the group increment."""
+    """JN2: key (office, vehicle_type) repeats per maker; each row carries the group increment.
+
+    The rows and their groups both read the snapshot, so it is stored once, as in the jobs, and not derived twice.
+    """
     _, _, snap, idx = _snap(spark, data_dir)
     return snapshot_delta(
-        snap, ["office", "vehicle_type"], D.MEASURES, attributes=["maker"], index=idx, period_col="month", fan_out=True,
+        materialize(snap, "snapshots"), ["office", "vehicle_type"], D.MEASURES, attributes=["maker"], index=idx, period_col="month", fan_out=True,
         trim_keys=False,
     ).select("snapshot_date", *D.KEYS, *D.MEASURES)
 

@@ -3,9 +3,11 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cumulus.jobs import Store, build_outputs, check_inputs, correct_month, increments_for_month, ingest_day, latest_period, ledger, read_facts
+from cumulus.operators.quality import MissingFilesError
 from tests.conftest import rows
 
 FUELS = ["PETROL", "DIESEL", "PURE EV"]
@@ -103,6 +105,8 @@ def test_check_inputs(spark, tmp_path):
     assert rows(out["totals"]) == [(3, 2, 2)]
     audit = {r.path.rsplit("/", 1)[-1]: (r.status, r.new_path) for r in out["headers"].collect()}
     assert audit["ADOOR SRTO - KL26_motor_car.csv"][0] == "ok"
+    with pytest.raises(MissingFilesError, match="2 expected"):
+        check_inputs(spark, str(landing), str(manifest), ext=".csv", fail_on_missing=True)
     assert audit["3f2a_motor_cab.csv"][0] == "mismatch" and audit["3f2a_motor_cab.csv"][1].endswith("/ALUVA SRTO - KL41_motor_cab.csv")
 
 

@@ -2,10 +2,18 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cumulus.operators.master import drop_run, replace_and_append, write_run_partition
-from cumulus.operators.quality import header_audit, keep_last_per_target, missing_files, rescrape_targets
+from cumulus.operators.quality import (
+    MissingFilesError,
+    header_audit,
+    keep_last_per_target,
+    missing_files,
+    require_complete,
+    rescrape_targets,
+)
 from cumulus.operators.reconcile import filler_rows, monthly_summary, reconcile
 from cumulus.operators.reshape import union_aligned
 from cumulus.session import scratch_path
@@ -94,6 +102,21 @@ def test_missing_files_exact_or_by_code(spark):
     assert rows(tg, "rto_code", "vehicle_type", "state") == [("KL2", "motor_car", "Kerala"), ("TN1", "motor_cab", "Tamil_Nadu")]
 
 
+def test_files_without_code_or_known_type_are_matched_by_name_only(spark):
+    expected = _names(spark, ["no code_motor_car.xlsx", "No code_motor_car.xlsx", "A - TN1_truck.xlsx", "A - TN1.xlsx", ".xlsx"])
+    present = spark.createDataFrame([("NO CODE_motor_car.xlsx",), ("B - TN1_truck.xlsx",), ("C - TN1.xlsx",), ("other_motor_car.xlsx",)], "name string")
+    assert rows(missing_files(expected, present), "name") == [(".xlsx",), ("A - TN1.xlsx",), ("A - TN1_truck.xlsx",)]
+
+
+def test_fail_on_missing(spark):
+    missing = _names(spark, ["c.xlsx", "b.xlsx", "a.xlsx"])
+    require_complete(missing.limit(0))
+    with pytest.raises(MissingFilesError) as raised:
+        require_complete(missing, shown=2)
+    assert raised.value.count == 3 and raised.value.names == ["c.xlsx", "b.xlsx"]
+    assert "3 expected file(s) missing: c.xlsx, b.xlsx and 1 more" in str(raised.value)
+
+
 def test_rescrape_dedup_first_in_manifest_order(spark):
     miss = spark.createDataFrame(
         [(5, "Y - KA99_motor_car.xlsx", "KA99", "motor_car"), (2, "X - KA99_motor_car.xlsx", "KA99", "motor_car")],

@@ -9,7 +9,7 @@ from tests.conftest import SMALL
 
 # Queries that run a job before returning (they write files first); their plans
 # are checked through the operators they use.
-SIDE_EFFECTS = {"ingest_reports", "ingest_quarantine", "incremental_ingest", "month_to_date", "replace_partition_replay"}
+SIDE_EFFECTS = {"ingest_reports", "ingest_quarantine", "incremental_ingest", "month_to_date", "replace_partition_replay", "delta_dup_keys_compat"}
 NAMES = sorted(set(catalog.queries()) - SIDE_EFFECTS)
 
 
@@ -60,3 +60,20 @@ def test_scans_read_only_needed_columns(spark):
 def test_partial_aggregation_before_every_delta_shuffle(spark):
     p = plan(spark, "delta_null_keys")  # keys are trimmed there, so the delta shuffles
     assert "partial_sum" in p and "partial_max" in p
+
+
+def test_snapshots_are_derived_once(spark):
+    def orders(p):
+        return len(re.findall(r"FileScan parquet \[[^\]]*\][^\n]*/orders\.parquet", p))
+
+    # the derivation reads orders for the calendar and for the counts; a second derivation would double that
+    assert orders(plan(spark, "delta_no_reset")) <= orders(plan(spark, "delta_all_snapshots"))
+    p = plan(spark, "delta_dup_keys_compat")
+    assert "Expand" not in p and "o_orderpriority" not in p  # counted, not derived again: it reads the stored snapshot
+
+
+@pytest.mark.parametrize("name", ["missing_files", "rescrape_targets", "missing_by_state", "completeness_totals", "header_name_audit"])
+def test_file_names_are_parsed_in_stages(spark, name):
+    # an expression that holds the whole chain of regular expressions is some tens of thousands of characters long
+    lines = catalog.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert max(map(len, lines)) < 3000
