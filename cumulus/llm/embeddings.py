@@ -4,10 +4,11 @@ Vectors are scaled to length one and rotated (random signs, then a
 Walsh-Hadamard transform). Two vectors of cosine ``c`` are at squared distance
 ``2 - 2 c``; cut into blocks, some block must hold at most its share of that
 budget. Each block is range-joined on a grid over its first two coordinates
-(cells as wide as the block's radius, each row sent to half of the neighbouring
-cells), a pair is taken up by the first block whose budget it keeps, and its
-cosine is then computed from the given components in double precision. Rows of
-a cell are dealt over several tasks when there are many.
+(cells twice as wide as the block's radius, each row sent to those of half of
+the neighbouring cells that its radius reaches) and, within a cell, on windows
+of its third coordinate. A pair is taken up by the first block whose budget it
+keeps, and its cosine is then computed from the given components in double
+precision. Rows of a cell are dealt over several tasks when there are many.
 
 Equal vectors of one label are one point with a count, so copies cost nothing;
 links of a point are counted with the copies on the other side. A task returns
@@ -31,6 +32,7 @@ from cumulus.llm.components import components
 
 BLOCKS = 8
 PART = 2000  # rows of a cell that meet in one task, from either side
+PAIRS = 1 << 15  # pairs whose whole vectors are compared at once
 _NEXT = [(0, 1), (1, -1), (1, 0), (1, 1)]  # half of the neighbouring cells
 
 
@@ -65,7 +67,7 @@ def _block_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _matrix(col: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return np.array(col.to_pylist(), np.float64).reshape(-1, dim)
+    return col.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
 def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -91,8 +93,15 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
+def _radius(budget: float) -> float:
+    """The most by which a coordinate of a block differs within its share of the budget, and a hair for rounding."""
+    return np.sqrt(budget / BLOCKS) * (1 + 1e-6) + 1e-9
+
+
 def _cells(points: DataFrame, budget: float) -> DataFrame:
-    """``label, dim, block, cx, cy, home`` rows: each point in its own cell and in half of the neighbours of every block."""
+    """``label, dim, block, cx, cy, home`` rows: each point in its own cell and in the later neighbours it reaches, for every block."""
+    radius = _radius(budget)
+    width = 2 * radius
 
     def run(batches):
         for batch in batches:
@@ -103,17 +112,17 @@ def _cells(points: DataFrame, budget: float) -> DataFrame:
                     part = mine.slice(k, 2048)
                     turned = rotate(_matrix(part["v"], dim))
                     size = turned.shape[1] // BLOCKS
-                    # a hair wider than the radius, for rounding
-                    width = np.sqrt(budget / BLOCKS) * (1 + 1e-6) + 1e-9
                     for block in range(BLOCKS):
-                        x = np.floor(turned[:, block * size] / width).astype(np.int64)
-                        y = np.floor(turned[:, block * size + min(1, size - 1)] / width).astype(np.int64)
-                        if size == 1:
-                            y = np.zeros_like(x)
+                        x = turned[:, block * size]
+                        y = turned[:, block * size + 1] if size > 1 else np.zeros_like(x)
+                        cx, cy = np.floor(x / width), np.floor(y / width)
                         for dx, dy in [(0, 0), *_NEXT]:
-                            made = part.append_column("block", pa.array(np.full(len(part), block), pa.int32()))
-                            made = made.append_column("cx", pa.array(x + dx, pa.int64())).append_column("cy", pa.array(y + dy, pa.int64()))
-                            made = made.append_column("home", pa.array([(dx, dy) == (0, 0)] * len(part), pa.bool_()))
+                            reached = (np.floor((x + dx * radius) / width) == cx + dx) & (np.floor((y + dy * radius) / width) == cy + dy)
+                            at = np.flatnonzero(reached)
+                            made = part.take(pa.array(at)).append_column("block", pa.array(np.full(len(at), block), pa.int32()))
+                            made = made.append_column("cx", pa.array((cx[at] + dx).astype(np.int64)))
+                            made = made.append_column("cy", pa.array((cy[at] + dy).astype(np.int64)))
+                            made = made.append_column("home", pa.array([(dx, dy) == (0, 0)] * len(at), pa.bool_()))
                             yield from made.to_batches()
 
     return points.mapInArrow(run, "id long, label long, copies long, dim int, v array<float>, block int, cx long, cy long, home boolean")
@@ -130,26 +139,42 @@ def _cell_links(cells: DataFrame, budget: float, cosine: float) -> DataFrame:
         turned = rotate(v)
         size = turned.shape[1] // BLOCKS
         share = budget / BLOCKS * (1 + 1e-9) + 1e-12
-        n_home, own = int(home.sum()), turned[:, block * size : (block + 1) * size]
+        own = turned[:, block * size : (block + 1) * size]
         piece = rows["one"].to_numpy()
         first, second = key[5].as_py(), key[6].as_py()
         count = np.zeros(len(ids), np.int64)
         left, right = [], []
-        for k in range(0, n_home, 256):
-            top = min(k + 256, n_home)
-            mine = np.arange(k, top)
-            i, j = np.nonzero(_block_distance(own[mine][:, None], own[None]) <= share)
-            i = mine[i]
-            # home rows of the first piece against home rows of the second and against visitors
-            ok = (piece[i] == first) & (piece[j] == second) & (~home[j] | (i < j) | (home[j] & (first != second)))
-            ok &= ids[i] != ids[j]
-            i, j = i[ok], j[ok]
+
+        def linked(i, j):
+            """Which pairs this block is the first to take up, and are similar enough."""
+            ok = _block_distance(own[i], own[j]) <= share
             for earlier in range(block):
                 span = slice(earlier * size, (earlier + 1) * size)
-                late = _block_distance(turned[i, span], turned[j, span]) > share
-                i, j = i[late], j[late]
-            near = _cosines(v[i], v[j]) >= cosine
-            i, j = i[near], j[near]
+                at = np.flatnonzero(ok)
+                ok[at] = _block_distance(turned[i[at], span], turned[j[at], span]) > share
+            at = np.flatnonzero(ok)
+            ok[at] = _cosines(v[i[at]], v[j[at]]) >= cosine
+            return ok
+
+        # Home rows of the first piece against home rows of the second and against visitors.
+        third, squares = own[:, min(2, size - 1)], (own * own).sum(axis=1)
+        ones, twos = np.flatnonzero(home & (piece == first)), np.flatnonzero(piece == second)
+        ones, twos = ones[np.argsort(third[ones], kind="stable")], twos[np.argsort(third[twos], kind="stable")]
+        radius = _radius(budget)
+        for k in range(0, len(ones), 128):
+            mine = ones[k : k + 128]
+            lo = np.searchsorted(third[twos], third[mine[0]] - radius)
+            hi = np.searchsorted(third[twos], third[mine[-1]] + radius, "right")
+            theirs = twos[lo:hi]
+            rough = squares[mine][:, None] + squares[theirs] - 2 * (own[mine] @ own[theirs].T)
+            i, j = np.nonzero(rough <= share + 1e-9)  # a matrix product rounds otherwise; exact below
+            i, j = mine[i], theirs[j]
+            ok = (ids[i] != ids[j]) & (~home[j] | (i < j) | (first != second))
+            i, j = i[ok], j[ok]
+            near = [linked(i[at : at + PAIRS], j[at : at + PAIRS]) for at in range(0, len(i), PAIRS)]
+            if near:
+                near = np.concatenate(near)
+                i, j = i[near], j[near]
             np.add.at(count, i, copies[j])
             np.add.at(count, j, copies[i])
             span = _forest(ids[i], ids[j])
