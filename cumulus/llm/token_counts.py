@@ -14,9 +14,12 @@ an empty table gives an empty result. Null data counts as empty.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
@@ -25,37 +28,67 @@ from cumulus.llm.pieces import MODEL_PATH, encoder_for
 
 EOD = 2  # </s> of the piece model
 BLOCK_TOKENS = 1 << 16
+TASK_BYTES = 128 << 20  # of token files that one task reads, block by block
 SUPER = 1024  # blocks of the lower scan level
 
 
-def read_token_files(spark, path: str, block_bytes: int = 1 << 20) -> DataFrame:
-    """``file, block, data`` of raw ``.bin`` token files (each below Spark's 2 GB limit for one value)."""
+def _opened(path: str):
+    """The file behind a path as Spark lists it, open for reads at any offset."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_file("/" + path.removeprefix("file:").lstrip("/"))
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_file(name)
 
-    def cut(batches):
-        for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = [data[k : k + block_bytes] for k in range(0, len(data), block_bytes)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(parts), pa.string()), pa.array(range(len(parts)), pa.int64()), pa.array(parts, pa.binary())],
-                    ["file", "block", "data"],
-                )
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(cut, "file string, block long, data binary")
+def read_token_files(spark: SparkSession, path: str, block_bytes: int = 1 << 20) -> DataFrame:
+    """``file, block, data`` of raw token files of any length under ``path``, one row a block of ``block_bytes``.
+
+    Spark lists the files and deals the blocks out; a task reads only the byte
+    ranges of its blocks, one at a time, through the store's file system as
+    Arrow reaches it. ``block_bytes`` must be a multiple of a token's size. A
+    file without bytes has no block; one cut short since it was listed fails.
+    """
+
+    def read(batches):
+        for batch in batches:
+            rows = sorted(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
+            for name, of_file in groupby(rows, key=lambda r: r[0]):
+                with _opened(name) as file:
+                    for _, block, size in of_file:
+                        file.seek(block * block_bytes)
+                        data = file.read(size)
+                        if len(data) != size:
+                            raise OSError(f"{name} ends before byte {block * block_bytes + size}")
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([name], pa.string()), pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["file", "block", "data"]
+                        )
+
+    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(-(-total // TASK_BYTES), spark.sparkContext.defaultParallelism)
+    blocks = files.select(
+        F.col("path").alias("file"), "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / block_bytes))).alias("block")
+    )
+    size = F.least(F.lit(block_bytes).cast("long"), F.col("length") - F.col("block") * block_bytes)
+    dealt = blocks.select("file", "block", size.alias("size")).repartition(tasks, "file", "block")
+    return dealt.mapInArrow(read, "file string, block long, data binary")
 
 
-def write_token_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH) -> DataFrame:
+def write_token_blocks(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH, dtype: str = "uint16"
+) -> DataFrame:
     """Tokenise documents into flat files, one for each task: ``file, block, data, doc_ids``.
 
     ``doc_ids`` names the documents that end in the block, in order; the
-    scan does not read it.
+    scan does not read it. A model with ids beyond ``dtype`` fails.
     """
+    most, block_bytes = int(np.iinfo(dtype).max), BLOCK_TOKENS * np.dtype(dtype).itemsize
 
     def run(batches):
         encoder = encoder_for(model_path, "bpe")
         file, block = TaskContext.get().partitionId(), 0
         held, size, ids = [], 0, []
-        end = np.array([EOD], np.uint16).tobytes()
+        end = np.array([EOD], dtype).tobytes()
 
         def row(data: bytes, closed: list):
             return pa.RecordBatch.from_arrays(
@@ -67,9 +100,12 @@ def write_token_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             for part in row_slices(batch, 1):
                 encoded = encoder.encode_all([t or "" for t in part.column(1).to_pylist()])
                 for doc, found in zip(part.column(0).to_pylist(), encoded, strict=True):
-                    tokens = np.frombuffer(found, np.int32).astype(np.uint16).tobytes() + end
-                    while size + len(tokens) > 2 * BLOCK_TOKENS:
-                        take = 2 * BLOCK_TOKENS - size
+                    tokens = np.frombuffer(found, np.int32)
+                    if tokens.max(initial=0) > most:
+                        raise ValueError(f"id {tokens.max()} does not fit {dtype}")
+                    tokens = tokens.astype(dtype).tobytes() + end
+                    while size + len(tokens) > block_bytes:
+                        take = block_bytes - size
                         held.append(tokens[:take])
                         yield row(b"".join(held), ids)
                         tokens, held, size, ids, block = tokens[take:], [], 0, [], block + 1
@@ -160,10 +196,12 @@ def token_counts(blocks: DataFrame, eod: int = EOD, dtype: str = "uint16") -> Da
     return closed.union(opened)
 
 
-def document_token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH) -> DataFrame:
+def document_token_counts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH, dtype: str = "uint16"
+) -> DataFrame:
     """``doc_id, n_tokens``: documents written to flat files, then counted by scanning those files."""
-    blocks = scratch_table(write_token_blocks(docs, id_col, text_col, model_path), "tokens")
-    counted = stitch(scan_blocks(blocks))
+    blocks = scratch_table(write_token_blocks(docs, id_col, text_col, model_path, dtype), "tokens")
+    counted = stitch(scan_blocks(blocks, dtype=dtype))
     names = blocks.select("file", "block", "doc_ids")
     return counted.join(names, ["file", "block"]).select(F.explode(F.arrays_zip("doc_ids", "lengths")).alias("d")).select(
         F.col("d.doc_ids").alias("doc_id"), F.col("d.lengths").alias("n_tokens")

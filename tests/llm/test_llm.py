@@ -137,6 +137,39 @@ def test_stitching_across_blocks(spark, sizes, monkeypatch):
     assert collected(token_counts.token_counts(blocks)) == sorted(expected, key=lambda r: tuple((True, str(x)) for x in r))
 
 
+@pytest.mark.parametrize("dtype", ["uint16", "uint32"])
+def test_token_files_are_read_by_byte_range(spark, tmp_path, dtype):
+    rnd = random.Random(11)
+    folder = tmp_path / "token files"
+    folder.mkdir()
+    expected = []
+    for name, lengths in {"a.bin": [0, 5, 900, 0, 3000], "b #1.bin": [7], "empty.bin": [], "open.bin": [2, 40]}.items():
+        ids = []
+        for doc, n in enumerate(lengths):
+            closed = name != "open.bin" or doc < len(lengths) - 1
+            ids += [rnd.choice([0, 1, 3, 60000]) for _ in range(n)] + [token_counts.EOD] * closed
+            expected.append((name, doc, n, closed))
+        (folder / name).write_bytes(np.array(ids, dtype).tobytes())
+    blocks = token_counts.read_token_files(spark, str(folder), block_bytes=64)
+    assert blocks.agg(F.max(F.length("data"))).first()[0] == 64
+    counted = token_counts.token_counts(blocks, dtype=dtype).collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.doc, r.n_tokens, r.closed) for r in counted) == expected
+    whole = token_counts.token_counts(token_counts.read_token_files(spark, str(folder)), dtype=dtype)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, counted))
+
+
+def test_a_folder_without_tokens(spark, tmp_path):
+    (tmp_path / "empty.bin").write_bytes(b"")
+    assert token_counts.token_counts(token_counts.read_token_files(spark, str(tmp_path))).count() == 0
+
+
+def test_ids_beyond_the_width_fail(spark, corpus):
+    table = docs(spark, corpus)
+    assert collected(token_counts.document_token_counts(table, dtype="uint32")) == collected(token_counts.document_token_counts(table))
+    with pytest.raises(Exception, match="does not fit uint8"):
+        token_counts.document_token_counts(table, dtype="uint8").count()
+
+
 def test_token_counts_of_documents(spark, corpus, monkeypatch):
     encoder = pieces.encoder_for(pieces.MODEL_PATH, "bpe")
     expected = sorted((i, len(encoder.encode(t)) // 4) for i, t in enumerate(corpus))
