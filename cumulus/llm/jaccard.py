@@ -9,13 +9,14 @@ over all documents) and differ in the hash that ranks a class.
 1. Documents with equal sets fall into one group (linked by definition); its
    smallest id stands for it.
 2. Prefix shingles of the first order that two or more representatives share
-   make buckets. In a bucket only representatives of like size whose folded
-   count vectors are near enough can link (the vectors' distance never exceeds
-   the number of differing shingles).
+   make buckets. In a bucket only representatives can link whose sizes and
+   positions of the shingle leave room for enough common ones, and whose parity
+   sketches are near enough (a differing shingle changes one bit at most).
 3. First each representative is paired with one leader of its bucket, verified,
-   and joined to components; then all remaining near pairs of a bucket whose
-   components differ. So a large group of near copies costs pairs in
-   proportion to its size, and no link between components is lost.
+   and joined to components; then, in buckets of many, with its nearest in
+   another component as long as that finds links; then all remaining near pairs
+   of a bucket whose components differ. So links within a large group of near
+   copies cost pairs in proportion to its size, and no link between components is lost.
 4. A pair must also share prefix shingles under every further order; what
    passes all filters is verified on the whole sets.
 
@@ -37,10 +38,12 @@ from cumulus.operators.joins import bounded_broadcast
 
 WORDS = 3  # of a shingle, where the caller names no other number
 ORDERS = 3
-FOLDS = 64  # cells of the folded count vector
+BITS = 1024  # of the parity sketch
 SKETCH = 1 << 18  # cells of the count sketch
 MAX_BROADCAST_IDS = 500_000
 BLOCK = 1500  # representatives of one bucket compared at once
+MANY = 32  # representatives of a bucket that first look for their nearest
+FAR = 1 << 30
 _SEEDS = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64)) for k in range(8)]
 
 
@@ -114,6 +117,11 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _least_shared(both, percent: int):
+    """Shingles that linked sets of ``both`` shingles in all share at least: ``100 o >= percent (both - o)``."""
+    return -(-percent * both // (100 + percent))
+
+
 def _prefixes(shingles: np.ndarray, classes: np.ndarray, percent: int) -> list[np.ndarray]:
     p = prefix_size(len(shingles), percent)
     level = classes[_cells(shingles)].astype(np.uint64) << np.uint64(56)
@@ -121,26 +129,33 @@ def _prefixes(shingles: np.ndarray, classes: np.ndarray, percent: int) -> list[n
     for seed in _SEEDS[:ORDERS]:
         with np.errstate(over="ignore"):
             rank = level | (mix(shingles ^ seed) >> np.uint64(8))
-        out.append(shingles[np.argpartition(rank, p - 1)[:p]] if p < len(shingles) else shingles)
+        at = np.argpartition(rank, p - 1)[:p] if p < len(shingles) else np.arange(p)
+        if not out:
+            at = at[np.lexsort((shingles[at], rank[at]))]  # positions count under the first order
+        out.append(shingles[at])
     return out
 
 
+def _parity(shingles: np.ndarray) -> bytes:
+    """A bit for each of ``BITS`` cells: whether it holds an odd number of the shingles."""
+    return np.packbits(np.bincount((shingles >> np.uint64(20)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
 def _profiles(docs: DataFrame, classes: np.ndarray, percent: int, words: int) -> DataFrame:
-    """``id, n, low, high, folds, p0, p1, ...`` of every document: set size, set signature, folded counts, prefixes."""
+    """``id, n, low, high, sketch, p0, p1, ...`` of every document: set size, set signature, parity sketch, prefixes (``p0`` in order)."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)  # SKETCH bytes
-    fields = ["id", "n", "low", "high", "folds", *[f"p{k}" for k in range(ORDERS)]]
+    fields = ["id", "n", "low", "high", "sketch", *[f"p{k}" for k in range(ORDERS)]]
 
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1):
                 sets = shingle_sets(text_bytes(part.column(1)), words)
-                low, high, folds, prefixes = [], [], [], [[] for _ in range(ORDERS)]
+                low, high, sketch, prefixes = [], [], [], [[] for _ in range(ORDERS)]
                 for s in sets:
                     with np.errstate(over="ignore"):
                         low.append(int(np.add.reduce(mix(s)).astype(np.int64)))
                         high.append(int(np.add.reduce(mix(s ^ _SEEDS[5])).astype(np.int64)))
-                    cells = np.bincount((s >> np.uint64(20)).astype(np.int64) % FOLDS, minlength=FOLDS)
-                    folds.append(np.minimum(cells, 255).astype(np.uint8).tobytes())
+                    sketch.append(_parity(s))
                     for k, p in enumerate(_prefixes(s, shared.value, percent) if len(s) else [s] * ORDERS):
                         # the further orders keep 32 bits of each hash: enough to see that none is shared
                         prefixes[k].append(p.astype(np.uint32).view(np.int32) if k else p.view(np.int64))
@@ -150,13 +165,13 @@ def _profiles(docs: DataFrame, classes: np.ndarray, percent: int, words: int) ->
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(low, pa.int64()),
                         pa.array(high, pa.int64()),
-                        pa.array(folds, pa.binary()),
+                        pa.array(sketch, pa.binary()),
                         *[pa.array(p, pa.list_(pa.int32() if k else pa.int64())) for k, p in enumerate(prefixes)],
                     ],
                     fields,
                 )
 
-    kinds = "id long, n long, low long, high long, folds binary, " + ", ".join(f"p{k} array<{'int' if k else 'long'}>" for k in range(ORDERS))
+    kinds = "id long, n long, low long, high long, sketch binary, " + ", ".join(f"p{k} array<{'int' if k else 'long'}>" for k in range(ORDERS))
     return docs.mapInArrow(run, kinds)
 
 
@@ -179,19 +194,22 @@ class _Bucketed:
         self.percent = percent
         self.ids, self.n, self.part, self.comp = (rows[c].to_numpy() for c in ("id", "n", "part", "component"))
         self.across = rows["one"].to_numpy() != rows["two"].to_numpy()
-        self.folds = np.frombuffer(b"".join(rows["folds"].to_pylist()), np.uint8).reshape(-1, FOLDS).astype(np.int32)
+        self.at = rows["pos"].to_numpy()
+        self.sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(rows), -1)
         self.bucket = _bucket_numbers(rows)
 
-    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether rows ``a`` and ``b`` may link: sizes and folded counts near enough."""
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Distance of the sketches of rows ``a`` and ``b``; ``FAR`` where they cannot link by this bucket."""
         n, m = self.n[a], self.n[b]
-        ok = 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
-        # 100 o >= percent (n + m - o) bounds the overlap o below, so the difference n + m - 2 o above.
-        apart = n + m - 2 * -(-self.percent * (n + m) // (100 + self.percent))
+        least = _least_shared(n + m, self.percent)
+        # If the bucket's shingle is the first that both hold, no earlier one is shared.
+        ok = (least <= n - self.at[a]) & (least <= m - self.at[b])
+        most, out = n + m - 2 * least, np.full(len(a), FAR)
         for k in range(0, len(a), 1 << 15):
             at = np.flatnonzero(ok[k : k + (1 << 15)]) + k
-            ok[at] = np.abs(self.folds[a[at]] - self.folds[b[at]]).sum(axis=1) <= apart[at]
-        return ok
+            bits = np.bitwise_count(self.sketch[a[at]] ^ self.sketch[b[at]]).sum(axis=1, dtype=np.int64)
+            out[at] = np.where(bits <= most[at], bits, FAR)
+        return out
 
     def to_leaders(self):
         """Each row with the first earlier row of its bucket that leads and is near."""
@@ -201,12 +219,26 @@ class _Bucketed:
             lead = open_[at][np.searchsorted(groups, self.bucket[open_])]
             rest = open_ != lead
             open_, lead = open_[rest], lead[rest]
-            near = self.near(lead, open_)
+            near = self.apart(lead, open_) < FAR
             yield lead[near], open_[near]
             open_ = open_[~near]
 
     def all_pairs(self):
         """Every near pair of a bucket whose components differ."""
+        for a, b, _ in self._across():
+            yield a, b
+
+    def to_nearest(self):
+        """Each row with the nearest row of its bucket in another component."""
+        best, other = np.full(len(self.ids), FAR), np.zeros(len(self.ids), np.int64)
+        for a, b, far in self._across():
+            for x, y in ((a, b), (b, a)):  # no row comes twice on one side
+                less = far < best[x]
+                best[x[less]], other[x[less]] = far[less], y[less]
+        at = np.flatnonzero(best < FAR)
+        yield np.minimum(at, other[at]), np.maximum(at, other[at])
+
+    def _across(self):
         low, high = np.full(self.bucket[-1] + 1, self.comp.max()), np.full(self.bucket[-1] + 1, self.comp.min())
         np.minimum.at(low, self.bucket, self.comp)
         np.maximum.at(high, self.bucket, self.comp)
@@ -219,8 +251,9 @@ class _Bucketed:
             a, b = mixed[at], mixed[at + by]
             keep = (self.comp[a] != self.comp[b]) & (~self.across[a] | (self.part[a] != self.part[b]))
             a, b = a[keep], b[keep]
-            near = self.near(a, b)
-            yield a[near], b[near]
+            far = self.apart(a, b)
+            near = far < FAR
+            yield a[near], b[near], far[near]
 
 
 def _bucket_numbers(rows: pa.Table) -> np.ndarray:
@@ -231,13 +264,14 @@ def _bucket_numbers(rows: pa.Table) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _bucket_pairs(buckets: DataFrame, percent: int, leaders: bool) -> DataFrame:
-    """Near pairs ``a < b`` within buckets ``(token, one, two, part, id, n, folds, component)``.
+def _bucket_pairs(buckets: DataFrame, percent: int, pairing: str) -> DataFrame:
+    """Near pairs ``a < b`` within buckets ``(token, one, two, part, id, n, pos, sketch, component)``.
 
     A bucket over ``BLOCK`` rows comes in several parts; a group holds one or
     two of them, so a hot bucket is spread over many tasks and a task holds a
-    bounded number of its rows. With ``leaders`` a row is paired only with the
-    first near row that leads; without, with every near row of another component.
+    bounded number of its rows. ``pairing`` names the method of ``_Bucketed``: a
+    row meets the first near row that leads, or of the near rows of other
+    components the nearest or all.
     """
 
     def run(batches):
@@ -257,12 +291,12 @@ def _bucket_pairs(buckets: DataFrame, percent: int, leaders: bool) -> DataFrame:
 
     def pairs(rows):
         rows = _Bucketed(rows, percent)
-        for a, b in rows.to_leaders() if leaders else rows.all_pairs():
+        for a, b in getattr(rows, pairing)():
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(rows.ids[a], pa.int64()), pa.array(rows.ids[b], pa.int64())], ["a", "b"])
 
     keys = ["token", "one", "two"]
-    rows = buckets.select(*keys, "part", "id", "n", "folds", "component").repartition(*keys).sortWithinPartitions(*keys, "id")
+    rows = buckets.select(*keys, "part", "id", "n", "pos", "sketch", "component").repartition(*keys).sortWithinPartitions(*keys, "id")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -279,6 +313,15 @@ def _parted(postings: DataFrame, both: bool) -> DataFrame:
     return rows.select("*", F.explode_outer(meets).alias("meet")).select("*", "meet.one", "meet.two").drop("meet")
 
 
+def _open_buckets(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """Postings with the component of their set; buckets of many rows in one component go."""
+    known = bounded_broadcast(known.withColumnRenamed("node", "id"), MAX_BROADCAST_IDS)
+    labelled = postings.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    many = labelled.filter(F.col("size") > MANY).groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    done = scratch_table(many.filter("lo = hi").select("token"), "done")
+    return labelled.join(bounded_broadcast(done, MAX_BROADCAST_IDS), "token", "left_anti")
+
+
 def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
     """Pairs that share prefix tokens under every further order and whose sets then are similar enough."""
     named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
@@ -319,24 +362,31 @@ def jaccard_components(
     copies = bounded_broadcast(scratch_table(copies, "copies"), MAX_BROADCAST_IDS)
     profiles = rows.filter("n > 0").join(copies, "row", "left_anti").drop("row")
 
-    tokens = profiles.select("id", F.explode_outer("p0").alias("token"))
+    tokens = profiles.select("id", F.posexplode_outer("p0").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    postings = tokens.join(shared, "token").join(profiles.select("id", "n", "folds"), "id")
+    postings = tokens.join(shared, "token").join(profiles.select("id", "n", "sketch"), "id")
     postings = scratch_table(postings, "postings")
 
-    first = _bucket_pairs(_parted(postings, both=False).withColumn("component", F.col("id")), percent, leaders=True)
-    first = scratch_table(first.distinct(), "leaders")
-    links = _verified(first, profiles, docs, percent, words)
-    known = bounded_broadcast(scratch_table(components(links), "known"), MAX_BROADCAST_IDS)
-    labelled = postings.join(known.withColumnRenamed("node", "id"), "id", "left")
-    labelled = labelled.withColumn("component", F.coalesce("component", "id"))
-    # A bucket of several parts in one component needs no second look (few such buckets can exist).
-    hot = labelled.filter(F.col("size") > BLOCK).groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    done = scratch_table(hot.filter("lo = hi").select("token"), "done")
-    rest = labelled.join(bounded_broadcast(done, MAX_BROADCAST_IDS), "token", "left_anti")
-    second = _bucket_pairs(_parted(rest, both=True), percent, leaders=False).distinct().join(first, ["a", "b"], "left_anti")
-    second = scratch_table(second, "pairs")
-    more = _verified(second, profiles, docs, percent, words)
+    first = _bucket_pairs(_parted(postings, both=False).withColumn("component", F.col("id")), percent, "to_leaders")
+    tried = scratch_table(first.distinct(), "leaders")
+    links = _verified(tried, profiles, docs, percent, words)
+    known = scratch_table(components(links), "known")
+    many = postings.filter(F.col("size") > MANY)
+    while True:
+        pairs = _bucket_pairs(_parted(_open_buckets(many, known), both=True), percent, "to_nearest")
+        pairs = scratch_table(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "nearest")
+        if pairs.isEmpty():
+            break
+        found = _verified(pairs, profiles, docs, percent, words)
+        tried = tried.union(pairs)
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        known = scratch_table(components(links), "known")
+    # The one pair of a bucket of two has been looked at.
+    rest = _open_buckets(postings.filter("size > 2"), known)
+    pairs = _bucket_pairs(_parted(rest, both=True), percent, "all_pairs").distinct().join(tried, ["a", "b"], "left_anti")
+    more = _verified(scratch_table(pairs, "pairs"), profiles, docs, percent, words)
     drop_scratch(postings)
 
     found = components(links.union(more)).select(F.col("node").alias("rep"), F.col("component"))

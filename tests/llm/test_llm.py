@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -550,6 +551,86 @@ def test_jaccard_repeated_rows_make_one_profile(spark, monkeypatch):
     assert 0 < max(postings) <= 2 * jaccard.prefix_size(78, 90)  # with a profile for every row 60 times as many
 
 
+def near_copies(seed, copies):
+    """Copies of one text with words changed at two to six of sixteen places: many pairs link, many just do not."""
+    rnd = random.Random(seed)
+    base = text(rnd, 150).split(" ")
+    out = []
+    for _ in range(copies):
+        words = list(base)
+        for at in rnd.sample(range(5, 85, 5), rnd.randint(2, 6)):
+            words[at] = f"other{rnd.randint(0, 1)}"
+        out.append(" ".join(words))
+    return out
+
+
+def noted_pairs(monkeypatch):
+    """Numbers of rows of the tables of pairs that are verified."""
+    sizes, keep = [], jaccard.scratch_table
+
+    def noted(df, name):
+        out = keep(df, name)
+        if name in ("leaders", "nearest", "pairs"):
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "scratch_table", noted)
+    return sizes
+
+
+def test_jaccard_pairs_of_a_group_of_near_copies_follow_its_size(spark, monkeypatch):
+    texts = near_copies(5, 240)
+    ids = brute_near(texts)
+    assert 1 < len(ids) < 120
+    sizes = noted_pairs(monkeypatch)
+    for many in (32, 2, 1000):  # nearest rounds for some buckets, for all, for none
+        monkeypatch.setattr(jaccard, "MANY", many)
+        sizes.clear()
+        got = jaccard.jaccard_components(docs(spark, texts), percent=80, words=5).collect()
+        assert sorted(r.doc_id for r in got if r.doc_id == r.component_id) == ids
+        if many == 32:
+            assert sum(sizes) < 4 * len(texts)
+
+
+def test_jaccard_unrelated_documents_with_common_shingles_make_few_pairs(spark, monkeypatch):
+    rnd = random.Random(17)
+    shared = [text(rnd, 8) for _ in range(12)]
+    texts = []
+    for _ in range(60):  # long texts of like size that share a few runs of words
+        body = [text(rnd, 100) for _ in range(20)]
+        for run in rnd.sample(shared, 3):
+            body.insert(rnd.randrange(len(body)), run)
+        texts.append(" ".join(body))
+    sizes = noted_pairs(monkeypatch)
+    got = jaccard.jaccard_components(docs(spark, texts), percent=80, words=5).collect()
+    assert all(r.doc_id == r.component_id for r in got)
+    assert sum(sizes) < 60
+
+
+def test_jaccard_filters_keep_every_link():
+    rnd = np.random.default_rng(4)
+    classes = np.zeros(jaccard.SKETCH, np.uint8)
+    classes[rnd.integers(0, jaccard.SKETCH, 1000)] = 9
+    for percent in (80, 90):
+        for n in (1, 2, 5, 30, 400, 3000):
+            whole = np.unique(rnd.integers(0, 1 << 63, n + n // 3 + 1, dtype=np.uint64))
+            for _ in range(20):
+                out = int(rnd.integers(0, max(n // 5, 1) + 1))
+                a, b = whole[: n - out // 2], whole[out - out // 2 : n]
+                both = len(np.intersect1d(a, b))
+                if 100 * both < percent * (len(a) + len(b) - both) or not both:
+                    continue
+                p, q = (jaccard._prefixes(x, classes, percent)[0] for x in (a, b))
+                tokens = [t for t in p.tolist() if t in set(q.tolist())]
+                rows = [
+                    dict(id=i, n=len(x), part=0, component=i, one=0, two=0, token=k, pos=f.tolist().index(t), sketch=jaccard._parity(x))
+                    for k, t in enumerate(tokens)
+                    for i, (x, f) in enumerate(((a, p), (b, q)))
+                ]
+                pairs = [len(u) for u, _ in jaccard._Bucketed(pa.Table.from_pylist(rows), percent).all_pairs()]
+                assert sum(pairs) >= 1
+
+
 def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 90), (None, 3)], "u long, v long")
     got = {r.node: r.component for r in components.components(links).collect()}
