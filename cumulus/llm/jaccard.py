@@ -9,7 +9,8 @@ over all documents) and differ in the hash that ranks a class.
 1. Documents with equal sets fall into one group (linked by definition); its
    smallest id stands for it.
 2. Prefix shingles of the first order that two or more representatives share
-   make buckets. In a bucket only representatives can link whose sizes and
+   make buckets, without those whose size is far from all others there. In a
+   bucket only representatives can link whose sizes and
    positions of the shingle leave room for enough common ones, and whose parity
    sketches are near enough (a differing shingle changes one bit at most).
 3. First each representative is paired with one leader of its bucket, verified,
@@ -17,7 +18,8 @@ over all documents) and differ in the hash that ranks a class.
    another component as long as that finds links; then all remaining near pairs
    of a bucket whose components differ. So links within a large group of near
    copies cost pairs in proportion to its size, and no link between components is lost.
-4. A pair must also share prefix shingles under every further order; what
+4. A pair of large sets must also be near by sketches that grow with the sets,
+   and every pair must share prefix shingles under every further order; what
    passes all filters is verified on the whole sets.
 
 Cases: null or empty texts have no shingles and link with nothing; under ``words``
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cumulus.llm.common import SpanHasher, drop_scratch, joined, mix, row_slices, scratch_table, space_words, text_bytes
@@ -38,7 +40,7 @@ from cumulus.operators.joins import bounded_broadcast
 
 WORDS = 3  # of a shingle, where the caller names no other number
 ORDERS = 3
-BITS = 1024  # of the parity sketch
+BITS = 1024  # of the parity sketch in a bucket, at most
 SKETCH = 1 << 18  # cells of the count sketch
 MAX_BROADCAST_IDS = 500_000
 BLOCK = 1500  # representatives of one bucket compared at once
@@ -136,26 +138,36 @@ def _prefixes(shingles: np.ndarray, classes: np.ndarray, percent: int) -> list[n
     return out
 
 
-def _parity(shingles: np.ndarray) -> bytes:
-    """A bit for each of ``BITS`` cells: whether it holds an odd number of the shingles."""
-    return np.packbits(np.bincount((shingles >> np.uint64(20)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
+def _parity(shingles: np.ndarray, bits: int = BITS) -> bytes:
+    """A bit for each of ``bits`` cells: whether it holds an odd number of the shingles."""
+    return np.packbits(np.bincount((shingles >> np.uint64(20)).astype(np.int64) % bits, minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def sketch_bits(n: int, percent: int) -> int:
+    """Bits, a power of two, that a sketch needs to tell sets of ``n`` unrelated shingles from linked ones."""
+    most, bits = 2 * n - 2 * _least_shared(2 * n, percent), 64
+    while bits / 2 - 3 * bits**0.5 <= most:  # unrelated sets differ in half of the bits, less some deviations
+        bits *= 2
+    return bits
 
 
 def _profiles(docs: DataFrame, classes: np.ndarray, percent: int, words: int) -> DataFrame:
-    """``id, n, low, high, sketch, p0, p1, ...`` of every document: set size, set signature, parity sketch, prefixes (``p0`` in order)."""
+    """``id, n, low, high, sketch, wide, p0, p1, ...`` of every document: set size, set signature, parity sketches, prefixes (``p0`` in order)."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)  # SKETCH bytes
-    fields = ["id", "n", "low", "high", "sketch", *[f"p{k}" for k in range(ORDERS)]]
+    fields = ["id", "n", "low", "high", "sketch", "wide", *[f"p{k}" for k in range(ORDERS)]]
 
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1):
                 sets = shingle_sets(text_bytes(part.column(1)), words)
-                low, high, sketch, prefixes = [], [], [], [[] for _ in range(ORDERS)]
+                low, high, sketch, wide, prefixes = [], [], [], [], [[] for _ in range(ORDERS)]
                 for s in sets:
                     with np.errstate(over="ignore"):
                         low.append(int(np.add.reduce(mix(s)).astype(np.int64)))
                         high.append(int(np.add.reduce(mix(s ^ _SEEDS[5])).astype(np.int64)))
-                    sketch.append(_parity(s))
+                    bits = sketch_bits(len(s), percent)
+                    sketch.append(_parity(s, min(bits, BITS)))
+                    wide.append(np.frombuffer(_parity(s, 2 * bits) if bits > BITS else b"", np.int64))
                     for k, p in enumerate(_prefixes(s, shared.value, percent) if len(s) else [s] * ORDERS):
                         # the further orders keep 32 bits of each hash: enough to see that none is shared
                         prefixes[k].append(p.astype(np.uint32).view(np.int32) if k else p.view(np.int64))
@@ -166,12 +178,13 @@ def _profiles(docs: DataFrame, classes: np.ndarray, percent: int, words: int) ->
                         pa.array(low, pa.int64()),
                         pa.array(high, pa.int64()),
                         pa.array(sketch, pa.binary()),
+                        pa.array(wide, pa.list_(pa.int64())),
                         *[pa.array(p, pa.list_(pa.int32() if k else pa.int64())) for k, p in enumerate(prefixes)],
                     ],
                     fields,
                 )
 
-    kinds = "id long, n long, low long, high long, sketch binary, " + ", ".join(f"p{k} array<{'int' if k else 'long'}>" for k in range(ORDERS))
+    kinds = "id long, n long, low long, high long, sketch binary, wide array<long>, " + ", ".join(f"p{k} array<{'int' if k else 'long'}>" for k in range(ORDERS))
     return docs.mapInArrow(run, kinds)
 
 
@@ -195,7 +208,10 @@ class _Bucketed:
         self.ids, self.n, self.part, self.comp = (rows[c].to_numpy() for c in ("id", "n", "part", "component"))
         self.across = rows["one"].to_numpy() != rows["two"].to_numpy()
         self.at = rows["pos"].to_numpy()
-        self.sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(len(rows), -1)
+        sketches = rows["sketch"].to_pylist()
+        self.sketch = np.frombuffer(b"".join(sketches), np.uint64)
+        self.width = np.fromiter((len(x) // 8 for x in sketches), np.int64, len(sketches))
+        self.start = np.cumsum(self.width) - self.width
         self.bucket = _bucket_numbers(rows)
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -207,8 +223,20 @@ class _Bucketed:
         most, out = n + m - 2 * least, np.full(len(a), FAR)
         for k in range(0, len(a), 1 << 15):
             at = np.flatnonzero(ok[k : k + (1 << 15)]) + k
-            bits = np.bitwise_count(self.sketch[a[at]] ^ self.sketch[b[at]]).sum(axis=1, dtype=np.int64)
-            out[at] = np.where(bits <= most[at], bits, FAR)
+            width = np.minimum(self.width[a[at]], self.width[b[at]])
+            for w in np.unique(width):
+                of = at[width == w]
+                bits = np.bitwise_count(self._folded(a[of], w) ^ self._folded(b[of], w)).sum(axis=1, dtype=np.int64)
+                out[of] = np.where(bits <= most[of], bits, FAR)
+        return out
+
+    def _folded(self, rows: np.ndarray, width: int) -> np.ndarray:
+        """Sketches of ``rows`` in ``width`` words: cells of a wider one that fall together add up."""
+        words = np.arange(width)
+        out = self.sketch[self.start[rows][:, None] + words]
+        for skip in range(width, int(self.width[rows].max(initial=0)), width):
+            more = np.flatnonzero(self.width[rows] > skip)
+            out[more] ^= self.sketch[(self.start[rows[more]] + skip)[:, None] + words]
         return out
 
     def to_leaders(self):
@@ -322,27 +350,66 @@ def _open_buckets(postings: DataFrame, known: DataFrame) -> DataFrame:
     return labelled.join(bounded_broadcast(done, MAX_BROADCAST_IDS), "token", "left_anti")
 
 
-def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Pairs that share prefix tokens under every further order and whose sets then are similar enough."""
+def _buckets(profiles: DataFrame, percent: int) -> DataFrame:
+    """``token, id, n, pos, size`` of prefix shingles that several sets share.
+
+    Linked sets differ little in size, so a row goes unless the one before or
+    after it in its bucket by size is near enough. ``size`` counts the whole bucket.
+    """
+    bucket = Window.partitionBy("token").orderBy("n")
+    whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tokens = profiles.select("id", "n", F.posexplode_outer("p0").alias("pos", "token"))
+    rows = tokens.select(
+        "*", F.count("*").over(whole).alias("size"), F.lag("n").over(bucket).alias("less"), F.lead("n").over(bucket).alias("more")
+    )
+    near = (100 * F.col("less") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("more"))
+    return rows.filter(near).select("token", "id", "n", "pos", "size")
+
+
+def _sketches_near(percent: int) -> Column:
+    """Whether the second sketches of sets ``a`` and ``b`` leave a link possible; true where one has none."""
+
+    def folded(own: str, other: str) -> Column:
+        half = (F.size(own) / 2).cast("int")
+        low, high = F.slice(own, F.lit(1), half), F.slice(own, half + 1, half)
+        return F.when(F.size(own) > F.size(other), F.zip_with(low, high, lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(own))
+
+    one, two = folded("wide_a", "wide_b"), folded("wide_b", "wide_a")
+    bits = F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    both = F.col("n_a") + F.col("n_b")
+    most = both - 2 * F.ceil(percent * both / (100 + percent))
+    several = (F.size("wide_a") > 0) & (F.size("wide_b") > 0) & (F.size(one) == F.size(two))
+    return ~several | (apart <= most)
+
+
+def _with_profiles(pairs: DataFrame, profiles: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs with ``columns`` of both their sets, as ``<column>_a`` and ``<column>_b``."""
     named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     some = profiles.join(bounded_broadcast(scratch_table(named, "named"), MAX_BROADCAST_IDS), "id", "left_semi")
     for side in ("a", "b"):
-        own = some.select(
-            F.col("id").alias(side), F.col("n").alias(f"n_{side}"), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]
-        )
-        pairs = pairs.join(own, side)
-    for k in range(1, ORDERS):
-        pairs = pairs.filter(F.arrays_overlap(f"a{k}", f"b{k}"))
-    pairs = scratch_table(pairs.select("a", "b", "n_a", "n_b"), "candidates")
+        pairs = pairs.join(some.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    return pairs
+
+
+def _verified(pairs: DataFrame, profiles: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Pairs whose second sketches are near, that share prefix tokens under every further order and whose sets then are similar enough."""
+    pairs = _with_profiles(pairs, profiles, ["n", "wide"]).filter(_sketches_near(percent))
+    pairs = scratch_table(pairs.select("a", "b", "n_a", "n_b"), "sketched")
+    orders = [f"p{k}" for k in range(1, ORDERS)]
+    pairs = _with_profiles(pairs, profiles, orders)
+    for p in orders:
+        pairs = pairs.filter(F.arrays_overlap(f"{p}_a", f"{p}_b"))
+    pairs = scratch_table(pairs.select("a", "b", "n_a", "n_b").distinct(), "candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = bounded_broadcast(wanted, MAX_BROADCAST_IDS)
-    sets = scratch_table(_sets(docs.join(wanted, "id", "left_semi"), words).dropDuplicates(["id"]), "sets")
+    # Dealt by id here, so neither join below deals the whole sets once more.
+    sets = _sets(docs.join(wanted, "id", "left_semi"), words).dropDuplicates(["id"])
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("s"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("t"))
     shared = pairs.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("s", "t")))
     near = shared.filter(100 * F.col("o") >= percent * (F.col("n_a") + F.col("n_b") - F.col("o")))
     links = scratch_table(near.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-    drop_scratch(sets)
     drop_scratch(pairs)
     return links
 
@@ -362,9 +429,7 @@ def jaccard_components(
     copies = bounded_broadcast(scratch_table(copies, "copies"), MAX_BROADCAST_IDS)
     profiles = rows.filter("n > 0").join(copies, "row", "left_anti").drop("row")
 
-    tokens = profiles.select("id", F.posexplode_outer("p0").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    postings = tokens.join(shared, "token").join(profiles.select("id", "n", "sketch"), "id")
+    postings = _buckets(profiles, percent).join(profiles.select("id", "n", "sketch"), ["id", "n"])
     postings = scratch_table(postings, "postings")
 
     first = _bucket_pairs(_parted(postings, both=False).withColumn("component", F.col("id")), percent, "to_leaders")

@@ -631,6 +631,52 @@ def test_jaccard_filters_keep_every_link():
                 assert sum(pairs) >= 1
 
 
+def test_jaccard_sketches_of_different_widths_keep_every_link():
+    rnd = np.random.default_rng(9)
+    for percent in (80, 90):
+        for n in (20, 60, 150, 180, 300, 360, 420, 800, 900, 1800, 1900):
+            whole = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+            a, b = whole, whole[: -(-percent * n // 100)]
+            widths = [min(jaccard.sketch_bits(len(x), percent), jaccard.BITS) for x in (a, b)]
+            rows = [
+                dict(id=i, n=len(x), part=0, component=i, one=0, two=0, token=7, pos=0, sketch=jaccard._parity(x, w))
+                for i, (x, w) in enumerate(zip((a, b), widths, strict=True))
+            ]
+            assert [len(u) for u, _ in jaccard._Bucketed(pa.Table.from_pylist(rows), percent).all_pairs()] == [1]
+            folded = jaccard._Bucketed(pa.Table.from_pylist(rows), percent)._folded(np.array([0]), 1)
+            assert folded.tobytes() == jaccard._parity(a, 64)
+
+
+def test_jaccard_buckets_leave_out_sets_of_far_sizes(spark):
+    sets = [(1, 100, [7, 8]), (2, 200, [7, 9]), (3, 90, [8, 9]), (4, 222, [9]), (5, 89, [5, 8]), (6, 111, [5])]
+    profiles = spark.createDataFrame(sets, "id long, n long, p0 array<long>")
+    got = sorted(tuple(r) for r in jaccard._buckets(profiles, 90).collect())
+    assert got == [(8, 1, 100, 1, 3), (8, 3, 90, 0, 3), (8, 5, 89, 1, 3), (9, 2, 200, 1, 3), (9, 4, 222, 0, 3)]
+
+
+def test_jaccard_long_sets_meet_only_where_wide_sketches_are_near(spark, monkeypatch):
+    rnd = random.Random(23)
+    common = [f"c{rnd.randrange(1 << 40)}" for _ in range(1600)]
+    words = [f"w{rnd.randrange(1 << 40)}" for _ in range(4200)]
+    texts = [" ".join(words), " ".join(words[:3800])]  # linked, with sketches of different widths
+    for k in range(3):  # as long, with a common part
+        texts.append(" ".join([*common, *(f"v{k}x{rnd.randrange(1 << 40)}" for _ in range(2500))]))
+    sizes, keep = {}, jaccard.scratch_table
+
+    def noted(df, name):
+        out = keep(df, name)
+        sizes.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "scratch_table", noted)
+    got = jaccard.jaccard_components(docs(spark, texts), percent=80, words=5).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(0, 0), (1, 0), (2, 2), (3, 3), (4, 4)]
+    assert len({jaccard.sketch_bits(n, 80) for n in (4196, 3796)}) == 2
+    assert sum(sizes["leaders"] + sizes["nearest"] + sizes["pairs"]) > 1  # the sketches of the buckets are too narrow
+    assert sum(sizes["candidates"]) == 1
+    assert "sets" not in sizes  # whole sets are not written
+
+
 def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 90), (None, 3)], "u long, v long")
     got = {r.node: r.component for r in components.components(links).collect()}
